@@ -1,0 +1,8 @@
+"""Column names made from category values."""
+
+from __future__ import annotations
+
+
+def column_name(value: str) -> str:
+    """``IIT JEE`` -> ``iit_jee``."""
+    return value.lower().replace(" ", "_")

@@ -1,0 +1 @@
+"""Empty on purpose: all metrics are batch reports, so there is no streaming operator to offer."""
