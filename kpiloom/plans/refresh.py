@@ -12,7 +12,7 @@ from kpiloom.operators import activation, content, retention, signups
 from kpiloom.operators.cleaning import Rules
 from kpiloom.plans import reports, summary
 from kpiloom.session import use_checkpoint_dir
-from kpiloom.sources.schemas import CONTENT_TYPES, MAIN_CATEGORIES, WIDE_CATEGORIES, WIDE_CONTENT_TYPES
+from kpiloom.sources.schemas import CONTENT_TYPES, MAIN_CATEGORIES, WIDE_CATEGORIES
 from kpiloom.sources.sinks import write_kpi_csv
 from kpiloom.sources.tables import Tables
 
@@ -29,7 +29,7 @@ def kpi_tables(
     wide_categories: Sequence[str] = WIDE_CATEGORIES,
     signup_offset_minutes: int = 330,
 ) -> dict[str, DataFrame]:
-    """Every KPI table by name, with each base table read once for all of them.
+    """Every KPI table by name; activity and content, the large tables, are read once for all of them.
 
     What the reports share, one row per buyer and purchase day and one row per calendar day for signups
     and content, is checkpointed in the shared folder, so losing an executor later does not bring the
@@ -43,7 +43,7 @@ def kpi_tables(
     ).checkpoint()
     categories = list(dict.fromkeys([*main_categories, *wide_categories]))
     volume = reports.content_counts(tables, rules, list(content_types), categories).checkpoint()
-    wide_types = {t: t for t in content_types} if content_types is not CONTENT_TYPES else WIDE_CONTENT_TYPES
+    wide_types = {t: t for t in content_types}
     both = list(BOTH_LABELS)
     return {
         "kpi_activation_windows": activation.activation_report(facts, ref_date, BOTH_LABELS),
