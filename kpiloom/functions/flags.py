@@ -9,41 +9,37 @@ the bits. The counts are exact.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 WORD_BITS = 62
 
 
 class FlagSet:
-    """Named conditions, kept as bits of one or more bigint columns called ``<prefix>_<n>``."""
+    """Named SQL conditions, kept as bits of one or more bigint columns called ``<prefix>_<n>``.
+
+    A condition that is NULL counts as not met.
+    """
 
-    def __init__(self, prefix: str, conditions: Mapping[str, Column]):
+    def __init__(self, prefix: str, conditions: Mapping[str, str]):
         self.prefix = prefix
         self.conditions = dict(conditions)
 
-    def _words(self) -> list[list[Column]]:
-        conditions = list(self.conditions.values())
-        return [conditions[i : i + WORD_BITS] for i in range(0, len(conditions), WORD_BITS)]
-
-    def seen(self, where: Column | None = None, prefix: str | None = None) -> list[Column]:
+    def seen(self, where: str | None = None, prefix: str | None = None) -> list[str]:
         """First aggregation: the conditions that held on any row (on any row with ``where``)."""
+        conditions = list(self.conditions.values())
         columns = []
-        for number, word in enumerate(self._words()):
-            bits = [F.when(c, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(word)]
-            mask = reduce(lambda a, b: a.bitwiseOR(b), bits)
+        for start in range(0, len(conditions), WORD_BITS):
+            word = conditions[start : start + WORD_BITS]
+            mask = " | ".join(f"if({condition}, {1 << bit}L, 0L)" for bit, condition in enumerate(word))
             if where is not None:
-                mask = F.when(where, mask).otherwise(F.lit(0).cast("bigint"))
-            columns.append(F.bit_or(mask).alias(f"{prefix or self.prefix}_{number}"))
+                mask = f"if({where}, {mask}, 0L)"
+            columns.append(f"bit_or({mask}) AS {prefix or self.prefix}_{start // WORD_BITS}")
         return columns
 
-    def counts(self, prefix: str | None = None, name: str = "{}") -> list[Column]:
+    def counts(self, prefix: str | None = None, name: str = "{}") -> list[str]:
         """Second aggregation: per condition, the number of first-level rows on which it was seen."""
         columns = []
         for position, condition in enumerate(self.conditions):
-            word = F.col(f"{prefix or self.prefix}_{position // WORD_BITS}")
-            bit = F.shiftright(word, position % WORD_BITS).bitwiseAND(F.lit(1))
-            columns.append(F.coalesce(F.sum(bit), F.lit(0)).cast("bigint").alias(name.format(condition)))
+            word = f"{prefix or self.prefix}_{position // WORD_BITS}"
+            total = f"sum(shiftright({word}, {position % WORD_BITS}) & 1)"
+            columns.append(f"coalesce({total}, 0L) AS `{name.format(condition)}`")
         return columns

@@ -1,40 +1,35 @@
-"""Rounded ratios that come out the same on every engine.
+"""Rounded ratios that come out the same on every engine, as Spark SQL expressions.
 
 A ratio of two counts is rounded with whole-number arithmetic, half away from zero, so a tie such as
-87 of 160 is always 54.38 and never depends on how a double happens to be stored.
+87 of 160 is always 54.38 and never depends on how a double happens to be stored. All functions here
+take and give SQL text; the arguments are column names or expressions of whole numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def whole_div(numerator: Column, denominator: Column) -> Column:
+def whole_div(numerator: str, denominator: str) -> str:
     """Whole-number quotient, truncated toward zero; NULL where the denominator is 0."""
-    return F.call_function("div", numerator, F.nullif(denominator, F.lit(0)))
+    return f"(({numerator}) div nullif({denominator}, 0))"
 
 
-def round_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def round_ratio(numerator: str, denominator: str, digits: int) -> str:
     """``numerator / denominator`` rounded once to ``digits`` places, NULL where the denominator is 0.
 
-    Both sides are whole numbers and the denominator is not negative.
+    Neither side is negative.
     """
     scale = 10**digits
-    magnitude = whole_div(F.abs(numerator) * (2 * scale) + denominator, denominator * 2)
-    return F.when(numerator < 0, -magnitude).otherwise(magnitude) / F.lit(float(scale))
+    rounded = whole_div(f"({numerator}) * {2 * scale} + ({denominator})", f"({denominator}) * 2")
+    return f"({rounded} / {scale}D)"
 
 
-def pct(part: Column, whole: Column, digits: int = 2) -> Column:
+def pct(part: str, whole: str, digits: int = 2) -> str:
     """Share of ``part`` in ``whole`` in percent."""
-    return round_ratio(part * 100, whole, digits)
+    return round_ratio(f"({part}) * 100", whole, digits)
 
 
-def pct_delta(part: Column, whole: Column, prior_part: Column, prior_whole: Column, digits: int = 2) -> Column:
+def pct_delta(part: str, whole: str, prior_part: str, prior_whole: str, digits: int = 2) -> str:
     """Difference of two percentages in points, rounded once from the exact fraction."""
-
-    def wide(count: Column) -> Column:
-        return count.cast("decimal(19,0)")
-
-    gap = wide(part) * wide(prior_whole) - wide(prior_part) * wide(whole)
-    return round_ratio(gap * 100, wide(whole) * wide(prior_whole), digits)
+    d, d1 = (f"cast({whole_} as decimal(19,0))" for whole_ in (whole, prior_whole))
+    gap = f"({part} * {d1} - {prior_part} * {d})"
+    return f"(if({gap} < 0, -1, 1) * {pct(f'abs({gap})', f'({d} * {d1})', digits)})"

@@ -9,18 +9,25 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from kpiloom.functions import FlagSet, date_attributes, pct, pct_delta, round_ratio
+from pyspark.sql import DataFrame
+
+from kpiloom.functions import (
+    FlagSet,
+    aggregate,
+    between,
+    date_attributes,
+    literal,
+    pct,
+    pct_delta,
+    round_ratio,
+    rows,
+)
 from kpiloom.operators.periods import report_windows
 
 # Report labels.
 LIVE_VIDEO_LABEL = "Live + Video Activation (24hr)"
 TEST_LABEL = "Test Activation (24hr)"
 
-ROLLING = ("W", "W1")
-
 
 def window_counts(facts: DataFrame, windows: Mapping[str, tuple[date, date]], outcomes: list[str]) -> DataFrame:
     """One row: distinct buyers per window, and per outcome how many of them reached it.
@@ -28,16 +35,20 @@ def window_counts(facts: DataFrame, windows: Mapping[str, tuple[date, date]], ou
     Columns ``buyers_<window>``, ``<outcome>_<window>``, and ``any_<outcome>`` telling whether any
     purchase of any date reached it.
     """
-    flags = FlagSet("buyers", {w: F.col("purchase_date").between(F.lit(a), F.lit(b)) for w, (a, b) in windows.items()})
-    per_user = facts.groupBy("user_id").agg(
-        *flags.seen(),
-        *(column for o in outcomes for column in flags.seen(where=F.col(o), prefix=o)),
-        *(F.bool_or(o).alias(f"any_{o}") for o in outcomes),
+    flags = FlagSet("buyers", {w: between("purchase_date", first, last) for w, (first, last) in windows.items()})
+    per_user = aggregate(
+        facts,
+        ["user_id"],
+        [
+            *flags.seen(),
+            *(column for o in outcomes for column in flags.seen(where=o, prefix=o)),
+            *(f"bool_or({o}) AS any_{o}" for o in outcomes),
+        ],
     )
-    return per_user.agg(
+    return per_user.selectExpr(
         *flags.counts(name="buyers_{}"),
         *(column for o in outcomes for column in flags.counts(prefix=o, name=o + "_{}")),
-        *(F.coalesce(F.bool_or(f"any_{o}"), F.lit(False)).alias(f"any_{o}") for o in outcomes),
+        *(f"coalesce(bool_or(any_{o}), false) AS any_{o}" for o in outcomes),
     )
 
 
@@ -50,35 +61,36 @@ def activation_report(facts: DataFrame, ref_date: date, labels: Mapping[str, str
     if empty not in ("drop", "zeros"):
         raise ValueError("empty must be 'drop' or 'zeros'")
     counts = window_counts(facts, report_windows(ref_date), list(labels))
-    rows = [
-        F.struct(F.col(f"any_{o}").alias("reached"), F.lit(label).alias("kpi"), *_report_columns(o))
+    structs = [
+        f"struct(any_{o} AS reached, {literal(label)} AS kpi, {', '.join(_report_columns(o))})"
         for o, label in labels.items()
     ]
-    report = counts.select(F.inline(F.array(*rows)))
+    report = rows(counts, structs)
     return (report.where("reached") if empty == "drop" else report).drop("reached")
 
 
-def _report_columns(outcome: str) -> list[Column]:
-    def users(window: str) -> Column:
-        return F.col(f"{outcome}_{window}")
+def _report_columns(outcome: str) -> list[str]:
+    def users(window: str) -> str:
+        return f"{outcome}_{window}"
 
-    def buyers(window: str) -> Column:
-        return F.col(f"buyers_{window}")
+    def buyers(window: str) -> str:
+        return f"buyers_{window}"
 
-    def share(window: str) -> Column:
-        return pct(users(window), buyers(window)).alias(f"pct_{window}")
+    def share(window: str) -> str:
+        return f"{pct(users(window), buyers(window))} AS pct_{window}"
 
-    def delta(window: str, prior: str, name: str) -> Column:
-        return pct_delta(users(window), buyers(window), users(prior), buyers(prior)).alias(name)
+    def delta(window: str, prior: str, name: str) -> str:
+        return f"{pct_delta(users(window), buyers(window), users(prior), buyers(prior))} AS {name}"
 
-    def plain(*windows: str) -> list[Column]:
-        return [c for w in windows for c in (users(w).alias(f"users_{w}"), share(w))]
+    def plain(*windows: str) -> list[str]:
+        return [column for w in windows for column in (f"{users(w)} AS users_{w}", share(w))]
 
-    def rolling(window: str) -> list[Column]:
-        return [round_ratio(users(window), F.lit(7), 1).alias(f"users_{window}_daily_avg"), share(window)]
+    def rolling(window: str) -> list[str]:
+        return [f"{round_ratio(users(window), '7', 1)} AS users_{window}_daily_avg", share(window)]
 
     return [
-        *(c for w in ROLLING for c in rolling(w)),
+        *rolling("W"),
+        *rolling("W1"),
         *plain("today", "lw_same_day"),
         delta("W", "W1", "wow_delta_pct_pts"),
         *plain("MTD", "LM_MTD"),
@@ -87,13 +99,17 @@ def _report_columns(outcome: str) -> list[Column]:
     ]
 
 
-def _shares(outcomes: list[str], whole: str) -> list[Column]:
+def _activated(outcomes: list[str]) -> list[str]:
+    return ["count(1) AS total_purchases", *(f"count_if({o}) AS {o}_activated_24hr" for o in outcomes)]
+
+
+def _shares(outcomes: list[str]) -> list[str]:
     return [
         column
         for o in outcomes
         for column in (
-            F.col(f"{o}_activated_24hr"),
-            pct(F.col(f"{o}_activated_24hr"), F.col(whole)).alias(f"{o}_activation_pct"),
+            f"{o}_activated_24hr",
+            f"{pct(f'{o}_activated_24hr', 'total_purchases')} AS {o}_activation_pct",
         )
     ]
 
@@ -103,21 +119,17 @@ def activation_daily(facts: DataFrame, outcomes: list[str], transactions: bool =
 
     ``total_purchases`` counts each buyer once a day; ``transactions`` adds the number of payments.
     """
-    daily = facts.groupBy("purchase_date").agg(
-        F.count(F.lit(1)).alias("total_purchases"),
-        F.sum("transactions").alias("total_transactions"),
-        *(F.count_if(F.col(o)).alias(f"{o}_activated_24hr") for o in outcomes),
-    )
-    extra = [F.col("total_transactions")] if transactions else []
-    return daily.select(
-        *date_attributes(F.col("purchase_date")), "total_purchases", *_shares(outcomes, "total_purchases"), *extra
+    extra = ["sum(transactions) AS total_transactions"] if transactions else []
+    daily = aggregate(facts, ["purchase_date"], [*_activated(outcomes), *extra])
+    return daily.selectExpr(
+        *date_attributes("purchase_date"),
+        "total_purchases",
+        *_shares(outcomes),
+        *(["total_transactions"] if transactions else []),
     )
 
 
 def activation_by_category(facts: DataFrame, outcomes: list[str]) -> DataFrame:
     """Per exam category of the buyer: buyer days, and per outcome how many were activated and their percent."""
-    by_category = facts.groupBy("category").agg(
-        F.count(F.lit(1)).alias("total_purchases"),
-        *(F.count_if(F.col(o)).alias(f"{o}_activated_24hr") for o in outcomes),
-    )
-    return by_category.select("category", "total_purchases", *_shares(outcomes, "total_purchases"))
+    by_category = aggregate(facts, ["category"], _activated(outcomes))
+    return by_category.selectExpr("category", "total_purchases", *_shares(outcomes))

@@ -5,34 +5,25 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from kpiloom.functions import date_attributes
+from kpiloom.functions import date_attributes, date_literal, is_weekend
 
 
 def _attributes(days: DataFrame) -> DataFrame:
-    day = F.col("day")
-    label, name, week, month = date_attributes(day)
-    return days.select(
-        label,
-        F.year(day).alias("year"),
-        month,
-        week,
-        name,
-        (F.weekday(day) >= 5).alias("is_weekend"),
-    )
+    label, name, week, month = date_attributes("day")
+    return days.selectExpr(label, "year(day) AS year", month, week, name, f"{is_weekend('day')} AS is_weekend")
 
 
 def date_dim(spark: SparkSession, start: date, end: date) -> DataFrame:
     """A row per day from ``start`` to ``end``, both included."""
-    span = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("day"))
-    return _attributes(span)
+    span = f"explode(sequence({date_literal(start)}, {date_literal(end)})) AS day"
+    return _attributes(spark.range(1).selectExpr(span))
 
 
 def date_dim_of(df: DataFrame, column: str) -> DataFrame:
     """A row per day from the first to the last day that occurs in a date column."""
-    ends = df.agg(F.min(column).alias("first"), F.max(column).alias("last")).where("first IS NOT NULL")
-    return _attributes(ends.select(F.explode(F.sequence("first", "last")).alias("day")))
+    ends = df.selectExpr(f"min({column}) AS first", f"max({column}) AS last").where("first IS NOT NULL")
+    return _attributes(ends.selectExpr("explode(sequence(first, last)) AS day"))
 
 
 def on_calendar(daily: DataFrame, dates: DataFrame) -> DataFrame:

@@ -6,10 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from kpiloom.functions import local_date, local_date_from
+from kpiloom.functions import date_literal, literal, local_date, local_date_from, one_of
 from kpiloom.sources.schemas import EXAM_CATEGORIES
 from kpiloom.sources.tables import require
 
@@ -38,50 +37,42 @@ def since_floor(df: DataFrame, rules: Rules) -> DataFrame:
     """
     if rules.floor_date is None:
         return df
-    return df.where(F.col("day") >= F.lit(rules.floor_date)).where(
-        local_date_from(F.col("server_time"), rules.floor_date, rules.utc_offset_minutes)
-    )
+    by_partition = f"day >= {date_literal(rules.floor_date)}"
+    return df.where(f"{by_partition} AND {local_date_from('server_time', rules.floor_date, rules.utc_offset_minutes)}")
 
 
-def in_scope(category: Column, rules: Rules) -> Column:
-    """Whether a category is one of those reported."""
-    return category.isin(*rules.categories)
+def in_scope(rules: Rules) -> str:
+    """Condition that a category is one of those reported."""
+    return "true" if rules.categories is None else one_of("category", rules.categories)
 
 
-def unlike(text: Column, pattern: str) -> Column:
-    """Text known and not of the pattern, in any case. Unknown text does not pass."""
-    return ~F.lower(text).like(pattern)
+def unlike(column: str, pattern: str) -> str:
+    """Condition that a text is known and not of the pattern, in any case. Unknown text does not pass."""
+    return f"lower({column}) NOT LIKE {literal(pattern)}"
 
 
 def paid_purchases(purchases: DataFrame, rules: Rules) -> DataFrame:
     """Purchases with money paid: (user_id, purchase_date, amount), one row per transaction."""
-    return (
-        since_floor(purchases, rules)
-        .where(F.col("amount") > 0)
-        .select(
-            "user_id",
-            local_date(F.col("server_time"), rules.utc_offset_minutes).alias("purchase_date"),
-            "amount",
-        )
+    bought_on = local_date("server_time", rules.utc_offset_minutes)
+    return since_floor(purchases, rules).where("amount > 0").selectExpr(
+        "user_id", f"{bought_on} AS purchase_date", "amount"
     )
 
 
 def members(users: DataFrame, rules: Rules) -> DataFrame:
     """Users whose category is in scope: (user_id, category)."""
-    known = users.select("user_id", "category")
-    return known if rules.categories is None else known.where(in_scope(F.col("category"), rules))
+    return users.where(in_scope(rules)).select("user_id", "category")
 
 
 def activity_rows(facts: DataFrame, rules: Rules) -> DataFrame:
     """(user_id, activity_date) of every row from the floor date on."""
-    return since_floor(facts, rules).select(
-        "user_id", local_date(F.col("server_time"), rules.utc_offset_minutes).alias("activity_date")
-    )
+    active_on = local_date("server_time", rules.utc_offset_minutes)
+    return since_floor(facts, rules).selectExpr("user_id", f"{active_on} AS activity_date")
 
 
 def live_activity(live_sessions: DataFrame, rules: Rules) -> DataFrame:
     """Live classes, without those started from a free screen or from an unknown one."""
-    return activity_rows(live_sessions.where(unlike(F.col("screen"), rules.free_pattern)), rules)
+    return activity_rows(live_sessions.where(unlike("screen", rules.free_pattern)), rules)
 
 
 def video_activity(video_events: DataFrame, rules: Rules) -> DataFrame:
@@ -91,8 +82,8 @@ def video_activity(video_events: DataFrame, rules: Rules) -> DataFrame:
 
 def test_activity(test_attempts: DataFrame, rules: Rules) -> DataFrame:
     """Tests finished, without quizzes and tests of unknown title."""
-    finished = test_attempts.where(F.col("action") == rules.finished_action)
-    return activity_rows(finished.where(unlike(F.col("title"), rules.quiz_pattern)), rules)
+    finished = f"action = {literal(rules.finished_action)} AND {unlike('title', rules.quiz_pattern)}"
+    return activity_rows(test_attempts.where(finished), rules)
 
 
 # Kinds of activity, the table each comes from and how it is cleaned.

@@ -8,12 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from kpiloom.functions import FlagSet, date_attributes, local_date, round_ratio, whole_div
+from pyspark.sql import DataFrame
+
+from kpiloom.functions import (
+    FlagSet,
+    aggregate,
+    column_name,
+    date_attributes,
+    literal,
+    local_date,
+    round_ratio,
+    rows,
+    whole_div,
+)
 from kpiloom.operators.cleaning import Rules, in_scope, since_floor
-from kpiloom.operators.naming import column_name
 from kpiloom.sources.schemas import CONTENT_TYPES, MAIN_CATEGORIES, WIDE_CATEGORIES, WIDE_CONTENT_TYPES
 
 CONTENT_LABEL = "Content Consumed Per Day"
@@ -21,67 +29,65 @@ CONTENT_LABEL = "Content Consumed Per Day"
 
 def content_rows(content_events: DataFrame, rules: Rules) -> DataFrame:
     """Events in scope, by the category of the event, with their local date."""
-    chosen = since_floor(content_events, rules)
-    if rules.categories is not None:
-        chosen = chosen.where(in_scope(F.col("category"), rules))
-    return chosen.select(
-        local_date(F.col("server_time"), rules.utc_offset_minutes).alias("activity_date"),
-        "user_id",
-        "content_type",
-        "category",
-        "duration_seconds",
+    consumed_on = local_date("server_time", rules.utc_offset_minutes)
+    return (
+        since_floor(content_events, rules)
+        .where(in_scope(rules))
+        .selectExpr(f"{consumed_on} AS activity_date", "user_id", "content_type", "category", "duration_seconds")
     )
 
 
 def daily_active_users(content_events: DataFrame, rules: Rules) -> DataFrame:
     """Distinct users per day: (activity_date, dau)."""
     per_user = content_rows(content_events, rules).select("activity_date", "user_id").distinct()
-    return per_user.groupBy("activity_date").agg(F.count("user_id").alias("dau"))
+    return aggregate(per_user, ["activity_date"], ["count(user_id) AS dau"])
 
 
 def content_counts(
     content_events: DataFrame, rules: Rules, content_types: Sequence[str], categories: Sequence[str]
 ) -> DataFrame:
     """Per day: users, events and seconds, users and events per type, users per category."""
-    known = F.col("user_id").isNotNull()
-    flags = FlagSet("flags", {f"category {c}": known & (F.col("category") == c) for c in categories})
-    per_user = (
-        content_rows(content_events, rules)
-        .groupBy("activity_date", "user_id")
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.sum("duration_seconds").alias("seconds"),
-            *(F.count_if(F.col("content_type") == t).alias(f"type {t}") for t in content_types),
+    known = "user_id IS NOT NULL"
+    flags = FlagSet("flags", {f"category {c}": f"{known} AND category = {literal(c)}" for c in categories})
+    per_user = aggregate(
+        content_rows(content_events, rules),
+        ["activity_date", "user_id"],
+        [
+            "count(1) AS events",
+            "sum(duration_seconds) AS seconds",
+            *(f"count_if(content_type = {literal(t)}) AS `type {t}`" for t in content_types),
             *flags.seen(),
-        )
+        ],
     )
-    return per_user.groupBy("activity_date").agg(
-        F.count("user_id").alias("dau"),
-        F.sum("events").alias("events"),
-        F.sum("seconds").alias("seconds"),
-        *(F.count_if((F.col(f"type {t}") > 0) & known).alias(f"users {t}") for t in content_types),
-        *(F.sum(f"type {t}").alias(f"events {t}") for t in content_types),
-        *flags.counts(),
+    return aggregate(
+        per_user,
+        ["activity_date"],
+        [
+            "count(user_id) AS dau",
+            "sum(events) AS events",
+            "sum(seconds) AS seconds",
+            *(f"count_if(`type {t}` > 0 AND {known}) AS `users {t}`" for t in content_types),
+            *(f"sum(`type {t}`) AS `events {t}`" for t in content_types),
+            *flags.counts(),
+        ],
     )
 
 
-def _volume() -> list[Column]:
-    dau, events, seconds = F.col("dau"), F.col("events"), F.col("seconds")
-    return [
-        dau,
-        events.alias("total_consumption_events"),
-        round_ratio(events, dau, 2).alias("avg_items_per_user"),
-        round_ratio(seconds, F.lit(3600), 1).alias("total_watch_hours"),
-        # Whole seconds per user come first, then minutes.
-        round_ratio(whole_div(seconds, dau), F.lit(60), 1).alias("avg_watch_min_per_user"),
-    ]
+# Whole seconds per user come first, then minutes.
+VOLUME = (
+    "dau",
+    "events AS total_consumption_events",
+    f"{round_ratio('events', 'dau', 2)} AS avg_items_per_user",
+    f"{round_ratio('seconds', '3600', 1)} AS total_watch_hours",
+    f"{round_ratio(whole_div('seconds', 'dau'), '60', 1)} AS avg_watch_min_per_user",
+)
 
 
-def _by_type(content_types: Mapping[str, str]) -> list[Column]:
+def _by_type(content_types: Mapping[str, str]) -> list[str]:
     return [
         column
         for t, stem in content_types.items()
-        for column in (F.col(f"users {t}").alias(f"{stem}_users"), F.col(f"events {t}").alias(f"{stem}_events"))
+        for column in (f"`users {t}` AS {stem}_users", f"`events {t}` AS {stem}_events")
     ]
 
 
@@ -91,12 +97,12 @@ def content_daily(
     categories: Sequence[str] = MAIN_CATEGORIES,
 ) -> DataFrame:
     """Daily content report with a few categories. ``content_types``: type -> column stem."""
-    return counts.select(
-        F.lit(CONTENT_LABEL).alias("kpi"),
+    return counts.selectExpr(
+        f"{literal(CONTENT_LABEL)} AS kpi",
         "activity_date",
-        *_volume(),
+        *VOLUME,
         *_by_type(content_types),
-        *(F.col(f"category {c}").alias(f"{column_name(c)}_users") for c in categories),
+        *(f"`category {c}` AS {column_name(c)}_users" for c in categories),
     )
 
 
@@ -106,23 +112,20 @@ def content_daily_wide(
     categories: Sequence[str] = WIDE_CATEGORIES,
 ) -> DataFrame:
     """Daily content report with date attributes and a column per category."""
-    return counts.select(
-        *date_attributes(F.col("activity_date")),
-        *_volume(),
+    return counts.selectExpr(
+        *date_attributes("activity_date"),
+        *VOLUME,
         *_by_type(content_types),
-        *(F.col(f"category {c}").alias(f"cat_{column_name(c)}_users") for c in categories),
+        *(f"`category {c}` AS cat_{column_name(c)}_users" for c in categories),
     )
 
 
 def content_by_type(counts: DataFrame, content_types: Sequence[str] = tuple(CONTENT_TYPES)) -> DataFrame:
     """A row per day and content type, for stacked charts: (date, content_type, users, events)."""
-    rows = [
-        F.struct(
-            F.col("activity_date").alias("date"),
-            F.lit(t).alias("content_type"),
-            F.col(f"users {t}").alias("users"),
-            F.col(f"events {t}").alias("events"),
-        )
-        for t in content_types
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    return rows(
+        counts,
+        [
+            f"struct(activity_date AS date, {literal(t)} AS content_type, `users {t}` AS users, `events {t}` AS events)"
+            for t in content_types
+        ],
+    )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kpiloom.functions import local_date
 
@@ -26,8 +25,8 @@ def attach(
     partitions, chosen by the columns ``spread_by`` so that a repeated task chooses the same, and every
     dimension row is sent to all of them. A dimension that Spark measures as small is broadcast instead.
     """
-    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = facts.selectExpr("*", f"cast(pmod(xxhash64({', '.join(spread_by)}), {salts}) as int) AS _salt")
+    copies = dimension.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -40,8 +39,8 @@ def purchases_with_daily(
     purchases: DataFrame, daily: DataFrame, columns: Sequence[str], utc_offset_minutes: int
 ) -> DataFrame:
     """Every purchase with its local date and columns of a daily KPI of that date."""
-    dated = purchases.withColumn("purchase_date", local_date(F.col("server_time"), utc_offset_minutes))
-    by_date = daily.select(F.col("date").alias("purchase_date"), *columns)
+    dated = purchases.selectExpr("*", f"{local_date('server_time', utc_offset_minutes)} AS purchase_date")
+    by_date = daily.selectExpr("date AS purchase_date", *columns)
     return attach(dated, by_date, ["purchase_date"], ["transaction_id"])
 
 

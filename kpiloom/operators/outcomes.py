@@ -16,10 +16,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from kpiloom.functions.flags import WORD_BITS
+from kpiloom.functions import aggregate
+
+# Up to this many days per purchase are waited on one by one; each is a row to shuffle.
+MAX_OFFSETS = 16
 
 
 @dataclass(frozen=True)
@@ -47,10 +49,8 @@ def around(day: int, tolerance: int, *kinds: str) -> Outcome:
 
 def activity_days(activity: Mapping[str, DataFrame]) -> DataFrame:
     """One row per user and day with activity: (user_id, activity_date, one boolean column per kind)."""
-    rows = _labelled(activity)
-    return rows.groupBy("user_id", "activity_date").agg(
-        *(_has(F.bit_or("kinds"), _bit(activity, kind)).alias(kind) for kind in activity)
-    )
+    seen = [f"{_has('bit_or(kinds)', _bits(activity, kind))} AS {kind}" for kind in activity]
+    return aggregate(_labelled(activity), ["user_id", "activity_date"], seen)
 
 
 def purchase_outcomes(
@@ -69,7 +69,7 @@ def purchase_outcomes(
     Result: (user_id, purchase_date[, category], transactions, <outcomes>).
     """
     offsets = sorted({offset for outcome in outcomes.values() for offset in outcome.offsets})
-    if len(offsets) <= WORD_BITS:
+    if len(offsets) <= MAX_OFFSETS:
         hits = _hits_by_offset(purchases, activity, outcomes, offsets)
     else:
         hits = _hits_by_range(purchases, activity, outcomes)
@@ -77,27 +77,26 @@ def purchase_outcomes(
     if members is not None:
         hits = hits.join(members, "user_id")
         keys.append("category")
-    return hits.groupBy(*keys).agg(
-        F.sum("transactions").alias("transactions"),
-        *(F.bool_or(name).alias(name) for name in outcomes),
+    return aggregate(
+        hits, keys, ["sum(transactions) AS transactions", *(f"bool_or({name}) AS {name}" for name in outcomes)]
     )
 
 
-def _bit(activity: Mapping[str, DataFrame], *kinds: str) -> int:
+def _bits(activity: Mapping[str, DataFrame], *kinds: str) -> int:
     order = list(activity)
-    return reduce(lambda mask, kind: mask | (1 << order.index(kind)), kinds, 0)
+    return sum(1 << order.index(kind) for kind in set(kinds))
 
 
-def _has(mask: Column, bits: int) -> Column:
-    return mask.bitwiseAND(F.lit(bits)) != 0
+def _has(mask: str, bits: int) -> str:
+    return f"({mask} & {bits}) != 0"
 
 
-def _labelled(activity: Mapping[str, DataFrame]) -> DataFrame:
+def _labelled(activity: Mapping[str, DataFrame], *columns: str) -> DataFrame:
     labelled = [
-        df.select("user_id", "activity_date", F.lit(_bit(activity, kind)).alias("kinds"))
+        df.selectExpr("user_id", "activity_date", f"{_bits(activity, kind)} AS kinds", *columns)
         for kind, df in activity.items()
     ]
-    return reduce(DataFrame.unionByName, labelled)
+    return reduce(DataFrame.unionAll, labelled)
 
 
 def _hits_by_offset(
@@ -108,47 +107,27 @@ def _hits_by_offset(
 ) -> DataFrame:
     """A row per purchase day and offset, with the outcomes that the activity of that day fulfils.
 
-    ``waiting`` has bit i set where the user bought ``offsets[i]`` days earlier.
+    ``waiting`` has bit i set where the user bought ``offsets[i]`` days earlier. Days without activity
+    are kept for the first offset only, which says that there was a purchase and how many.
     """
-    waiting = purchases.select(
-        "user_id", F.posexplode(F.array(*(F.date_add("purchase_date", o) for o in offsets))).alias("position", "day")
-    ).select(
-        "user_id",
-        "day",
-        F.expr("shiftleft(1L, position)").alias("waiting"),
-        F.lit(0).alias("kinds"),
-        F.when(F.col("position") == 0, 1).otherwise(0).cast("bigint").alias("transactions"),
-    )
-    active = _labelled(activity).select(
-        "user_id",
-        F.col("activity_date").alias("day"),
-        F.lit(0).cast("bigint").alias("waiting"),
-        "kinds",
-        F.lit(0).cast("bigint").alias("transactions"),
-    )
-    days = (
-        waiting.unionByName(active)
-        .groupBy("user_id", "day")
-        .agg(
-            F.bit_or("waiting").alias("waiting"),
-            F.bit_or("kinds").alias("kinds"),
-            F.sum("transactions").alias("transactions"),
-        )
-        .where(F.col("waiting") != 0)
+    targets = ", ".join(f"date_add(purchase_date, {o})" for o in offsets)
+    waiting = purchases.selectExpr("user_id", f"posexplode(array({targets})) AS (position, day)").selectExpr(
+        "user_id", "day", "0 AS kinds", "shiftleft(1, position) AS waiting", "if(position = 0, 1L, 0L) AS transactions"
     )
-    position = F.col("position")
-    per_offset = days.select(
-        "*", F.posexplode(F.array(*(F.lit(o) for o in offsets))).alias("position", "offset")
-    ).where(F.col("waiting").bitwiseAND(F.expr("shiftleft(1L, position)")) != 0)
-    return per_offset.select(
+    active = _labelled(activity, "0 AS waiting", "0L AS transactions")
+    days = aggregate(
+        waiting.unionAll(active),
+        ["user_id", "day"],
+        ["bit_or(kinds) AS kinds", "bit_or(waiting) AS waiting", "sum(transactions) AS transactions"],
+    ).where("(waiting & 1) != 0 OR (waiting != 0 AND kinds != 0)")
+    per_offset = days.selectExpr("*", f"posexplode(array({', '.join(map(str, offsets))})) AS (position, offset)")
+    return per_offset.where("(waiting & shiftleft(1, position)) != 0 AND (position = 0 OR kinds != 0)").selectExpr(
         "user_id",
-        F.expr("date_sub(day, offset)").alias("purchase_date"),
-        F.when(position == 0, F.col("transactions")).otherwise(0).alias("transactions"),
+        "date_sub(day, offset) AS purchase_date",
+        "if(position = 0, transactions, 0L) AS transactions",
         *(
-            (
-                F.col("offset").between(outcome.first_day, outcome.last_day)
-                & _has(F.col("kinds"), _bit(activity, *outcome.kinds))
-            ).alias(name)
+            f"offset BETWEEN {outcome.first_day} AND {outcome.last_day} "
+            f"AND {_has('kinds', _bits(activity, *outcome.kinds))} AS {name}"
             for name, outcome in outcomes.items()
         ),
     )
@@ -161,34 +140,24 @@ def _hits_by_range(
 
     A user has at most one row per calendar day here, however many events there were.
     """
-    bought = purchases.select(
-        "user_id",
-        F.col("purchase_date").alias("day"),
-        F.lit(0).alias("kinds"),
-        F.lit(1).cast("bigint").alias("transactions"),
-    )
-    active = _labelled(activity).select(
-        "user_id", F.col("activity_date").alias("day"), "kinds", F.lit(0).cast("bigint").alias("transactions")
+    bought = purchases.selectExpr("user_id", "purchase_date", "0 AS kinds", "1L AS transactions")
+    days = aggregate(
+        bought.unionAll(_labelled(activity, "0L AS transactions")),
+        ["user_id", "purchase_date"],
+        ["bit_or(kinds) AS kinds", "sum(transactions) AS transactions"],
     )
-    days = (
-        bought.unionByName(active)
-        .groupBy("user_id", "day")
-        .agg(F.bit_or("kinds").alias("kinds"), F.sum("transactions").alias("transactions"))
-        .withColumn("day_number", F.unix_date("day"))
-    )
-    by_day = Window.partitionBy("user_id").orderBy("day_number")
-    seen = days.select(
+
+    def seen(outcome: Outcome) -> str:
+        def bound(days: int) -> str:
+            return f"{abs(days)} {'FOLLOWING' if days >= 0 else 'PRECEDING'}"
+
+        frame = f"RANGE BETWEEN {bound(outcome.first_day)} AND {bound(outcome.last_day)}"
+        over = f"bit_or(kinds) OVER (PARTITION BY user_id ORDER BY unix_date(purchase_date) {frame})"
+        return _has(f"coalesce({over}, 0)", _bits(activity, *outcome.kinds))
+
+    return days.selectExpr(
         "user_id",
-        F.col("day").alias("purchase_date"),
+        "purchase_date",
         "transactions",
-        *(
-            _has(
-                F.coalesce(
-                    F.bit_or("kinds").over(by_day.rangeBetween(outcome.first_day, outcome.last_day)), F.lit(0)
-                ),
-                _bit(activity, *outcome.kinds),
-            ).alias(name)
-            for name, outcome in outcomes.items()
-        ),
-    )
-    return seen.where(F.col("transactions") > 0)
+        *(f"{seen(outcome)} AS {name}" for name, outcome in outcomes.items()),
+    ).where("transactions > 0")

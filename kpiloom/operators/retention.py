@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from kpiloom.functions import month_label, pct
+from kpiloom.functions import aggregate, literal, month_label, pct
 
 RETENTION_LABEL = "Retention"
 UNITS = ("pairs", "users")
@@ -15,20 +14,24 @@ UNITS = ("pairs", "users")
 
 def cohort_counts(facts: DataFrame, outcomes: list[str]) -> DataFrame:
     """Per purchase month: distinct buyers, and per outcome the retained purchase days and retained buyers."""
-    per_user = facts.groupBy("user_id", F.trunc("purchase_date", "month").alias("cohort")).agg(
-        *(F.count_if(F.col(o)).alias(o) for o in outcomes)
+    per_user = aggregate(
+        facts, ["user_id", "trunc(purchase_date, 'month') AS cohort"], [f"count_if({o}) AS {o}" for o in outcomes]
     )
-    return per_user.groupBy("cohort").agg(
-        F.count(F.lit(1)).alias("buyers"),
-        *(F.sum(o).alias(f"{o}_pairs") for o in outcomes),
-        *(F.count_if(F.col(o) > 0).alias(f"{o}_users") for o in outcomes),
+    return aggregate(
+        per_user,
+        ["cohort"],
+        [
+            "count(1) AS buyers",
+            *(f"sum({o}) AS {o}_pairs" for o in outcomes),
+            *(f"count_if({o} > 0) AS {o}_users" for o in outcomes),
+        ],
     )
 
 
-def _retained(outcome: str, unit: str) -> Column:
+def _retained(outcome: str, unit: str) -> str:
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}")
-    return F.col(f"{outcome}_{unit}")
+    return f"{outcome}_{unit}"
 
 
 def retention_cohorts(facts: DataFrame, names: Mapping[str, str], unit: str = "pairs") -> DataFrame:
@@ -37,16 +40,13 @@ def retention_cohorts(facts: DataFrame, names: Mapping[str, str], unit: str = "p
     ``names``: outcome -> column stem. With ``unit="pairs"`` a buyer counts once per purchase day
     retained, over distinct buyers, so that the percent can pass 100; with ``unit="users"`` once a month.
     """
-    counts = cohort_counts(facts, list(names))
     columns = []
-    for position, (outcome, stem) in enumerate(names.items()):
+    for outcome, stem in names.items():
         retained = _retained(outcome, unit)
-        columns.append(retained.alias(f"{stem}_retained_users"))
-        if position == 0:
-            columns.append(F.col("buyers").alias("total_purchase_users"))
-        columns.append(pct(retained, F.col("buyers")).alias(f"{stem}_retention_pct"))
-    return counts.select(
-        F.lit(RETENTION_LABEL).alias("kpi"), *columns, F.col("cohort").alias("purchase_cohort_month")
+        columns += [f"{retained} AS {stem}_retained_users", f"{pct(retained, 'buyers')} AS {stem}_retention_pct"]
+    columns.insert(1, "buyers AS total_purchase_users")
+    return cohort_counts(facts, list(names)).selectExpr(
+        f"{literal(RETENTION_LABEL)} AS kpi", *columns, "cohort AS purchase_cohort_month"
     )
 
 
@@ -55,17 +55,11 @@ def retention_waterfall(facts: DataFrame, names: Mapping[str, str], unit: str =
 
     Those not retained are the buyers less those retained, which adds up only for ``unit="users"``.
     """
-    counts = cohort_counts(facts, list(names))
-    return counts.select(
-        month_label(F.col("cohort")).alias("cohort_month"),
-        F.col("buyers").alias("total_purchased_users"),
-        *(
-            column
-            for outcome, stem in names.items()
-            for column in (
-                _retained(outcome, unit).alias(f"{stem}_retained_users"),
-                pct(_retained(outcome, unit), F.col("buyers")).alias(f"{stem}_retention_pct"),
-            )
-        ),
-        *((F.col("buyers") - _retained(o, unit)).alias(f"{stem}_not_retained") for o, stem in names.items()),
+    columns = []
+    for outcome, stem in names.items():
+        retained = _retained(outcome, unit)
+        columns += [f"{retained} AS {stem}_retained_users", f"{pct(retained, 'buyers')} AS {stem}_retention_pct"]
+    columns += [f"buyers - {_retained(outcome, unit)} AS {stem}_not_retained" for outcome, stem in names.items()]
+    return cohort_counts(facts, list(names)).selectExpr(
+        f"{month_label('cohort')} AS cohort_month", "buyers AS total_purchased_users", *columns
     )

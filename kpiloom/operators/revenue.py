@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions import pct, round_ratio
+from kpiloom.functions import aggregate, pct, round_ratio
 
 
 def revenue_daily(paid: DataFrame, members: DataFrame) -> DataFrame:
@@ -15,23 +15,22 @@ def revenue_daily(paid: DataFrame, members: DataFrame) -> DataFrame:
     count. ``conversion_pct`` is the share of all members who bought on that day. Money is added up in
     whole hundredths.
     """
-    hundredths = (F.col("amount").cast("decimal(20,2)") * 100).cast("bigint")
-    per_user = paid.groupBy("user_id", "purchase_date").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(hundredths).alias("hundredths")
+    per_user = aggregate(
+        paid,
+        ["user_id", "purchase_date"],
+        ["count(1) AS orders", "sum(cast(cast(amount as decimal(20,2)) * 100 as bigint)) AS hundredths"],
     )
-    daily = (
-        per_user.join(members, "user_id", "left_semi")
-        .groupBy("purchase_date")
-        .agg(
-            F.count(F.lit(1)).alias("buyers"), F.sum("orders").alias("orders"), F.sum("hundredths").alias("hundredths")
-        )
+    daily = aggregate(
+        per_user.join(members, "user_id", "left_semi"),
+        ["purchase_date"],
+        ["count(1) AS buyers", "sum(orders) AS orders", "sum(hundredths) AS hundredths"],
     )
-    everyone = members.agg(F.count_distinct("user_id").alias("everyone"))  # always exactly one row
-    return daily.crossJoin(F.broadcast(everyone)).select(
-        F.col("purchase_date").alias("date"),
+    everyone = members.selectExpr("count(DISTINCT user_id) AS everyone")  # always exactly one row
+    return daily.crossJoin(F.broadcast(everyone)).selectExpr(
+        "purchase_date AS date",
         "buyers",
         "orders",
-        (F.col("hundredths") / F.lit(100.0)).alias("revenue"),
-        round_ratio(F.col("hundredths"), F.col("orders") * 100, 2).alias("avg_order_value"),
-        pct(F.col("buyers"), F.col("everyone")).alias("conversion_pct"),
+        "hundredths / 100D AS revenue",
+        f"{round_ratio('hundredths', 'orders * 100', 2)} AS avg_order_value",
+        f"{pct('buyers', 'everyone')} AS conversion_pct",
     )

@@ -8,11 +8,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from kpiloom.functions import FlagSet, date_attributes, local_date, pct, weekday_name
-from kpiloom.operators.naming import column_name
+from pyspark.sql import DataFrame
+
+from kpiloom.functions import (
+    FlagSet,
+    aggregate,
+    column_name,
+    date_attributes,
+    date_literal,
+    is_weekend,
+    literal,
+    local_date,
+    one_of,
+    pct,
+    rows,
+    weekday_name,
+)
 from kpiloom.sources.schemas import MAIN_CATEGORIES, WIDE_CATEGORIES
 
 SIGNUP_LABEL = "Signup to Category Selected"
@@ -37,38 +48,35 @@ def signup_counts(
     ``signup_offset_minutes=0`` gives the plain local date. Threshold 0 asks for a selection on the
     signup date itself, the others for one up to that many days later, earlier ones included.
     """
-    chosen = users.where(F.col("signup_date") <= F.lit(ref_date))
+    chosen = users.where(f"signup_date <= {date_literal(ref_date)}")
     if floor_date is not None:
-        chosen = chosen.where(F.col("signup_date") >= F.lit(floor_date))
-    selected_at = F.col("category_selected_date").cast("timestamp_ntz")
-    signups = chosen.select(
+        chosen = chosen.where(f"signup_date >= {date_literal(floor_date)}")
+    selected_at = "cast(category_selected_date as timestamp_ntz)"
+    signups = chosen.selectExpr(
         "user_id",
         "category",
-        local_date(F.col("signup_ts"), signup_offset_minutes).alias("signed_up"),
-        local_date(selected_at, signup_offset_minutes).alias("selected"),
+        f"{local_date('signup_ts', signup_offset_minutes)} AS signed_up",
+        f"{local_date(selected_at, signup_offset_minutes)} AS selected",
     )
-    known = F.col("user_id").isNotNull()
-    conditions = {f"d{n}": known & _selected_within(n) for n in thresholds}
-    conditions |= {f"category {c}": known & (F.col("category") == c) for c in (*categories, *main_categories)}
-    conditions["others"] = known & ~F.col("category").isin(*main_categories) & (F.col("category") != "")
-    flags = FlagSet("flags", conditions)
-    per_user = signups.groupBy("signed_up", "user_id").agg(*flags.seen())
-    return per_user.groupBy("signed_up").agg(F.count("user_id").alias("total_signups"), *flags.counts())
+    conditions = {f"d{n}": _selected_within(n) for n in thresholds}
+    conditions |= {f"category {c}": f"category = {literal(c)}" for c in (*categories, *main_categories)}
+    conditions["others"] = f"NOT {one_of('category', main_categories)} AND category != ''"
+    flags = FlagSet("flags", {name: f"user_id IS NOT NULL AND {c}" for name, c in conditions.items()})
+    per_user = aggregate(signups, ["signed_up", "user_id"], flags.seen())
+    return aggregate(per_user, ["signed_up"], ["count(user_id) AS total_signups", *flags.counts()])
 
 
-def _selected_within(days: int) -> Column:
-    if days == 0:
-        return F.col("selected") == F.col("signed_up")
-    return F.col("selected") <= F.date_add("signed_up", days)
+def _selected_within(days: int) -> str:
+    return "selected = signed_up" if days == 0 else f"selected <= date_add(signed_up, {days})"
 
 
-def _thresholds(thresholds: Sequence[int]) -> list[Column]:
+def _thresholds(thresholds: Sequence[int]) -> list[str]:
     return [
         column
         for n in thresholds
         for column in (
-            F.col(f"d{n}").alias(f"cat_selected_d{n}"),
-            pct(F.col(f"d{n}"), F.col("total_signups")).alias(f"pct_cat_selected_d{n}"),
+            f"d{n} AS cat_selected_d{n}",
+            f"{pct(f'd{n}', 'total_signups')} AS pct_cat_selected_d{n}",
         )
     ]
 
@@ -77,12 +85,12 @@ def signup_funnel(
     counts: DataFrame, thresholds: Sequence[int] = THRESHOLDS, categories: Sequence[str] = MAIN_CATEGORIES
 ) -> DataFrame:
     """Daily funnel with a few categories and the rest in ``others``."""
-    return counts.select(
-        F.lit(SIGNUP_LABEL).alias("kpi"),
-        F.col("signed_up").alias("signup_date"),
+    return counts.selectExpr(
+        f"{literal(SIGNUP_LABEL)} AS kpi",
+        "signed_up AS signup_date",
         "total_signups",
         *_thresholds(thresholds),
-        *(F.col(f"category {c}").alias(column_name(c)) for c in categories),
+        *(f"`category {c}` AS {column_name(c)}" for c in categories),
         "others",
     )
 
@@ -91,28 +99,31 @@ def signup_funnel_wide(
     counts: DataFrame, thresholds: Sequence[int] = THRESHOLDS, categories: Sequence[str] = WIDE_CATEGORIES
 ) -> DataFrame:
     """Daily funnel with date attributes and a column per category."""
-    return counts.select(
-        *date_attributes(F.col("signed_up")),
+    return counts.selectExpr(
+        *date_attributes("signed_up"),
         "total_signups",
         *_thresholds(thresholds),
-        *(F.col(f"category {c}").alias(f"cat_{column_name(c)}") for c in categories),
+        *(f"`category {c}` AS cat_{column_name(c)}" for c in categories),
     )
 
 
 def signup_funnel_long(counts: DataFrame, thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:
     """Daily funnel with a row per date and stage: (date, stage, users, pct)."""
-    stages = counts.select(
-        F.col("signed_up").alias("date"), "total_signups", *(F.col(f"d{n}").alias(f"D{n}") for n in thresholds)
-    ).unpivot(["date", "total_signups"], [f"D{n}" for n in thresholds], "stage", "users")
-    return stages.select("date", "stage", "users", pct(F.col("users"), F.col("total_signups")).alias("pct"))
+    stages = [
+        f"struct(signed_up AS date, 'D{n}' AS stage, d{n} AS users, {pct(f'd{n}', 'total_signups')} AS pct)"
+        for n in thresholds
+    ]
+    return rows(counts, stages)
 
 
 def signup_by_weekday(counts: DataFrame) -> DataFrame:
     """Same-day selection rate per weekday, summed over the days before it is divided."""
-    by_weekday = counts.groupBy(
-        weekday_name(F.col("signed_up")).alias("day_of_week"), (F.weekday("signed_up") >= 5).alias("is_weekend")
-    ).agg(F.sum("total_signups").alias("total_signups"), F.sum("d0").alias("cat_selected_d0"))
-    return by_weekday.select("*", pct(F.col("cat_selected_d0"), F.col("total_signups")).alias("pct_cat_selected_d0"))
+    by_weekday = aggregate(
+        counts,
+        [f"{weekday_name('signed_up')} AS day_of_week", f"{is_weekend('signed_up')} AS is_weekend"],
+        ["sum(total_signups) AS total_signups", "sum(d0) AS cat_selected_d0"],
+    )
+    return by_weekday.selectExpr("*", f"{pct('cat_selected_d0', 'total_signups')} AS pct_cat_selected_d0")
 
 
 # Stages of the journey, in order.
@@ -126,41 +137,22 @@ def journey_funnel(users: DataFrame, facts: DataFrame, outcomes: Sequence[str])
     qualified purchase, and reached any of ``outcomes`` after a purchase.
     """
 
-    def reached(stage: int, condition: Column) -> Column:
-        return F.when(condition, 1 << stage).otherwise(0)
-
-    activated = F.lit(False)
-    for outcome in outcomes:
-        activated = activated | F.col(outcome)
-    signed_up = users.select(
-        "user_id",
-        reached(0, F.col("signup_ts").isNotNull())
-        .bitwiseOR(reached(1, F.col("category_selected_date").isNotNull()))
-        .alias("stages"),
+    signed_up = users.selectExpr(
+        "user_id", "if(signup_ts IS NOT NULL, 1, 0) | if(category_selected_date IS NOT NULL, 2, 0) AS stages"
     )
-    bought = facts.select("user_id", reached(2, F.lit(True)).bitwiseOR(reached(3, activated)).alias("stages"))
-    per_user = (
-        signed_up.unionByName(bought)
-        .where(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.bit_or("stages").alias("stages"))
+    bought = facts.selectExpr("user_id", f"4 | if({' OR '.join(outcomes)}, 8, 0) AS stages")
+    per_user = aggregate(
+        signed_up.unionAll(bought).where("user_id IS NOT NULL"), ["user_id"], ["bit_or(stages) AS stages"]
     )
-    complete = [(1 << (stage + 1)) - 1 for stage in range(len(JOURNEY_STAGES))]
-    totals = per_user.agg(
-        *(
-            F.count_if(F.col("stages").bitwiseAND(F.lit(mask)) == mask).alias(f"stage_{stage}")
-            for stage, mask in enumerate(complete)
-        )
+    complete = [(2 << stage) - 1 for stage in range(len(JOURNEY_STAGES))]
+    totals = per_user.selectExpr(
+        *(f"count_if((stages & {mask}) = {mask}) AS stage_{stage}" for stage, mask in enumerate(complete))
+    )
+    drop_offs = ["cast(NULL as bigint)", *(f"stage_{s - 1} - stage_{s}" for s in range(1, len(complete)))]
+    return rows(
+        totals,
+        [
+            f"struct({stage + 1} AS step, {literal(label)} AS stage, stage_{stage} AS users, {lost} AS drop_off)"
+            for stage, (label, lost) in enumerate(zip(JOURNEY_STAGES, drop_offs, strict=True))
+        ],
     )
-    rows = [
-        F.struct(
-            F.lit(stage + 1).alias("step"),
-            F.lit(label).alias("stage"),
-            F.col(f"stage_{stage}").alias("users"),
-            (F.col(f"stage_{stage - 1}") - F.col(f"stage_{stage}") if stage else F.lit(None).cast("bigint")).alias(
-                "drop_off"
-            ),
-        )
-        for stage, label in enumerate(JOURNEY_STAGES)
-    ]
-    return totals.select(F.inline(F.array(*rows)))

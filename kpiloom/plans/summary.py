@@ -6,13 +6,13 @@ per day divides by the days of its window, also by those on which nothing happen
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from kpiloom.functions import pct, round_ratio
+from kpiloom.functions import between, date_literal, literal, pct, round_ratio, rows
 from kpiloom.operators.activation import window_counts
 from kpiloom.operators.cleaning import Rules
 from kpiloom.operators.content import daily_active_users
@@ -36,38 +36,25 @@ SIGNUP_KPI = "Signup to Category (D1)"
 CONTENT_KPI = "Content Consumed / DAU"
 
 
-def _rows(one_row: DataFrame, rows: list[tuple[str, str, Column, Column, str]]) -> DataFrame:
-    structs = [
-        F.struct(
-            F.lit(kpi).alias("kpi"),
-            F.lit(window).alias("window"),
-            users.cast("bigint").alias("users"),
-            share.cast("double").alias("pct"),
-            F.lit(label).alias("denom_label"),
-        )
-        for kpi, window, users, share, label in rows
-    ]
-    return one_row.select(F.inline(F.array(*structs)))
+def _row(kpi: str, window: str, users: str, share: str, label: str) -> str:
+    return (
+        f"struct({literal(kpi)} AS kpi, {literal(window)} AS window, cast({users} as bigint) AS users, "
+        f"cast({share} as double) AS pct, {literal(label)} AS denom_label)"
+    )
 
 
-def _per_day(total: Column, days: int) -> Column:
-    return round_ratio(total, F.lit(days), 0)
+def _per_day(total: str, days: int) -> str:
+    return round_ratio(total, str(days), 0)
 
 
 def activation_summary(facts: DataFrame, ref_date: date, digits: int = 1) -> DataFrame:
     """Activation in five windows; an outcome nobody reached still has its rows."""
     bounds = report_windows(ref_date)
     counts = window_counts(facts, {w: bounds[w] for w in ACTIVATION_WINDOWS}, list(ACTIVATION_KPIS))
-    return _rows(
+    return rows(
         counts,
         [
-            (
-                kpi,
-                name,
-                _per_day(F.col(f"{o}_{w}"), days),
-                pct(F.col(f"{o}_{w}"), F.col(f"buyers_{w}"), digits),
-                label,
-            )
+            _row(kpi, name, _per_day(f"{o}_{w}", days), pct(f"{o}_{w}", f"buyers_{w}", digits), label)
             for o, kpi in ACTIVATION_KPIS.items()
             for w, (name, label, days) in ACTIVATION_WINDOWS.items()
         ],
@@ -76,29 +63,22 @@ def activation_summary(facts: DataFrame, ref_date: date, digits: int = 1) -> Dat
 
 def retention_summary(
     facts: DataFrame,
-    outcomes: dict[str, Outcome],
+    outcomes: Mapping[str, Outcome],
     ref_date: date,
     unit: str = "pairs",
     complete_only: bool = True,
     digits: int = 1,
 ) -> DataFrame:
     """Retention per cohort; by default only of cohorts whose last buyer can have come back by ``ref_date``."""
-    counts = cohort_counts(facts, list(outcomes))
-    parts = []
-    for name, outcome in outcomes.items():
-        due = F.date_add(F.last_day("cohort"), outcome.last_day)
-        chosen = counts.where(due <= F.lit(ref_date)) if complete_only else counts
-        retained = F.col(f"{name}_{unit}")
-        parts.append(
-            chosen.select(
-                F.lit(f"{name.upper()} Retention").alias("kpi"),
-                F.concat(F.date_format("cohort", "MMM yyyy"), F.lit(" cohort")).alias("window"),
-                retained.cast("bigint").alias("users"),
-                pct(retained, F.col("buyers"), digits).alias("pct"),
-                F.concat(F.date_format("cohort", "MMM"), F.lit(" Purchasers")).alias("denom_label"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    structs = [
+        f"struct(date_add(last_day(cohort), {outcome.last_day}) AS due, '{name.upper()} Retention' AS kpi, "
+        f"concat(date_format(cohort, 'MMM yyyy'), ' cohort') AS window, {name}_{unit} AS users, "
+        f"{pct(f'{name}_{unit}', 'buyers', digits)} AS pct, "
+        f"concat(date_format(cohort, 'MMM'), ' Purchasers') AS denom_label)"
+        for name, outcome in outcomes.items()
+    ]
+    cohorts = rows(cohort_counts(facts, list(outcomes)), structs)
+    return (cohorts.where(f"due <= {date_literal(ref_date)}") if complete_only else cohorts).drop("due")
 
 
 def _windows_of_days(ref_date: date) -> dict[str, tuple[date, int]]:
@@ -111,11 +91,9 @@ def _windows_of_days(ref_date: date) -> dict[str, tuple[date, int]]:
 
 
 def _window_sums(daily: DataFrame, day: str, columns: list[str], ref_date: date) -> DataFrame:
-    return daily.agg(
+    return daily.selectExpr(
         *(
-            F.coalesce(F.sum(F.when(F.col(day).between(F.lit(first), F.lit(ref_date)), F.col(c))), F.lit(0)).alias(
-                f"{c}_{window}"
-            )
+            f"coalesce(sum(if({between(day, first, ref_date)}, {c}, 0L)), 0L) AS {c}_{window}"
             for window, (first, _) in _windows_of_days(ref_date).items()
             for c in columns
         )
@@ -125,18 +103,12 @@ def _window_sums(daily: DataFrame, day: str, columns: list[str], ref_date: date)
 def signup_summary(counts: DataFrame, ref_date: date, digits: int = 1) -> DataFrame:
     """Category selected within a day of signup: yesterday, per day of the week, and month to date."""
     sums = _window_sums(counts, "signed_up", ["d1", "total_signups"], ref_date)
-    names = {"Yesterday": "Yesterday", "W": "W avg", "MTD": "MTD"}
-    return _rows(
+    names = {"Yesterday": ("Yesterday", 1), "W": ("W avg", 7), "MTD": ("MTD", 1)}
+    return rows(
         sums,
         [
-            (
-                SIGNUP_KPI,
-                name,
-                _per_day(F.col(f"d1_{w}"), 7 if w == "W" else 1),
-                pct(F.col(f"d1_{w}"), F.col(f"total_signups_{w}"), digits),
-                f"Signups {w}",
-            )
-            for w, name in names.items()
+            _row(SIGNUP_KPI, name, _per_day(f"d1_{w}", days), pct(f"d1_{w}", f"total_signups_{w}", digits), f"Signups {w}")
+            for w, (name, days) in names.items()
         ],
     )
 
@@ -144,19 +116,11 @@ def signup_summary(counts: DataFrame, ref_date: date, digits: int = 1) -> DataFr
 def content_summary(daily: DataFrame, ref_date: date) -> DataFrame:
     """Daily active users: yesterday, and on average per day of the week and of the month to date."""
     sums = _window_sums(daily, "activity_date", ["dau"], ref_date)
-    return _rows(
-        sums,
-        [
-            (
-                CONTENT_KPI,
-                w if w == "Yesterday" else f"{w} avg",
-                _per_day(F.col(f"dau_{w}"), days),
-                F.lit(None),
-                f"DAU {w}" if w == "Yesterday" else f"DAU {w} avg",
-            )
-            for w, (_, days) in _windows_of_days(ref_date).items()
-        ],
-    )
+    structs = []
+    for w, (_, days) in _windows_of_days(ref_date).items():
+        name = w if w == "Yesterday" else f"{w} avg"
+        structs.append(_row(CONTENT_KPI, name, _per_day(f"dau_{w}", days), "NULL", f"DAU {name}"))
+    return rows(sums, structs)
 
 
 def kpi_summary(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -26,7 +25,9 @@ class TableSpec:
 
     def rename(self, df: DataFrame) -> DataFrame:
         """Stored table to the names and types used here; columns not listed are left out."""
-        return df.select(*(F.col(stored).cast(kind).alias(name) for stored, name, kind in self.columns))
+        return df.selectExpr(
+            *(f"cast({stored} as {kind.simpleString()}) AS {name}" for stored, name, kind in self.columns)
+        )
 
 
 LONG, INT, TEXT, DAY, TIME = T.LongType(), T.IntegerType(), T.StringType(), T.DateType(), T.TimestampNTZType()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kpiloom.sources.schemas import TABLES
 
@@ -29,7 +28,7 @@ def write_base_table(df: DataFrame, role: str, path: str, mode: str = "overwrite
     the others over several tasks.
     """
     spec = TABLES[role]
-    stored = df.select(*(F.col(name).alias(kept) for kept, name, _ in spec.columns))
+    stored = df.selectExpr(*(f"{name} AS {kept}" for kept, name, _ in spec.columns))
     if spec.partition_column is None:
         stored.write.mode(mode).parquet(path)
     else:

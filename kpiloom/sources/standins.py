@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.functions import aggregate
 from kpiloom.operators.cleaning import Rules
 from kpiloom.operators.model import attach
 from kpiloom.sources.tables import Tables
@@ -34,37 +34,31 @@ def _load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _load(spark, folder, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("category")
-    )
+    return _load(spark, folder, "customer").selectExpr("c_custkey AS user_id", "c_mktsegment AS category")
 
 
 def events_tables(spark: SparkSession, folder: str) -> Tables:
     """Events by type as purchases, live sessions, videos, tests and content; customers as users."""
     events = _load(spark, folder, "events")
-    stamp = [F.col("user_id"), F.col("ts").alias("server_time"), F.col("ts").cast("date").alias("day")]
+    stamp = ("user_id", "ts AS server_time", "cast(ts as date) AS day")
 
     def of_type(name: str) -> DataFrame:
-        return events.where(F.col("event_type") == name)
+        return events.where(f"event_type = '{name}'")
 
     users = _customers(spark, folder)
-    content = events.select(
-        F.col("event_id").alias("consumption_id"),
+    content = events.selectExpr(
+        "event_id AS consumption_id",
         *stamp,
-        F.col("event_type").alias("content_type"),
-        F.floor("value").cast("int").alias("duration_seconds"),
+        "event_type AS content_type",
+        "cast(floor(value) as int) AS duration_seconds",
     )
     return {
         "users": users,
-        "purchases": of_type("purchase").select(
-            F.col("event_id").alias("transaction_id"), *stamp, F.col("value").alias("amount")
-        ),
-        "live_sessions": of_type("view").select(*stamp, F.col("props").alias("screen")),
-        "video_events": of_type("click").select(*stamp),
-        "test_attempts": of_type("error").select(
-            *stamp,
-            F.when(F.col("event_id") % 3 != 0, "finished").otherwise("abandoned").alias("action"),
-            F.col("props").alias("title"),
+        "purchases": of_type("purchase").selectExpr("event_id AS transaction_id", *stamp, "value AS amount"),
+        "live_sessions": of_type("view").selectExpr(*stamp, "props AS screen"),
+        "video_events": of_type("click").selectExpr(*stamp),
+        "test_attempts": of_type("error").selectExpr(
+            *stamp, "if(event_id % 3 != 0, 'finished', 'abandoned') AS action", "props AS title"
         ),
         "content_events": attach(content, users, ["user_id"], ["consumption_id"]),
     }
@@ -72,12 +66,12 @@ def events_tables(spark: SparkSession, folder: str) -> Tables:
 
 def orders_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as purchases, at midnight of the order date."""
-    return _load(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("transaction_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderdate").alias("server_time"),
-        F.col("o_orderdate").cast("date").alias("day"),
-        F.col("o_totalprice").alias("amount"),
+    return _load(spark, folder, "orders").selectExpr(
+        "o_orderkey AS transaction_id",
+        "o_custkey AS user_id",
+        "o_orderdate AS server_time",
+        "cast(o_orderdate as date) AS day",
+        "o_totalprice AS amount",
     )
 
 
@@ -87,10 +81,10 @@ def orders_activity(spark: SparkSession, folder: str) -> DataFrame:
     Line items are brought down to a row per order and ship date before the join, so an order with very
     many lines weighs no more than its dates.
     """
-    owners = _load(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
+    owners = _load(spark, folder, "orders").selectExpr("o_orderkey", "o_custkey AS user_id")
     shipped = (
         _load(spark, folder, "lineitem")
-        .select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").cast("date").alias("activity_date"))
+        .selectExpr("l_orderkey AS o_orderkey", "cast(l_shipdate as date) AS activity_date")
         .distinct()
     )
     return shipped.join(owners, "o_orderkey").select("user_id", "activity_date")
@@ -103,35 +97,35 @@ def _signup_events(spark: SparkSession, folder: str) -> DataFrame:
     earlier than the signup, else on the next day with a click. That needs a row per person and day
     only, however many events a person has.
     """
-    events = _load(spark, folder, "events")
-    relevant = events.where(F.col("event_type").isin("signup", "click")).select(
-        F.col("user_id").alias("person"), F.col("ts").cast("date").alias("signup_date"), "ts", "event_type"
+    events = _load(spark, folder, "events").selectExpr(
+        "event_id", "user_id AS person", "ts", "cast(ts as date) AS signup_date", "event_type"
     )
-    days = relevant.groupBy("person", "signup_date").agg(
-        F.max(F.when(F.col("event_type") == "click", F.col("ts"))).alias("last_click")
+    days = aggregate(
+        events.where("event_type IN ('signup', 'click')"),
+        ["person", "signup_date"],
+        ["max(if(event_type = 'click', ts, NULL)) AS last_click"],
     )
-    later = Window.partitionBy("person").orderBy("signup_date").rowsBetween(1, Window.unboundedFollowing)
-    days = days.withColumn(
-        "next_click_date", F.min(F.when(F.col("last_click").isNotNull(), F.col("signup_date"))).over(later)
+    later = "PARTITION BY person ORDER BY signup_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+    days = days.selectExpr(
+        "*", f"min(if(last_click IS NOT NULL, signup_date, NULL)) OVER ({later}) AS next_click_date"
     )
     people = _customers(spark, folder).withColumnRenamed("user_id", "person")
-    days = days.join(people, "person", "left")
-    signups = events.where(F.col("event_type") == "signup").select(
+    signups = events.where("event_type = 'signup'").selectExpr("event_id", "person", "ts AS signup_ts", "signup_date")
+    found = attach(signups, days.join(people, "person", "left"), ["person", "signup_date"], ["event_id"])
+    return found.selectExpr(
         "event_id",
-        F.col("user_id").alias("person"),
-        F.col("ts").alias("signup_ts"),
-        F.col("ts").cast("date").alias("signup_date"),
-    )
-    return attach(signups, days, ["person", "signup_date"], ["event_id"]).withColumn(
-        "category_selected_date",
-        F.when(F.col("last_click") >= F.col("signup_ts"), F.col("signup_date")).otherwise(F.col("next_click_date")),
+        "person",
+        "category",
+        "signup_ts",
+        "signup_date",
+        "if(last_click >= signup_ts, signup_date, next_click_date) AS category_selected_date",
     )
 
 
 def signup_users(spark: SparkSession, folder: str) -> DataFrame:
     """Each signup event as a user of its own; the person's first click from then on selects the category."""
-    return _signup_events(spark, folder).select(
-        F.col("event_id").alias("user_id"), "signup_ts", "signup_date", "category", "category_selected_date"
+    return _signup_events(spark, folder).selectExpr(
+        "event_id AS user_id", "signup_ts", "signup_date", "category", "category_selected_date"
     )
 
 
@@ -142,12 +136,12 @@ def signup_tables(spark: SparkSession, folder: str) -> Tables:
 
 def journey_tables(spark: SparkSession, folder: str) -> Tables:
     """The tables of ``events_tables``, with customers who know their first signup and what followed it."""
-    first = (
-        _signup_events(spark, folder)
-        .groupBy(F.col("person").alias("user_id"))
-        .agg(
-            F.min("signup_ts").alias("signup_ts"),
-            F.min_by("category_selected_date", "signup_ts").alias("category_selected_date"),
-        )
+    first = aggregate(
+        _signup_events(spark, folder),
+        ["person AS user_id"],
+        [
+            "min(signup_ts) AS signup_ts",
+            "min_by(category_selected_date, signup_ts) AS category_selected_date",
+        ],
     )
     return {**events_tables(spark, folder), "users": _customers(spark, folder).join(first, "user_id", "left")}
