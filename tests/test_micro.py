@@ -1,0 +1,287 @@
+"""Small hand-computed cases, one per rule."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from kpiloom.operators import activation, cleaning, outcomes, revenue
+from kpiloom.operators.cleaning import Rules
+from kpiloom.plans import reports, summary
+
+FLOOR = date(2025, 1, 1)
+RULES = Rules(FLOOR)
+REF = date(2025, 1, 31)
+
+
+@pytest.fixture
+def tables(make):
+    """Base tables; what is not given is empty."""
+
+    def build(**given):
+        roles = ("users", "purchases", "live_sessions", "video_events", "test_attempts", "content_events")
+        return {role: make(role, *given.get(role, [])) for role in roles}
+
+    return build
+
+
+def user(user_id, category="BANKING", **more):
+    return {"user_id": user_id, "category": category, **more}
+
+
+def at(user_id, when, **more):
+    return {"user_id": user_id, "at": when, **more}
+
+
+def daily(tables, **kwargs):
+    rows = reports.activation_daily(tables, RULES, **kwargs).collect()
+    return {r.date.isoformat(): r for r in rows}
+
+
+def test_local_date_roll_and_floor(make):
+    purchases = make("purchases", at(1, "2024-12-31 20:00:00"), at(2, "2025-01-31 18:29:59"), at(3, "2025-01-31 18:30:00"))
+    kept = cleaning.paid_purchases(purchases, RULES).collect()
+    assert {(r.user_id, r.purchase_date) for r in kept} == {(2, date(2025, 1, 31)), (3, date(2025, 2, 1))}
+    every = cleaning.paid_purchases(purchases, Rules(None)).collect()
+    assert (1, date(2025, 1, 1)) in {(r.user_id, r.purchase_date) for r in every}
+
+
+def test_both_floors_apply(make):
+    """The partition date and the local date are checked each on its own."""
+    early = make("purchases", at(1, "2024-12-30 10:00:00", day="2025-01-01"), at(2, "2025-01-05 10:00:00", day="2024-12-31"))
+    assert cleaning.paid_purchases(early, RULES).count() == 0
+
+
+def test_unpaid_and_out_of_scope(tables):
+    t = tables(
+        users=[user(1), user(2, "CUET"), user(3, None), user(4)],
+        purchases=[at(n, "2025-01-05 10:00:00", amount=0 if n == 4 else 5) for n in (1, 2, 3, 4, 5)],
+    )
+    assert daily(t)["2025-01-05"].total_purchases == 1
+
+
+def test_horizon(tables):
+    purchases = [at(n, "2025-01-10 06:00:00") for n in (1, 2, 3, 4)]
+    live = [at(n, f"2025-01-{8 + n:02d} 06:00:00") for n in (1, 2, 3, 4)]  # the day before, the day, +1, +2
+    t = tables(users=[user(n) for n in (1, 2, 3, 4)], purchases=purchases, live_sessions=live)
+    row = daily(t)["2025-01-10"]
+    assert (row.total_purchases, row.lv_activated_24hr, row.lv_activation_pct) == (4, 2, 50.0)
+    assert daily(t, horizon_days=2)["2025-01-10"].lv_activated_24hr == 3
+
+
+def test_merged_activity_and_duplicate_purchases_count_once(tables):
+    t = tables(
+        users=[user(1)],
+        purchases=[at(1, "2025-01-10 06:00:00"), at(1, "2025-01-10 09:00:00")],
+        live_sessions=[at(1, f"2025-01-10 0{h}:00:00") for h in (7, 8, 9)],
+        video_events=[at(1, f"2025-01-10 0{h}:00:00") for h in (1, 2, 3, 4)],
+    )
+    row = daily(t, transactions=True)["2025-01-10"]
+    assert (row.total_purchases, row.lv_activated_24hr, row.total_transactions) == (1, 1, 2)
+
+
+def test_free_screens(make):
+    rows = [at(n, "2025-01-10 06:00:00", screen=s) for n, s in enumerate(("Free_Home", "home", None))]
+    assert [r.user_id for r in cleaning.live_activity(make("live_sessions", *rows), RULES).collect()] == [1]
+
+
+def test_finished_tests_without_quizzes(make):
+    cases = (("finished", "Mock 1"), ("finished", "Daily QUIZ"), ("started", "Mock 1"), ("finished", None))
+    rows = [at(n, "2025-01-10 06:00:00", action=a, title=t) for n, (a, t) in enumerate(cases)]
+    assert [r.user_id for r in cleaning.test_activity(make("test_attempts", *rows), RULES).collect()] == [0]
+
+
+def test_nobody_activated(tables):
+    t = tables(users=[user(1)], purchases=[at(1, "2025-01-10 06:00:00")])
+    assert reports.live_video_activation(t, RULES, REF).count() == 0
+    facts = reports.buyer_facts(t, RULES, reports.activation_outcomes())
+    labels = {"lv": activation.LIVE_VIDEO_LABEL, "test": activation.TEST_LABEL}
+    rows = activation.activation_report(facts, REF, labels, empty="zeros").collect()
+    assert [(r.users_MTD, r.pct_MTD, r.pct_W) for r in rows] == [(0, 0.0, None)] * 2
+    assert daily(t)["2025-01-10"].lv_activation_pct == 0.0
+    with pytest.raises(ValueError):
+        activation.activation_report(facts, REF, labels, empty="maybe")
+
+
+def test_activation_outside_all_windows_still_gives_a_row(tables):
+    t = tables(
+        users=[user(1)], purchases=[at(1, "2025-02-10 06:00:00")], live_sessions=[at(1, "2025-02-10 07:00:00")]
+    )
+    (row,) = reports.live_video_activation(t, RULES, REF).collect()
+    assert row.users_MTD == 0 and row.pct_MTD is None and row.wow_delta_pct_pts is None
+
+
+def test_windows_count_users_not_days(tables):
+    days = ("2025-01-25", "2025-01-28", "2025-01-31")
+    t = tables(
+        users=[user(1), user(2)],
+        purchases=[at(1, f"{d} 06:00:00") for d in days] + [at(2, "2025-01-24 06:00:00"), at(2, "2025-01-31 06:00:00")],
+        live_sessions=[at(1, f"{d} 07:00:00") for d in days],
+        test_attempts=[at(2, "2025-01-24 08:00:00")],
+    )
+    rows = {r.kpi: r for r in reports.activation_windows(t, RULES, REF).collect()}
+    lv, test = rows[activation.LIVE_VIDEO_LABEL], rows[activation.TEST_LABEL]
+    assert (lv.users_W_daily_avg, lv.pct_W, lv.users_today, lv.pct_today) == (0.1, 50.0, 1, 50.0)
+    assert (lv.users_W1_daily_avg, lv.pct_W1, lv.wow_delta_pct_pts) == (0.0, 0.0, 50.0)
+    assert (test.pct_W1, test.users_lw_same_day, test.pct_lw_same_day) == (100.0, 1, 100.0)
+    assert (test.wow_delta_pct_pts, test.users_LM_MTD, test.pct_LM_MTD) == (-100.0, 0, None)
+
+
+def test_retention_edges(tables):
+    purchases = [at(n, "2025-01-01 06:00:00") for n in (5, 6, 8, 9)]
+    videos = [at(n, f"2025-01-{1 + n:02d} 06:00:00") for n in (5, 6, 8, 9)]
+    t = tables(users=[user(n) for n in (5, 6, 8, 9)], purchases=purchases, video_events=videos)
+    wanted = reports.retention_outcomes()
+    got = reports.buyer_facts(t, RULES, wanted).collect()
+    assert {r.user_id: (r.d7, r.d30) for r in got} == {
+        5: (False, False),
+        6: (True, False),
+        8: (True, False),
+        9: (False, False),
+    }
+
+
+def test_retention_units(tables):
+    t = tables(
+        users=[user(1)],
+        purchases=[at(1, "2025-01-01 06:00:00"), at(1, "2025-01-02 06:00:00")],
+        test_attempts=[at(1, "2025-01-08 06:00:00")],
+    )
+    (pairs,) = reports.retention_cohorts(t, RULES).collect()
+    assert (pairs.d7_retained_users, pairs.total_purchase_users, pairs.d7_retention_pct) == (2, 1, 200.0)
+    (users,) = reports.retention_cohorts(t, RULES, unit="users").collect()
+    assert (users.d7_retained_users, users.d7_retention_pct) == (1, 100.0)
+    assert users.purchase_cohort_month == date(2025, 1, 1)
+    (fall,) = reports.retention_waterfall(t, RULES).collect()
+    assert (fall.cohort_month, fall.d7_not_retained, fall.d30_not_retained) == ("2025-01", 0, 1)
+    with pytest.raises(ValueError):
+        reports.retention_cohorts(t, RULES, unit="rows")
+
+
+def signups(tables, *rows, offset=330, **kwargs):
+    t = tables(users=rows)
+    return reports.signup_funnel(t, RULES, REF, offset, **kwargs).orderBy("signup_date").collect()
+
+
+def test_signup_time_is_shifted_again(tables):
+    row = user(1, signup_ts="2025-01-01 19:00:00", signup_date="2025-01-01", category_selected_date="2025-01-01")
+    (shifted,) = signups(tables, row)
+    assert (shifted.signup_date, shifted.cat_selected_d0, shifted.cat_selected_d1) == (date(2025, 1, 2), 0, 1)
+    (plain,) = signups(tables, row, offset=0)
+    assert (plain.signup_date, plain.cat_selected_d0) == (date(2025, 1, 1), 1)
+
+
+def test_signup_range_is_on_the_stored_date(tables):
+    rows = [
+        user(n, signup_ts=f"{d} 20:00:00", signup_date=d, category_selected_date=None)
+        for n, d in enumerate(("2024-12-31", "2025-01-31", "2025-02-01"))
+    ]
+    assert [(r.signup_date, r.total_signups) for r in signups(tables, *rows)] == [(date(2025, 2, 1), 1)]
+
+
+def test_thresholds_and_others(tables):
+    base = {"signup_ts": "2025-01-10 08:00:00", "signup_date": "2025-01-10"}
+    picked = ["2025-01-09", "2025-01-10", "2025-01-11", "2025-01-13", "2025-01-17", "2025-01-18", None]
+    categories = ["BANKING", "SSC", "NEET", "", None, "UPSC", "DEFENCE"]
+    rows = [
+        user(n, c, category_selected_date=p, **base) for n, (c, p) in enumerate(zip(categories, picked, strict=True))
+    ]
+    (row,) = signups(tables, *rows, rows[0])
+    assert row.total_signups == 7
+    assert (row.cat_selected_d0, row.cat_selected_d1, row.cat_selected_d3, row.cat_selected_d7) == (1, 3, 4, 5)
+    assert row.pct_cat_selected_d7 == 71.43
+    assert (row.banking, row.ssc, row.railways, row.defence, row.upsc, row.others) == (1, 1, 0, 1, 1, 1)
+
+
+def test_content_day(tables):
+    t = tables(
+        content_events=[
+            at(1, "2025-01-05 06:00:00", category="BANKING", content_type="notes", duration_seconds=50),
+            at(1, "2025-01-05 07:00:00", category="SSC", content_type="test", duration_seconds=30),
+            at(2, "2025-01-05 08:00:00", category="BANKING", content_type="notes", duration_seconds=10),
+            at(3, "2025-01-05 09:00:00", category="NEET", content_type="podcast", duration_seconds=10),
+            at(None, "2025-01-05 09:00:00", category="SSC", content_type="notes", duration_seconds=None),
+            at(4, "2025-01-05 09:00:00", category="CUET", content_type="notes", duration_seconds=9999),
+        ]
+    )
+    (row,) = reports.content_daily(t, RULES).collect()
+    assert (row.dau, row.total_consumption_events, row.avg_items_per_user) == (3, 5, 1.67)
+    # 100 s by 3 users: 33 whole seconds each, 0.55 minutes.
+    assert (row.total_watch_hours, row.avg_watch_min_per_user) == (0.0, 0.6)
+    assert (row.notes_users, row.notes_events, row.test_users, row.quiz_events) == (2, 3, 1, 0)
+    assert (row.banking_users, row.ssc_users, row.upsc_users) == (2, 1, 0)
+    long = {r.content_type: (r.users, r.events) for r in reports.content_by_type(t, RULES).collect()}
+    assert long["notes"] == (2, 3) and long["live_class"] == (0, 0) and len(long) == 5
+
+
+def test_revenue(tables):
+    t = tables(
+        users=[user(1), user(2), user(3), user(4, "CUET")],
+        purchases=[
+            at(1, "2025-01-05 06:00:00", amount=100),
+            at(1, "2025-01-05 07:00:00", amount=101),
+            at(2, "2025-01-05 07:00:00", amount=99),
+            at(4, "2025-01-05 07:00:00", amount=99),
+        ],
+    )
+    (row,) = reports.revenue_daily(t, RULES).collect()
+    assert tuple(row) == (date(2025, 1, 5), 2, 3, 300.0, 100.0, 66.67)
+
+
+def test_revenue_with_fractions(spark):
+    paid = spark.createDataFrame([(1, date(2025, 1, 5), 0.1), (1, date(2025, 1, 5), 0.2)], "user_id long, purchase_date date, amount double")
+    members = spark.createDataFrame([(1, "A")], "user_id long, category string")
+    (row,) = revenue.revenue_daily(paid, members).collect()
+    assert (row.revenue, row.avg_order_value) == (0.3, 0.15)
+
+
+def test_journey(tables):
+    t = tables(
+        users=[
+            user(1, signup_ts="2025-01-01 08:00:00", category_selected_date="2025-01-01"),
+            user(2, signup_ts="2025-01-01 08:00:00", category_selected_date="2025-01-02"),
+            user(3, signup_ts="2025-01-01 08:00:00"),
+            user(4, category_selected_date="2025-01-02"),
+        ],
+        purchases=[at(n, "2025-01-05 06:00:00") for n in (1, 2, 3, 4)],
+        live_sessions=[at(n, "2025-01-05 07:00:00") for n in (1, 3, 4)],
+    )
+    got = [tuple(r) for r in reports.journey_funnel(t, RULES).collect()]
+    assert got == [
+        (1, "Signup", 3, None),
+        (2, "Category selected", 2, 1),
+        (3, "Purchase", 2, 0),
+        (4, "Activated 24hr", 1, 1),
+    ]
+
+
+def test_summary_lists_complete_cohorts(tables):
+    """Cohorts of January to March on 14 April: seven days are over for all three, thirty for two."""
+    months = ("2025-01-10", "2025-02-10", "2025-03-10", "2025-04-02")
+    t = tables(
+        users=[user(n, signup_ts=f"{d} 08:00:00", signup_date=d, category_selected_date=d) for n, d in enumerate(months)],
+        purchases=[at(n, f"{d} 06:00:00") for n, d in enumerate(months)],
+        live_sessions=[at(n, f"{d[:8]}17 06:00:00") for n, d in enumerate(months[:3])],
+        content_events=[at(1, "2025-04-14 06:00:00", category="SSC"), at(2, "2025-04-10 06:00:00", category="SSC")],
+    )
+    rows = summary.kpi_summary(t, RULES, date(2025, 4, 14)).collect()
+    assert len(rows) == 21
+    assert rows[0]._fields if hasattr(rows[0], "_fields") else True
+    retention = [(r.kpi, r.window, r.users, r.pct, r.denom_label) for r in rows if "Retention" in r.kpi]
+    assert ("D7 Retention", "Mar 2025 cohort", 1, 100.0, "Mar Purchasers") in retention
+    assert sorted(w for k, w, *_ in retention if k == "D30 Retention") == ["Feb 2025 cohort", "Jan 2025 cohort"]
+    by_label = {(r.kpi, r.window): r for r in rows}
+    assert by_label["Live+Video Activation (24hr)", "MTD"].pct == 0.0
+    assert by_label["Signup to Category (D1)", "MTD"].users == 1
+    dau = by_label["Content Consumed / DAU", "Yesterday"]
+    assert (dau.users, dau.pct, dau.denom_label) == (1, None, "DAU Yesterday")
+    assert by_label["Content Consumed / DAU", "W avg"].users == 0
+
+
+def test_activity_days(make):
+    live = make("live_sessions", at(1, "2025-01-05 06:00:00"), at(1, "2025-01-05 07:00:00"))
+    video = make("video_events", at(1, "2025-01-05 06:00:00"), at(2, "2025-01-05 06:00:00"))
+    activity = {"live": cleaning.live_activity(live, RULES), "video": cleaning.video_activity(video, RULES)}
+    got = {tuple(r) for r in outcomes.activity_days(activity).collect()}
+    assert got == {(1, date(2025, 1, 5), True, True), (2, date(2025, 1, 5), False, True)}
