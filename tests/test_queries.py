@@ -61,8 +61,15 @@ def test_activity_is_shuffled_once(spark):
 
 
 def test_floor_reaches_the_scan(spark):
-    plan = QUERIES["activation_daily"](spark, FOLDER)._jdf.queryExecution().toString()
-    assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan
+    conf = "spark.sql.maxMetadataStringLength"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "2000")
+    try:
+        plan = plan_of(QUERIES["activation_daily"](spark, FOLDER))
+    finally:
+        spark.conf.set(conf, before)
+    assert plan.count("GreaterThanOrEqual(ts,2024-01-01T00:00)") == 4
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
 @pytest.mark.parametrize("name", ["signup_funnel", "signup_funnel_local"])
