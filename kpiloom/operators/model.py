@@ -23,7 +23,8 @@ def attach(
 
     One key may hold a large part of all facts, so the facts of a key are spread over ``salts``
     partitions, chosen by the columns ``spread_by`` so that a repeated task chooses the same, and every
-    dimension row is sent to all of them. A dimension that Spark measures as small is broadcast instead.
+    dimension row is sent to all of them; meant for dimensions far smaller than the facts. One that Spark
+    measures as small is broadcast instead.
     """
     spread = facts.selectExpr("*", f"cast(pmod(xxhash64({', '.join(spread_by)}), {salts}) as int) AS _salt")
     copies = dimension.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
@@ -31,8 +32,12 @@ def attach(
 
 
 def purchases_with_users(purchases: DataFrame, users: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every purchase with columns of its buyer."""
-    return attach(purchases, users.select("user_id", *columns), ["user_id"], ["transaction_id"])
+    """Every purchase with columns of its buyer.
+
+    Users are too many to copy, so a buyer with very many purchases is left to the adaptive skew join,
+    which splits them over several tasks.
+    """
+    return purchases.join(users.select("user_id", *columns), "user_id", "left")
 
 
 def purchases_with_daily(

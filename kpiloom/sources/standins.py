@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.functions import aggregate
 from kpiloom.operators.cleaning import Rules
-from kpiloom.operators.model import attach
+from kpiloom.operators.model import SALTS, attach
 from kpiloom.sources.tables import Tables
 
 EVENTS_FLOOR = date(2024, 1, 1)
@@ -100,23 +100,40 @@ def _signup_events(spark: SparkSession, folder: str) -> DataFrame:
 
     The first click is looked up by day: on the signup day itself if the last click of that day is not
     earlier than the signup, else on the next day with a click. That needs a row per person and day
-    only, however many events a person has.
+    only, however many events a person has. The signups of a person and day are spread by a salt, and
+    the row of that day is copied to the salts in use.
     """
     events = _load(spark, folder, "events").selectExpr(
-        "event_id", "user_id AS person", "ts", "cast(ts as date) AS signup_date", "event_type"
+        "event_id",
+        "user_id AS person",
+        "ts",
+        "cast(ts as date) AS signup_date",
+        "event_type",
+        f"cast(pmod(xxhash64(event_id), {SALTS}) as int) AS salt",
     )
     days = aggregate(
         events.where("event_type IN ('signup', 'click')"),
         ["person", "signup_date"],
-        ["max(if(event_type = 'click', ts, NULL)) AS last_click"],
+        [
+            "max(if(event_type = 'click', ts, NULL)) AS last_click",
+            "bit_or(if(event_type = 'signup', shiftleft(1, salt), 0)) AS salts",
+        ],
     )
     later = "PARTITION BY person ORDER BY signup_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
     days = days.selectExpr(
         "*", f"min(if(last_click IS NOT NULL, signup_date, NULL)) OVER ({later}) AS next_click_date"
     )
     people = _customers(spark, folder).withColumnRenamed("user_id", "person")
-    signups = events.where("event_type = 'signup'").selectExpr("event_id", "person", "ts AS signup_ts", "signup_date")
-    found = attach(signups, days.join(people, "person", "left"), ["person", "signup_date"], ["event_id"])
+    copies = days.join(people, "person", "left").selectExpr(
+        "person",
+        "signup_date",
+        "category",
+        "last_click",
+        "next_click_date",
+        f"explode(filter(sequence(0, {SALTS - 1}), s -> (salts & shiftleft(1, s)) != 0)) AS salt",
+    )
+    signups = events.where("event_type = 'signup'").withColumnRenamed("ts", "signup_ts")
+    found = signups.join(copies, ["person", "signup_date", "salt"], "left")
     return found.selectExpr(
         "event_id",
         "person",
