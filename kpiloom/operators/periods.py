@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import calendar
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 WINDOWS = (
     "W",
@@ -21,6 +21,11 @@ WINDOWS = (
 )
 
 
+def yesterday(utc_offset_minutes: int = 0) -> date:
+    """The usual reference date: the last full day, by the clock of the driver."""
+    return (datetime.now(UTC) + timedelta(minutes=utc_offset_minutes)).date() - timedelta(days=1)
+
+
 def add_months(day: date, months: int) -> date:
     """Same day of another month, or the last day of that month where it is shorter."""
     index = day.year * 12 + day.month - 1 + months

@@ -37,7 +37,8 @@ def kpi_tables(
     """
     use_checkpoint_dir(spark)
     cohorts = reports.retention_outcomes()
-    facts = reports.buyer_facts(tables, rules, reports.activation_outcomes() | cohorts).checkpoint()
+    wanted = reports.activation_outcomes() | cohorts
+    facts = reports.buyer_facts(tables, rules, wanted, with_category=True).checkpoint()
     funnel = reports.signup_counts(
         tables, rules, ref_date, signup_offset_minutes, wide_categories, main_categories
     ).checkpoint()

@@ -32,12 +32,21 @@ def retention_outcomes(days: Sequence[int] = (7, 30), tolerance: int = 1) -> dic
     return {f"d{day}": around(day, tolerance, *ALL_KINDS) for day in days}
 
 
-def buyer_facts(tables: Tables, rules: Rules, wanted: Mapping[str, Outcome]) -> DataFrame:
-    """One row per qualified buyer and purchase day, with the wanted outcomes."""
+def buyer_facts(
+    tables: Tables, rules: Rules, wanted: Mapping[str, Outcome], with_category: bool = False
+) -> DataFrame:
+    """One row per qualified buyer and purchase day, with the wanted outcomes.
+
+    ``with_category`` adds the buyer's category and needs users to be unique.
+    """
     purchases, users = require(tables, ["purchases", "users"])
     kinds = tuple(k for k in ALL_KINDS if any(k in outcome.kinds for outcome in wanted.values()))
+    buyers = members(users, rules)
     return outcomes.purchase_outcomes(
-        paid_purchases(purchases, rules), activity_by_kind(tables, kinds, rules), wanted, members(users, rules)
+        paid_purchases(purchases, rules),
+        activity_by_kind(tables, kinds, rules),
+        wanted,
+        buyers if with_category else buyers.select("user_id"),
     )
 
 
@@ -70,7 +79,7 @@ def activation_daily(tables: Tables, rules: Rules, horizon_days: int = 1, transa
 
 def activation_by_category(tables: Tables, rules: Rules, horizon_days: int = 1) -> DataFrame:
     """K11: both activations per exam category of the buyer."""
-    facts = buyer_facts(tables, rules, activation_outcomes(horizon_days))
+    facts = buyer_facts(tables, rules, activation_outcomes(horizon_days), with_category=True)
     return activation.activation_by_category(facts, ["lv", "test"])
 
 

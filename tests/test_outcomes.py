@@ -67,6 +67,17 @@ def test_long_horizon_takes_ranges(spark):
     assert {(r.user_id, r.year) for r in got} == {(1, True), (2, False)}
 
 
+@pytest.mark.parametrize("max_offsets", [0, 62], ids=["ranges", "offsets"])
+def test_repeated_members_and_unknown_users_change_nothing(spark, monkeypatch, max_offsets):
+    monkeypatch.setattr(outcomes, "MAX_OFFSETS", max_offsets)
+    bought = spark.createDataFrame([(1, day(0)), (1, day(0)), (None, day(0))], "user_id bigint, purchase_date date")
+    seen = spark.createDataFrame([(1, day(1)), (None, day(0))], "user_id bigint, activity_date date")
+    users = spark.createDataFrame([(1,), (1,), (1,)], "user_id bigint")
+    for members in (users, None, users.selectExpr("*", "'SSC' AS category")):
+        got = purchase_outcomes(bought, {"live": seen}, {"lv": within(1, "live")}, members).collect()
+        assert [(r.user_id, r.transactions, r.lv) for r in got] == [(1, 2, True)]
+
+
 def test_members_filter_and_category(spark):
     bought = spark.createDataFrame([(1, day(0)), (2, day(0))], "user_id bigint, purchase_date date")
     seen = spark.createDataFrame([(1, day(0))], "user_id bigint, activity_date date")

@@ -84,3 +84,23 @@ def test_activated_are_buyers_and_cohorts_add_up(spark):
     waterfall = QUERIES["retention_waterfall_long"](spark, FOLDER)
     assert waterfall.where("d7_retained_users + d7_not_retained != total_purchased_users").count() == 0
     assert waterfall.where("d7_not_retained < 0 OR d30_not_retained < 0").count() == 0
+
+
+MEASURED = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(MEASURED), reason="test tables not present")
+def test_known_counts(spark):
+    """Counts worked out beforehand for the stand-ins."""
+
+    def rows(name):
+        return QUERIES[name](spark, MEASURED)
+
+    sums = "sum(total_transactions), sum(total_purchases), sum(lv_activated_24hr), sum(test_activated_24hr)"
+    assert tuple(rows("activation_daily").selectExpr(*sums.split(", ")).collect()[0]) == (1594, 1284, 1004, 504)
+    (pairs,), (users,) = rows("retention_cohorts").collect(), rows("retention_cohorts_users").collect()
+    assert (pairs.d7_retained_users, pairs.d30_retained_users, pairs.total_purchase_users) == (975, 31, 122)
+    assert (users.d7_retained_users, users.d30_retained_users) == (122, 29)
+    first = rows("signup_funnel").orderBy("signup_date").first()
+    got = [first[c] for c in ("total_signups", *(f"cat_selected_d{n}" for n in (0, 1, 3, 7)))]
+    assert got == [51, 13, 28, 44, 48]

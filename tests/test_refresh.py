@@ -109,3 +109,16 @@ def test_one_and_two_row_reports_agree(tables):
 
 def test_checkpoint_folder_of_the_session_is_used(spark):
     assert use_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_command_line(spark, tables, tmp_path):
+    from kpiloom.__main__ import main
+    from kpiloom.sources import write_base_table
+
+    arguments = ["--floor", "2025-01-01", "--ref-date", "2025-03-10", "--out", str(tmp_path / "out"), "--sink", "parquet"]
+    for role, df in tables.items():
+        write_base_table(df, role, str(tmp_path / role))
+        arguments += ["--table", f"{role}={tmp_path / role}"]
+    main(arguments)
+    got = spark.read.parquet(str(tmp_path / "out" / "kpi_retention_cohort"))
+    assert rows(got) == rows(reports.retention_waterfall(tables, RULES))
