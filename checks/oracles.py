@@ -332,10 +332,13 @@ def summary() -> str:
 
 def oracle_sql() -> dict[str, str]:
     long_facts = order_facts(7)
+    live_video = activation_windows(EVENT_FACTS, "lv", "Live + Video Activation (24hr)", REF)
+    tests = activation_windows(EVENT_FACTS, "test", "Test Activation (24hr)", REF)
     return {
         "activation_daily": f"{DAILY} SELECT {attributes('ps_date')}, * EXCLUDE (ps_date) FROM daily",
-        "activation_windows_lv": activation_windows(EVENT_FACTS, "lv", "Live + Video Activation (24hr)", REF),
-        "activation_windows_test": activation_windows(EVENT_FACTS, "test", "Test Activation (24hr)", REF),
+        "activation_windows_lv": live_video,
+        "activation_windows_test": tests,
+        "activation_windows": f"SELECT * FROM ({live_video}) UNION ALL SELECT * FROM ({tests})",
         "activation_windows_long": activation_windows(
             long_facts, "lv", "Live + Video Activation (24hr)", "DATE '2000-06-15'"
         ),

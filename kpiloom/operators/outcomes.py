@@ -78,6 +78,8 @@ def purchase_outcomes(
         hits = _hits_by_offset(purchases, activity, outcomes, offsets)
     else:
         hits = _hits_by_range(purchases, activity, outcomes)
+    # One shuffle by user serves the join, the grouping here and any grouping of the result by user.
+    hits = hits.repartition("user_id")
     keys = ["user_id", "purchase_date"]
     if members is not None:
         with_category = "category" in members.columns

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
@@ -47,17 +48,20 @@ def test_plan_has_no_copies_products_or_python(spark, name):
     assert plan.count("BroadcastNestedLoopJoin") == (1 if name == "revenue_daily" else 0)
 
 
-def test_activity_is_shuffled_once(spark):
-    """One shuffle by user and day, then one row per purchase day goes on by user."""
+@pytest.mark.parametrize("threshold, by_user", [("-1", 2), ("10MB", 1)], ids=["shuffled users", "broadcast users"])
+@pytest.mark.parametrize("name, last", [("activation_windows_lv", "SinglePartition"), ("retention_cohorts", "cohort")])
+def test_activity_is_shuffled_once(spark, name, last, threshold, by_user):
+    """Activity and purchases by user and day, the days after purchases by user, and the result."""
     conf = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(conf)
-    spark.conf.set(conf, "-1")
+    spark.conf.set(conf, threshold)
     try:
-        plan = plan_of(QUERIES["activation_windows_lv"](spark, FOLDER))
+        plan = re.sub(r"#\d+L?", "", plan_of(QUERIES[name](spark, FOLDER)))
     finally:
         spark.conf.set(conf, before)
-    assert plan.count("Exchange hashpartitioning(user_id") == 3  # activity and purchases, buyers, users
-    assert plan.count("Exchange") == 4
+    assert plan.count(" Exchange hashpartitioning(user_id, day,") == 1
+    assert plan.count(" Exchange hashpartitioning(user_id, 4)") == by_user
+    assert plan.count(" Exchange ") == 2 + by_user and last in plan
 
 
 def test_floor_reaches_the_scan(spark):
