@@ -65,7 +65,11 @@ def members(users: DataFrame, rules: Rules) -> DataFrame:
 
 
 def activity_rows(facts: DataFrame, rules: Rules) -> DataFrame:
-    """(user_id, activity_date) of every row from the floor date on."""
+    """(user_id, activity_date) of every row from the floor date on.
+
+    The floor on the local date removes nothing that a report counts: that always follows a purchase,
+    and purchases have the same floor.
+    """
     active_on = local_date("server_time", rules.utc_offset_minutes)
     return since_floor(facts, rules).selectExpr("user_id", f"{active_on} AS activity_date")
 

@@ -73,6 +73,11 @@ def events_tables(spark: SparkSession, folder: str) -> Tables:
     }
 
 
+def event_times(spark: SparkSession, folder: str) -> DataFrame:
+    """The time of every event."""
+    return _load(spark, folder, "events").selectExpr("ts AS server_time")
+
+
 def orders_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as purchases, at midnight of the order date."""
     return _load(spark, folder, "orders").selectExpr(

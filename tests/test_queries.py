@@ -64,6 +64,16 @@ def test_activity_is_shuffled_once(spark, name, last, threshold, by_user):
     assert plan.count(" Exchange ") == 2 + by_user and last in plan
 
 
+def test_summary_reads_activity_once(spark):
+    """Activation and retention use the same shuffled rows of purchases and activity."""
+    df = QUERIES["kpi_summary"](spark, FOLDER)
+    df.collect()
+    final = re.sub(r"#\d+L?", "", plan_of(df)).split("== Initial Plan ==")[0]
+    by_user_day = [line for line in final.splitlines() if "Exchange hashpartitioning(user_id, day," in line]
+    assert ["ReusedExchange" in line for line in by_user_day if "ReusedExchange" in line] == [True]
+    assert len([line for line in by_user_day if "ReusedExchange" not in line]) == 1
+
+
 def test_floor_reaches_the_scan(spark):
     conf = "spark.sql.maxMetadataStringLength"
     before = spark.conf.get(conf)
