@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -21,8 +22,8 @@ def one_of(column: str, values: Iterable[str]) -> str:
 
 
 def column_name(value: str) -> str:
-    """``IIT JEE`` -> ``iit_jee``."""
-    return value.lower().replace(" ", "_")
+    """``IIT JEE`` -> ``iit_jee``: lower case, anything but letters and digits as an underscore."""
+    return re.sub(r"\W+", "_", value.lower())
 
 
 def aggregate(df: DataFrame, keys: Iterable[str], columns: Iterable[str]) -> DataFrame:

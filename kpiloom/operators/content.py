@@ -87,7 +87,10 @@ def _by_type(content_types: Mapping[str, str]) -> list[str]:
     return [
         column
         for t, stem in content_types.items()
-        for column in (f"`users {t}` AS {stem}_users", f"`events {t}` AS {stem}_events")
+        for column in (
+            f"`users {t}` AS {column_name(stem)}_users",
+            f"`events {t}` AS {column_name(stem)}_events",
+        )
     ]
 
 

@@ -284,3 +284,19 @@ def test_activity_days(make):
     activity = {"live": cleaning.live_activity(live, RULES), "video": cleaning.video_activity(video, RULES)}
     got = {tuple(r) for r in outcomes.activity_days(activity).collect()}
     assert got == {(1, date(2025, 1, 5), True, True), (2, date(2025, 1, 5), False, True)}
+
+
+def test_unusual_names(tables):
+    """Quotes, dots and signs in categories and content types are values like any other."""
+    odd = ("O'Neil\\s", "U.P. - PCS")
+    t = tables(
+        users=[user(1, odd[0], signup_ts="2025-01-10 08:00:00", signup_date="2025-01-10")],
+        content_events=[at(1, "2025-01-05 06:00:00", category=odd[1], content_type="live-class 2.0")],
+    )
+    rules = Rules(FLOOR, categories=odd)
+    (row,) = reports.content_daily(t, rules, {"live-class 2.0": "live-class 2.0"}, odd).collect()
+    assert (row.live_class_2_0_users, row.o_neil_s_users, row.u_p_pcs_users) == (1, 0, 1)
+    (row,) = reports.signup_funnel(t, rules, REF, main_categories=odd).collect()
+    assert (row.o_neil_s, row.u_p_pcs, row.others) == (1, 0, 0)
+    facts = reports.buyer_facts(t, rules, reports.activation_outcomes())
+    assert facts.count() == 0
