@@ -118,3 +118,5 @@ def test_known_counts(spark):
     first = rows("signup_funnel").orderBy("signup_date").first()
     got = [first[c] for c in ("total_signups", *(f"cat_selected_d{n}" for n in (0, 1, 3, 7)))]
     assert got == [51, 13, 28, 44, 48]
+    (row,) = rows("activation_windows_long").collect()
+    assert (row.users_W_daily_avg, row.users_MTD, row.users_LY_MTD, row.users_LY_full) == (0.3, 7, 14, 284)
