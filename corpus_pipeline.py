@@ -27,14 +27,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each class of near duplicates the document with the smallest id; of rows that repeat it, one.
+    """Keep of each class of near duplicates the document with the smallest id; of rows equal in id and text, one.
 
     Classes come from shingles of five words and a similarity of 0.8. Rows with a null id are all kept.
     """
     share_code(spark)
     kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id IS NULL")).select(*docs.columns)
+    return named.dropDuplicates(["doc_id", "text"]).union(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
