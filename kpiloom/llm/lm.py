@@ -46,7 +46,7 @@ class Model:
     segment_bytes: int = 4 << 20
     least_bytes: int = 1 << 16
     max_broadcast: int = 128 << 20
-    mass: float = 500.0
+    mass: float = 100.0
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
