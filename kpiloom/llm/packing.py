@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,15 @@ from kpiloom.llm import words
 from kpiloom.llm.numbering import numbered
 from kpiloom.llm.store import stored
 
-# A space between two other characters always begins a new piece of text for a byte-level tokenizer.
-BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+# Parts of a text that a byte-level tokenizer never joins. The first three are single words of it: plain letters, plain
+# marks, each with a space before, or a line feed, if what follows is of another of these kinds. The rest goes up to
+# a space between two other characters.
+LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?|"
+SINGLE = re.compile(f" ?[{LETTERS}]+| ?[{MARKS}]+|\n")
+PARTS = re.compile(
+    f" ?[{LETTERS}]+(?=[ \n{MARKS}]|\\Z)| ?[{MARKS}]+(?=[ \n{LETTERS}]|\\Z)|\n(?=[{LETTERS}])"
+    "|[\\s\\S]+?(?<=\\S)(?= \\S)|[\\s\\S]+"
+)
 # Ids are remembered for parts of text up to this many characters, and for so many of them.
 SHORT, REMEMBERED = 40, 400_000
 # Choices of a filling tried at each step, and steps in all.
@@ -34,26 +42,43 @@ CHOICES, STEPS = 3, 20_000
 PIECES = "piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit numbers; special tokens in a text are ordinary text."""
+    """Token ids as little-endian unsigned 32-bit numbers; special tokens in a text are ordinary text.
+
+    Each part of a text is encoded once and remembered.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
 
+    def ids(self, part: str) -> bytes:
+        if SINGLE.fullmatch(part):
+            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
+            return array("I", [token.id for token in tokens]).tobytes()
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [[first, *(f" {x}" for x in rest)] for first, *rest in map(BETWEEN.split, texts)]
+        parts = [PARTS.findall(text) for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list({x for split in parts for x in split}.difference(self.known))
-        encoded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        self.known.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(new, encoded, strict=True))
+        new = set().union(*parts).difference(self.known)
+        self.known.update((part, self.ids(part)) for part in new)
         out = [b"".join(map(self.known.__getitem__, split)) for split in parts]
-        for x in new:
-            if len(x) > SHORT:
-                del self.known[x]
+        for part in new:
+            if len(part) > SHORT:
+                del self.known[part]
         return out
 
 
@@ -118,7 +143,8 @@ def packed(
     places = docs.sparkSession.createDataFrame(
         _places(plan(counts, capacity)), "length BIGINT, first BIGINT, stop BIGINT, base BIGINT, offset BIGINT"
     )
-    ranked = numbered(cut, "length", [key, "piece", "ids_crc32"], "_rank", blocks)
+    by = [key, "piece", "ids_crc32"]
+    ranked = numbered(cut, "length", F.pmod(F.xxhash64(*by), F.lit(blocks)), by, "_rank")
     at = ranked["_rank"]
     joined = ranked.join(
         F.broadcast(places), (ranked["length"] == places["length"]) & (at >= places["first"]) & (at < places["stop"])

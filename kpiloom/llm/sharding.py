@@ -71,6 +71,11 @@ def sharded(rows: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
     return jumped.withColumns({"shard": F.col("_jump.shard"), "grown_shard": grown.cast("int")}).drop("_jump")
 
 
-def with_slots(rows: DataFrame, by: list[str], blocks: int = 1024) -> DataFrame:
-    """``rows``, which have a shard, with slot: numbered from 0 in each shard without gaps (see ``numbered``)."""
-    return numbered(rows, "shard", by, "slot", blocks)
+def with_slots(rows: DataFrame, by: list[str], key: str = "doc_id") -> DataFrame:
+    """``rows``, which have a shard, with slot: numbered from 0 in each shard without gaps (see ``numbered``).
+
+    A shard has 4096 blocks, by other bits of the key's digest than those that choose the shard. Rows that repeat
+    a key stay in one block.
+    """
+    block = F.expr(f"cast(conv(substr(md5(coalesce(cast(`{key}` AS STRING), '')), 17, 3), 16, 10) AS INT)")
+    return numbered(rows, "shard", block, by, "slot")
