@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import decontamination, language, lm, neardup, packing, quality, secret_scan, sharding, toxicity, warc
+from kpiloom.llm import decontamination, language, lm, neardup, oracles, packing, quality, secret_scan, sharding, toxicity, warc
 from kpiloom.llm.store import new_folder, share_code
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -139,4 +139,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Those queries that plain SQL can say; the others are tested against plain versions."""
+    return oracles.oracle_sql()
