@@ -174,7 +174,9 @@ def decoded(lines: Lines, field: Field) -> np.ndarray:
     (t00, t01), (t10, t11) = field.steps.tolist()
     s0, s1 = field.start.tolist()
     labels = np.zeros(len(emit), bool)
-    edges = np.flatnonzero(np.append(True, lines.text[1:] != lines.text[:-1])).tolist() if emit else []
+    if not emit:
+        return labels
+    edges = np.flatnonzero(np.append(True, lines.text[1:] != lines.text[:-1])).tolist()
     for begin, stop in zip(edges, [*edges[1:], len(emit)], strict=True):
         low, high, back = s0, s1 + emit[begin], []
         for e in emit[begin + 1 : stop]:
