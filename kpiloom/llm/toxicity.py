@@ -1,6 +1,6 @@
 """Toxicity by a linear classifier of character n-grams, scaled by naive Bayes log-count ratios.
 
-A text's features are the distinct runs of 3 to 5 characters, in lower case, that lie in a word, its two edges
+A text's features are the distinct runs of 4, 6 and 8 characters, in lower case, that lie in a word, its two edges
 included, hashed. The ratio of a feature is the logarithm of its share in toxic texts over its share in others;
 a logistic regression is fitted to the features scaled by their ratios. Both are learnt from a bounded sample of
 labelled texts. Weights too small to matter are left out of the model.
@@ -28,9 +28,9 @@ class Fit:
 
     per_label: int = 2000
     most_chars: int = 20_000
-    sizes: tuple[int, ...] = (3, 4, 5)
+    sizes: tuple[int, ...] = (4, 6, 8)
     hash_bits: int = 20
-    least_texts: int = 5
+    least_texts: int = 3
     least_ratio: float = 2.0
     smoothing: float = 1.0
     penalty: float = 3.0
@@ -58,7 +58,7 @@ def features(texts: list[str], fit: Fit, wanted: np.ndarray | None = None) -> tu
     owner = np.repeat(np.arange(len(texts)), [len(x) for x in lowered])
     space = np.isin(points, SPACES)
     doubled = np.zeros(len(points), bool)
-    doubled[1:] = space[1:] & space[:-1]
+    doubled[1:] = space[1:] & space[:-1] & (owner[1:] == owner[:-1])
     points, owner, space = points[~doubled], owner[~doubled], space[~doubled]
     points = np.where(space, 0x20, points).astype(np.uint64)
     inside = np.cumsum(space)
