@@ -77,7 +77,7 @@ def scanned(
     """``rows`` with blob and findings: spans (kind, start, end in code points, end exclusive) by start and rule.
 
     ``ledger`` is the folder of the ledger, made if it isn't there. A null text counts as empty. Keys may be
-    null or repeated: they only say where a text can be read again. Columns named blob or findings are replaced.
+    null or repeated: they only say where a text can be read again (rows that repeat key and text are all read). Columns named blob or findings are replaced.
     """
     spark = rows.sparkSession
     names = [rule.name for rule in rules]
