@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from kpiloom.llm import lm
+
+TRAIN = "coalesce(doc_id % 3 <> 1, true)"
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(rows, mass):
+    """Scores with exact counts of pairs put into their levels."""
+    tokens = [[*(t or "").translate(LOW).encode().split(), "end"] for _, t in rows]
+    learnt = [i is None or i % 3 != 1 for i, _ in rows]
+    one = Counter(w for x, yes in zip(tokens, learnt, strict=True) if yes for w in x)
+    two = Counter(p for x, yes in zip(tokens, learnt, strict=True) if yes for p in zip(["start", *x], x, strict=False))
+    total, spread = sum(one.values()), sum(one.values()) + 0.5 * (len(one) + 1)
+
+    def middle(count):
+        return float(lm.of_level(lm.levels(np.array([count])))[0]) if count else 0.0
+
+    out = []
+    for (i, _), x in zip(rows, tokens, strict=True):
+        base = sum(math.log10((one[w] + 0.5) / spread) for w in x)
+        score = 0.0
+        for h, w in zip(["start", *x], x, strict=False):
+            context = sum(learnt) if h == "start" else one[h]
+            both = min(middle(two[h, w]), context, one[w])
+            score += math.log10((both + mass * (one[w] + 0.5) / spread) / (context + mass))
+        out.append((i, len(x), sum(one[w] > 0 for w in x), total, base, score))
+    return out
+
+
+def found(docs, model):
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return [tuple(r[c] for c in columns) for r in lm.scored(docs, TRAIN, model=model).collect()]
+
+
+def near(got, expected):
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[5], 6))
+    assert len(got) == len(expected)
+    for a, b in zip(sorted(got, key=order), sorted(expected, key=order), strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=1e-6)
+
+
+@pytest.fixture
+def docs(session, odd_docs, small):
+    return odd_docs.select("doc_id", "text", "score").union(small("documents").selectExpr("doc_id + 20", "text", "'x'").limit(60))
+
+
+# A filter so large that errors don't happen.
+ROOMY = {"least_bytes": 8 << 20}
+
+
+def test_scores_agree_with_exact_counts(docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    near(found(docs, lm.Model(**ROOMY)), plain(rows, lm.Model().mass))
+
+
+def test_parts_of_the_filter_and_a_joined_vocabulary_give_the_same(docs):
+    expected = found(docs, lm.Model(segment_bytes=20_000, **ROOMY))
+    types = {r[3] for r in expected}
+    assert len(types) == 1
+    near(found(docs, lm.Model(segment_bytes=20_000, max_broadcast=2 << 20, **ROOMY)), expected)
+    near(found(docs, lm.Model(segment_bytes=20_000, max_broadcast=60_000, **ROOMY)), expected)
+
+
+def test_nothing_to_learn_from_and_no_rows(odd_docs, no_docs):
+    rows = lm.scored(odd_docs, "false").collect()
+    assert len(rows) == odd_docs.count()
+    assert all(r.score == r.base_score == 0 and r.n_known == r.train_tokens == 0 for r in rows)
+    assert lm.scored(no_docs, "true").collect() == []
+
+
+def test_levels():
+    counts = np.arange(1, 2000)
+    middle = lm.of_level(lm.levels(counts))
+    assert (middle[:3] == [1, 2, 3]).all() and (np.diff(middle) >= 0).all()
+    assert (np.abs(middle / counts - 1) < 0.34).all() and lm.of_level(np.array([0]))[0] == 0
+
+
+def test_filter_never_forgets_and_rarely_errs():
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 60_000, dtype=np.uint64)
+    counts = np.random.default_rng(2).integers(1, 30, 60_000)
+    inserted = int(lm.levels(counts[:30_000]).sum())
+    blocks = inserted * 14 // 8 // 32
+    part = lm.filled(keys[:30_000], counts[:30_000], blocks)
+    level = lm.probed(part, np.zeros(60_000, np.int64), keys, blocks)
+    assert (level[:30_000] >= lm.levels(counts[:30_000])).all()
+    assert (level[:30_000] > lm.levels(counts[:30_000])).mean() < 0.01 and (level[30_000:] > 0).mean() < 0.01
