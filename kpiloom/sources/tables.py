@@ -11,17 +11,25 @@ from kpiloom.sources.schemas import TABLES
 Tables = Mapping[str, DataFrame]
 
 CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
+JSON_OPTIONS = {"mode": "FAILFAST"}
 
 
 def read_table(spark: SparkSession, role: str, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """One base table from files (``parquet``, ``orc``, ``csv`` or ``json``), never with an inferred schema.
 
-    Files laid out in ``day=...`` folders are pruned by the date floors of the operators.
+    Files laid out in ``day=...`` folders are pruned by the date floors of the operators. What can't be read as
+    declared is an error: a column that Parquet or ORC files don't have, at once; a broken line or value of CSV
+    or JSON, when it is read. A key that is absent from a JSON line is NULL.
     """
     spec = TABLES[role]
     reader = spark.read.schema(spec.stored_schema)
-    if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS)
+    if fmt in ("csv", "json"):
+        reader = reader.options(**(CSV_OPTIONS if fmt == "csv" else JSON_OPTIONS))
+    else:
+        found = {name.lower() for name in spark.read.options(**options).format(fmt).load(path).columns}
+        missing = [name for name in spec.stored_schema.names if name.lower() not in found]
+        if missing:
+            raise ValueError(f"{role}: {path} has no column {', '.join(missing)}")
     return spec.rename(reader.options(**options).format(fmt).load(path))
 
 

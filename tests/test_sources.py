@@ -111,3 +111,29 @@ def test_reports_from_files(spark, make, tmp_path):
         write_base_table(df, role, paths[role])
     expected = [(date(2025, 1, 5), "Sunday", "2025-W00", "2025-01", 1, 1, 100.0, 0, 0.0)]
     assert rows(reports.activation_daily(read_tables(spark, paths), RULES)) == expected
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_missing_columns_are_an_error(spark, purchases, tmp_path, fmt):
+    """Not read as NULL, which would be no purchases at all."""
+    without = stored(purchases, "purchases").drop("double_transaction_amount_257")
+    without.write.format(fmt).save(str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="double_transaction_amount_257"):
+        read_table(spark, "purchases", str(tmp_path / "p"), fmt)
+
+
+def test_partition_folders_count_as_columns(spark, purchases, tmp_path):
+    stored(purchases, "purchases").write.partitionBy("day").parquet(str(tmp_path / "p"))
+    assert rows(read_table(spark, "purchases", str(tmp_path / "p"))) == rows(purchases)
+
+
+@pytest.mark.parametrize("line", ['{"user_id": 1, "transaction', '{"user_id": 1, "double_transaction_amount_257": 5.5}'])
+def test_broken_json_is_an_error(spark, tmp_path, line):
+    (tmp_path / "p.json").write_text('{"user_id": 1, "double_transaction_amount_257": 5}\n' + line + "\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        read_table(spark, "purchases", str(tmp_path / "p.json"), "json").collect()
+
+
+def test_absent_json_keys_are_null(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"user_id": 1}\n')
+    assert read_table(spark, "purchases", str(tmp_path / "p.json"), "json").first().amount is None
