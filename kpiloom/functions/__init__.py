@@ -13,13 +13,14 @@ from kpiloom.functions.dates import (
 )
 from kpiloom.functions.flags import FlagSet
 from kpiloom.functions.rounding import pct, pct_delta, round_ratio, whole_div
-from kpiloom.functions.text import aggregate, column_name, literal, one_of, rows
+from kpiloom.functions.text import aggregate, column_name, column_names, literal, one_of, rows
 
 __all__ = [
     "FlagSet",
     "aggregate",
     "between",
     "column_name",
+    "column_names",
     "date_attributes",
     "date_literal",
     "is_weekend",

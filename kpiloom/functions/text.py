@@ -26,6 +26,15 @@ def column_name(value: str) -> str:
     return re.sub(r"\W+", "_", value.lower())
 
 
+def column_names(values: Iterable[str]) -> dict[str, str]:
+    """The column name of each value; an error if two values would share one."""
+    names = {value: column_name(value) for value in values}
+    shared = {value for value, name in names.items() if list(names.values()).count(name) > 1}
+    if shared:
+        raise ValueError(f"values with one column name: {', '.join(sorted(shared))}")
+    return names
+
+
 def aggregate(df: DataFrame, keys: Iterable[str], columns: Iterable[str]) -> DataFrame:
     """Group by key expressions and aggregate by SQL expressions."""
     return df.groupBy(*(F.expr(k) for k in keys)).agg(*(F.expr(c) for c in columns))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from kpiloom.functions import (
     FlagSet,
     aggregate,
-    column_name,
+    column_names,
     date_attributes,
     literal,
     local_date,
@@ -84,12 +84,13 @@ VOLUME = (
 
 
 def _by_type(content_types: Mapping[str, str]) -> list[str]:
+    stems = column_names(content_types.values())
     return [
         column
         for t, stem in content_types.items()
         for column in (
-            f"`users {t}` AS {column_name(stem)}_users",
-            f"`events {t}` AS {column_name(stem)}_events",
+            f"`users {t}` AS {stems[stem]}_users",
+            f"`events {t}` AS {stems[stem]}_events",
         )
     ]
 
@@ -105,7 +106,7 @@ def content_daily(
         "activity_date",
         *VOLUME,
         *_by_type(content_types),
-        *(f"`category {c}` AS {column_name(c)}_users" for c in categories),
+        *(f"`category {c}` AS {name}_users" for c, name in column_names(categories).items()),
     )
 
 
@@ -119,7 +120,7 @@ def content_daily_wide(
         *date_attributes("activity_date"),
         *VOLUME,
         *_by_type(content_types),
-        *(f"`category {c}` AS cat_{column_name(c)}_users" for c in categories),
+        *(f"`category {c}` AS cat_{name}_users" for c, name in column_names(categories).items()),
     )
 
 

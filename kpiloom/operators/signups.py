@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from kpiloom.functions import (
     FlagSet,
     aggregate,
-    column_name,
+    column_names,
     date_attributes,
     date_literal,
     is_weekend,
@@ -90,7 +90,7 @@ def signup_funnel(
         "signed_up AS signup_date",
         "total_signups",
         *_thresholds(thresholds),
-        *(f"`category {c}` AS {column_name(c)}" for c in categories),
+        *(f"`category {c}` AS {name}" for c, name in column_names(categories).items()),
         "others",
     )
 
@@ -103,7 +103,7 @@ def signup_funnel_wide(
         *date_attributes("signed_up"),
         "total_signups",
         *_thresholds(thresholds),
-        *(f"`category {c}` AS cat_{column_name(c)}" for c in categories),
+        *(f"`category {c}` AS cat_{name}" for c, name in column_names(categories).items()),
     )
 
 
@@ -134,7 +134,8 @@ def journey_funnel(users: DataFrame, facts: DataFrame, outcomes: Sequence[str])
     """Distinct users per stage and how many were lost since the stage before: (step, stage, users, drop_off).
 
     A user is in a stage who reached it and all stages before it: signed up, selected a category, made a
-    qualified purchase, and reached any of ``outcomes`` after a purchase.
+    qualified purchase, and reached any of ``outcomes`` after a purchase. ``users`` and ``facts`` should have the
+    same scope, or those outside it are counted as lost.
     """
 
     signed_up = users.selectExpr(

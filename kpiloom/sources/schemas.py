@@ -139,7 +139,25 @@ EXAM_CATEGORIES: tuple[str, ...] = (
 
 # Categories with a column of their own in the narrow and in the wide reports.
 MAIN_CATEGORIES: tuple[str, ...] = ("BANKING", "SSC", "RAILWAYS", "DEFENCE", "UPSC")
-WIDE_CATEGORIES: tuple[str, ...] = EXAM_CATEGORIES[:17]
+WIDE_CATEGORIES: tuple[str, ...] = (
+    "BANKING",
+    "SSC",
+    "RAILWAYS",
+    "DEFENCE",
+    "CTET",
+    "UPSC",
+    "ENGINEERING",
+    "GATE",
+    "IIT JEE",
+    "NEET",
+    "UTTAR PRADESH",
+    "BIHAR",
+    "RAJASTHAN",
+    "MAHARASHTRA",
+    "MADHYA PRADESH",
+    "HARYANA",
+    "GUJARAT",
+)
 
 # Content types and the column stem of each in the narrow report.
 CONTENT_TYPES: dict[str, str] = {

@@ -120,3 +120,12 @@ def test_date_dim(spark):
     rows = dates.collect()
     assert len(rows) == 104
     assert rows[3] == (date(2025, 1, 4), 2025, "2025-01", "2025-W00", "Saturday", True)
+
+
+def test_values_with_one_column_name_are_refused():
+    from kpiloom.functions import column_names
+
+    assert column_names(["IIT JEE", "SSC"]) == {"IIT JEE": "iit_jee", "SSC": "ssc"}
+    assert column_names(["SSC", "SSC"]) == {"SSC": "ssc"}
+    with pytest.raises(ValueError, match="IIT"):
+        column_names(["IIT JEE", "IIT-JEE"])
