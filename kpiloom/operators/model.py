@@ -8,36 +8,19 @@ from pyspark.sql import DataFrame
 
 from kpiloom.functions import local_date
 
-SALTS = 16
 
-
-def attach(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "left",
-    salts: int = SALTS,
-) -> DataFrame:
+def attach(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Facts joined to a dimension that has at most one row per key.
 
-    One key may hold a large part of all facts, so the facts of a key are spread over ``salts``
-    partitions, chosen by the columns ``spread_by`` so that a repeated task chooses the same, and every
-    dimension row is sent to all of them; meant for dimensions far smaller than the facts. One that Spark
-    measures as small is broadcast instead.
+    The join is left to Spark: a dimension that it measures as small is broadcast, otherwise both sides are
+    shuffled and the adaptive skew join splits the facts of a key that holds a large part of them.
     """
-    spread = facts.selectExpr("*", f"cast(pmod(xxhash64({', '.join(spread_by)}), {salts}) as int) AS _salt")
-    copies = dimension.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
-    return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return facts.join(dimension, list(keys), how)
 
 
 def purchases_with_users(purchases: DataFrame, users: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every purchase with columns of its buyer.
-
-    Users are too many to copy, so a buyer with very many purchases is left to the adaptive skew join,
-    which splits them over several tasks.
-    """
-    return purchases.join(users.select("user_id", *columns), "user_id", "left")
+    """Every purchase with columns of its buyer."""
+    return attach(purchases, users.select("user_id", *columns), ["user_id"])
 
 
 def purchases_with_daily(
@@ -46,9 +29,9 @@ def purchases_with_daily(
     """Every purchase with its local date and columns of a daily KPI of that date."""
     dated = purchases.selectExpr("*", f"{local_date('server_time', utc_offset_minutes)} AS purchase_date")
     by_date = daily.selectExpr("date AS purchase_date", *columns)
-    return attach(dated, by_date, ["purchase_date"], ["transaction_id"])
+    return attach(dated, by_date, ["purchase_date"])
 
 
 def users_with_funnel(users: DataFrame, funnel: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every user with columns of the daily signup funnel of the signup date."""
-    return attach(users, funnel.select("signup_date", *columns), ["signup_date"], ["user_id"])
+    return attach(users, funnel.select("signup_date", *columns), ["signup_date"])

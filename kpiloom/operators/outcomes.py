@@ -60,6 +60,7 @@ def purchase_outcomes(
     activity: Mapping[str, DataFrame],
     outcomes: Mapping[str, Outcome],
     members: DataFrame | None = None,
+    max_offsets: int | None = None,
 ) -> DataFrame:
     """One row per user and purchase day, with a boolean column per outcome.
 
@@ -67,6 +68,8 @@ def purchase_outcomes(
     ``activity``: per kind, (user_id, activity_date), any number of rows per user and day.
     ``members``: the users in scope; purchases of others are left out. If it has a category, with one row
     per user, so has the result. None keeps all purchases.
+    ``max_offsets``: up to so many days after a purchase are waited on one by one, more are looked up by range
+    frames (see ``MAX_OFFSETS``, the default). Both ways give the same rows.
 
     Result: (user_id, purchase_date[, category], transactions, <outcomes>).
     """
@@ -74,7 +77,7 @@ def purchase_outcomes(
     purchases = purchases.where(known)
     activity = {kind: df.where(known) for kind, df in activity.items()}
     offsets = sorted({offset for outcome in outcomes.values() for offset in outcome.offsets})
-    if len(offsets) <= MAX_OFFSETS:
+    if len(offsets) <= (MAX_OFFSETS if max_offsets is None else max_offsets):
         hits = _hits_by_offset(purchases, activity, outcomes, offsets)
     else:
         hits = _hits_by_range(purchases, activity, outcomes)

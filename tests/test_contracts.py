@@ -117,13 +117,24 @@ def test_calendar_fills_gaps(spark, empty):
     assert laid_out.count() == 10 and laid_out.where("total_purchases IS NULL").count() == 10
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_attach_keeps_every_fact_once(spark, salts):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"], ids=["shuffled", "broadcast"])
+def test_attach_keeps_every_fact_once(spark, threshold):
+    """A key that holds a third of the facts, with a dimension that is shuffled or broadcast."""
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, threshold)
+    try:
+        check_attach(spark)
+    finally:
+        spark.conf.set(conf, before)
+
+
+def check_attach(spark):
     facts = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 7, id % 50) AS k")
     dimension = spark.range(40).selectExpr("id AS k", "concat('n', id) AS name")
-    got = model.attach(facts, dimension, ["k"], ["id"], salts=salts)
+    got = model.attach(facts, dimension, ["k"])
     assert got.count() == 3000 and got.select("id").distinct().count() == 3000
     assert got.where("name IS NULL").count() == facts.where("k >= 40").count()
     assert got.where("name != concat('n', k)").count() == 0
-    inner = model.attach(facts, dimension, ["k"], ["id"], how="inner", salts=salts)
+    inner = model.attach(facts, dimension, ["k"], how="inner")
     assert inner.count() == facts.where("k < 40").count()
