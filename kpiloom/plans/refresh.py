@@ -8,8 +8,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.operators import activation, content, retention, signups
-from kpiloom.operators.cleaning import Rules
+from kpiloom.operators import activation, calendar, content, retention, signups
+from kpiloom.operators.cleaning import Rules, members
 from kpiloom.plans import reports, summary
 from kpiloom.session import use_checkpoint_dir
 from kpiloom.sources.schemas import CONTENT_TYPES, MAIN_CATEGORIES, WIDE_CATEGORIES
@@ -38,18 +38,21 @@ def kpi_tables(
     use_checkpoint_dir(spark)
     cohorts = reports.retention_outcomes()
     wanted = reports.activation_outcomes() | cohorts
-    facts = reports.buyer_facts(tables, rules, wanted, with_category=True).checkpoint()
+    facts = reports.buyer_facts(tables, rules, wanted).checkpoint()
+    by_category = facts.join(members(tables["users"], rules).distinct(), "user_id")
     funnel = reports.signup_counts(
         tables, rules, ref_date, signup_offset_minutes, wide_categories, main_categories
     ).checkpoint()
     categories = list(dict.fromkeys([*main_categories, *wide_categories]))
     volume = reports.content_counts(tables, rules, list(content_types), categories).checkpoint()
     wide_types = {t: t for t in content_types}
+    dates = facts.selectExpr("purchase_date AS day").unionAll(funnel.select("signed_up")).unionAll(volume.select("activity_date"))
     both = list(BOTH_LABELS)
     return {
+        "kpi_date": calendar.date_dim_of(dates, "day").orderBy("date"),
         "kpi_activation_windows": activation.activation_report(facts, ref_date, BOTH_LABELS),
         "kpi_activation_daily": activation.activation_daily(facts, both).orderBy("date"),
-        "kpi_activation_by_category": activation.activation_by_category(facts, both).orderBy("category"),
+        "kpi_activation_by_category": activation.activation_by_category(by_category, both).orderBy("category"),
         "kpi_retention": retention.retention_cohorts(facts, reports.RETENTION_NAMES).orderBy("purchase_cohort_month"),
         "kpi_retention_cohort": retention.retention_waterfall(facts, reports.RETENTION_NAMES).orderBy("cohort_month"),
         "kpi_signup_to_category": signups.signup_funnel(funnel, categories=main_categories).orderBy("signup_date"),
@@ -60,7 +63,7 @@ def kpi_tables(
         "kpi_content_consumed_daily": content.content_daily_wide(volume, wide_types, wide_categories).orderBy("date"),
         "kpi_content_by_type": content.content_by_type(volume, list(content_types)).orderBy("date", "content_type"),
         "kpi_revenue_daily": reports.revenue_daily(tables, rules).orderBy("date"),
-        "kpi_journey_funnel": signups.journey_funnel(tables["users"], facts, ["lv"]).orderBy("step"),
+        "kpi_journey_funnel": signups.journey_funnel(reports.journey_users(tables, rules), facts, ["lv"]).orderBy("step"),
         "kpi_summary_snapshot": reduce(
             DataFrame.unionByName,
             [

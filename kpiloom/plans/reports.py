@@ -13,7 +13,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from kpiloom.operators import activation, content, outcomes, retention, revenue, signups
-from kpiloom.operators.cleaning import Rules, activity_by_kind, members, paid_purchases
+from kpiloom.functions import local_date_from
+from kpiloom.operators.cleaning import Rules, activity_by_kind, in_scope, members, paid_purchases
 from kpiloom.operators.outcomes import Outcome, around, within
 from kpiloom.sources.schemas import CONTENT_TYPES, MAIN_CATEGORIES, WIDE_CATEGORIES, WIDE_CONTENT_TYPES
 from kpiloom.sources.tables import Tables, require
@@ -37,7 +38,7 @@ def buyer_facts(
 ) -> DataFrame:
     """One row per qualified buyer and purchase day, with the wanted outcomes.
 
-    ``with_category`` adds the buyer's category and needs users to be unique.
+    ``with_category`` adds the buyer's category; a buyer with rows of several categories has a row for each.
     """
     purchases, users = require(tables, ["purchases", "users"])
     kinds = tuple(k for k in ALL_KINDS if any(k in outcome.kinds for outcome in wanted.values()))
@@ -195,6 +196,12 @@ def revenue_daily(tables: Tables, rules: Rules) -> DataFrame:
 
 def journey_funnel(tables: Tables, rules: Rules, horizon_days: int = 1) -> DataFrame:
     """K16: users from signup to activation, with the drop-off at each stage."""
-    (users,) = require(tables, ["users"])
     wanted = {"lv": activation_outcomes(horizon_days)["lv"]}
-    return signups.journey_funnel(users, buyer_facts(tables, rules, wanted), ["lv"])
+    return signups.journey_funnel(journey_users(tables, rules), buyer_facts(tables, rules, wanted), ["lv"])
+
+
+def journey_users(tables: Tables, rules: Rules) -> DataFrame:
+    """Users in the scope that buyers have too: of a category in scope, signed up from the floor date on."""
+    (users,) = require(tables, ["users"])
+    scoped = users.where(in_scope(rules))
+    return scoped if rules.floor_date is None else scoped.where(local_date_from("signup_ts", rules.floor_date, 0))

@@ -15,7 +15,7 @@ def local_session(cores: int | str = 8, name: str = "kpiloom", **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "6g")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

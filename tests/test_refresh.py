@@ -75,6 +75,7 @@ def rows(df):
 def test_refresh_equals_the_single_reports(spark, tables, tmp_path):
     kpis = refresh.kpi_tables(spark, tables, RULES, REF)
     single = {
+        "kpi_date": None,
         "kpi_activation_windows": reports.activation_windows(tables, RULES, REF),
         "kpi_activation_daily": reports.activation_daily(tables, RULES),
         "kpi_activation_by_category": reports.activation_by_category(tables, RULES),
@@ -92,6 +93,11 @@ def test_refresh_equals_the_single_reports(spark, tables, tmp_path):
         "kpi_summary_snapshot": summary.kpi_summary(tables, RULES, REF),
     }
     assert set(kpis) == set(single)
+    days = kpis["kpi_date"].collect()
+    assert [(b.date - a.date).days for a, b in zip(days, days[1:], strict=False)] == [1] * (len(days) - 1)
+    for name, column in (("kpi_activation_daily", "date"), ("kpi_content_consumed", "activity_date")):
+        assert {r[column] for r in kpis[name].collect()} <= {r.date for r in days}
+    del single["kpi_date"]
     for name, df in single.items():
         assert kpis[name].columns == df.columns
         assert rows(kpis[name]) == rows(df), name
@@ -101,6 +107,25 @@ def test_refresh_equals_the_single_reports(spark, tables, tmp_path):
     assert daily.count() == kpis["kpi_activation_daily"].count()
 
 
+def test_refresh_equals_the_single_reports_when_users_repeat(spark, tables):
+    """Users with rows of several categories, or the same row twice, buy and come back once."""
+    users = tables["users"]
+    other = users.where("user_id % 3 = 0").drop("category").selectExpr("*", "'SSC' AS category").select(users.columns)
+    repeated = {**tables, "users": users.union(other).union(users.where("user_id % 4 = 0"))}
+    kpis = refresh.kpi_tables(spark, repeated, RULES, REF)
+    single = {
+        "kpi_activation_windows": reports.activation_windows(repeated, RULES, REF),
+        "kpi_activation_daily": reports.activation_daily(repeated, RULES),
+        "kpi_activation_by_category": reports.activation_by_category(repeated, RULES),
+        "kpi_retention": reports.retention_cohorts(repeated, RULES),
+        "kpi_retention_cohort": reports.retention_waterfall(repeated, RULES),
+        "kpi_journey_funnel": reports.journey_funnel(repeated, RULES),
+        "kpi_summary_snapshot": summary.kpi_summary(repeated, RULES, REF),
+    }
+    for name, df in single.items():
+        assert rows(kpis[name]) == rows(df), name
+
+
 def test_one_and_two_row_reports_agree(tables):
     both = reports.activation_windows(tables, RULES, REF)
     lv, test = reports.live_video_activation(tables, RULES, REF), reports.test_activation(tables, RULES, REF)
@@ -119,6 +144,12 @@ def test_command_line(spark, tables, tmp_path):
     for role, df in tables.items():
         write_base_table(df, role, str(tmp_path / role))
         arguments += ["--table", f"{role}={tmp_path / role}"]
+    with pytest.raises(SystemExit):
+        main([*arguments, "--database", "d", "--format", "csv"])
+    main([*arguments, "--category", "SSC", "--main-category", "SSC", "--out", str(tmp_path / "ssc")])
+    scope = Rules(RULES.floor_date, categories=("SSC",))
+    got = spark.read.parquet(str(tmp_path / "ssc" / "kpi_retention_cohort"))
+    assert rows(got) == rows(reports.retention_waterfall(tables, scope))
     main(arguments)
     got = spark.read.parquet(str(tmp_path / "out" / "kpi_retention_cohort"))
     assert rows(got) == rows(reports.retention_waterfall(tables, RULES))
