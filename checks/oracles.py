@@ -7,10 +7,17 @@ code computes them. Percentages use the same exact rounding: half away from zero
 from __future__ import annotations
 
 IST = "INTERVAL 330 MINUTE"
-FLOOR = "DATE '2024-01-01'"
+FLOOR = "DATE '2024-01-05'"
+ORDERS_FLOOR = "DATE '1996-01-01'"
 REF = "DATE '2024-01-28'"
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY")
 IN_SCOPE = "('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD', 'MACHINERY')"
+# What the stand-ins give rows beside their own values.
+CATEGORY = "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 17 = 1 THEN '' ELSE c_mktsegment END"
+PEOPLE = f"(SELECT c_custkey, {CATEGORY} AS c_mktsegment FROM customer)"
+AMOUNT = "CAST(CASE WHEN event_id % 11 = 0 THEN 0 ELSE ceil(value) END AS INTEGER)"
+SCREEN = "CASE event_id % 7 WHEN 0 THEN 'Free Home' WHEN 1 THEN 'tab FREE' WHEN 2 THEN NULL ELSE 'Home' END"
+TITLE = "CASE event_id % 5 WHEN 0 THEN 'Daily QUIZ' WHEN 1 THEN NULL WHEN 2 THEN 'A quiz' ELSE 'Mock' END"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
@@ -39,24 +46,24 @@ def local(column: str = "ts") -> str:
 
 PURCHASES = f"""
 paid AS (
-  SELECT e.event_id AS transaction_id, e.user_id, {local('e.ts')} AS ps_date, e.value AS amount,
+  SELECT CAST(e.event_id AS VARCHAR) AS transaction_id, e.user_id, {local('e.ts')} AS ps_date, {AMOUNT} AS amount,
          c.c_mktsegment AS category
-  FROM events e JOIN customer c ON c.c_custkey = e.user_id
+  FROM events e JOIN {PEOPLE} c ON c.c_custkey = e.user_id
   WHERE e.event_type = 'purchase' AND CAST(e.ts AS DATE) >= {FLOOR} AND {local('e.ts')} >= {FLOOR}
-    AND e.value > 0 AND c.c_mktsegment IN {IN_SCOPE}
+    AND {AMOUNT} > 0 AND c.c_mktsegment IN {IN_SCOPE}
 ),
 pairs AS (SELECT user_id, ps_date, category, count(*) AS transactions FROM paid GROUP BY ALL)"""
 
 ACTIVITY = f"""
 lv AS (
   SELECT user_id, {local()} AS d FROM events
-  WHERE event_type = 'view' AND lower(props) NOT LIKE '%7%' AND CAST(ts AS DATE) >= {FLOOR}
+  WHERE event_type = 'view' AND lower({SCREEN}) NOT LIKE '%free%' AND CAST(ts AS DATE) >= {FLOOR}
   UNION ALL
   SELECT user_id, {local()} FROM events WHERE event_type = 'click' AND CAST(ts AS DATE) >= {FLOOR}
 ),
 tests AS (
   SELECT user_id, {local()} AS d FROM events
-  WHERE event_type = 'error' AND event_id % 3 <> 0 AND lower(props) NOT LIKE '%9%' AND CAST(ts AS DATE) >= {FLOOR}
+  WHERE event_type = 'error' AND event_id % 3 <> 0 AND lower({TITLE}) NOT LIKE '%quiz%' AND CAST(ts AS DATE) >= {FLOOR}
 ),
 anything AS (SELECT * FROM lv UNION ALL SELECT * FROM tests)"""
 
@@ -78,18 +85,20 @@ facts AS (
 
 EVENT_FACTS = f"WITH {PURCHASES}, {ACTIVITY}, {FACTS}"
 
-ORDER_PAIRS = """
-pairs AS (SELECT DISTINCT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS ps_date FROM orders WHERE o_totalprice > 0),
+ORDER_PAIRS = f"""
+pairs AS (SELECT DISTINCT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS ps_date FROM orders
+          WHERE o_totalprice > 0 AND o_orderdate >= {ORDERS_FLOOR}),
 ships AS (
   SELECT o_custkey AS user_id, CAST(l_shipdate AS DATE) AS d
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate >= {ORDERS_FLOOR}
 )"""
 
 
 def order_facts(horizon: int) -> str:
     return f"""WITH {ORDER_PAIRS},
 facts AS (
-  SELECT p.*, {seen('ships', 0, horizon)} AS lv, {seen('ships', 6, 8)} AS d7, {seen('ships', 29, 31)} AS d30
+  SELECT p.*, {seen('ships', 0, horizon)} AS lv, {seen('ships', 0, 1)} AS test,
+         {seen('ships', 6, 8)} AS d7, {seen('ships', 29, 31)} AS d30
   FROM pairs p
 )"""
 
@@ -193,13 +202,13 @@ SELECT strftime({COHORT}, '%Y-%m') AS cohort_month, {buyers} AS total_purchased_
 FROM facts GROUP BY {COHORT}"""
 
 
-SIGNUP_USERS = """
+SIGNUP_USERS = f"""
 signup_users AS (
   SELECT s.event_id AS user_id, s.user_id AS person, s.ts AS signup_ts, CAST(s.ts AS DATE) AS signup_date,
          c.c_mktsegment AS category,
          (SELECT min(CAST(k.ts AS DATE)) FROM events k
           WHERE k.event_type = 'click' AND k.user_id = s.user_id AND k.ts >= s.ts) AS category_selected_date
-  FROM events s LEFT JOIN customer c ON c.c_custkey = s.user_id
+  FROM events s LEFT JOIN {PEOPLE} c ON c.c_custkey = s.user_id
   WHERE s.event_type = 'signup'
 )"""
 
@@ -242,7 +251,7 @@ FROM funnel"""
 CONTENT = f"""WITH consumed AS (
   SELECT {local('e.ts')} AS d, e.user_id, e.event_type AS kind, c.c_mktsegment AS category,
          CAST(floor(e.value) AS INTEGER) AS seconds
-  FROM events e JOIN customer c ON c.c_custkey = e.user_id
+  FROM events e JOIN {PEOPLE} c ON c.c_custkey = e.user_id
   WHERE CAST(e.ts AS DATE) >= {FLOOR} AND {local('e.ts')} >= {FLOOR} AND c.c_mktsegment IN {IN_SCOPE}
 )"""
 
@@ -265,10 +274,13 @@ def by_category(categories: tuple[str, ...], prefix: str) -> str:
 
 
 JOURNEY = f"""{EVENT_FACTS}, {SIGNUP_USERS},
-s1 AS (SELECT DISTINCT person AS user_id FROM signup_users),
 first_signup AS (SELECT user_id, min(ts) AS ts FROM events WHERE event_type = 'signup' GROUP BY user_id),
+s1 AS (
+  SELECT user_id, ts FROM first_signup JOIN {PEOPLE} ON c_custkey = user_id
+  WHERE c_mktsegment IN {IN_SCOPE} AND CAST(ts AS DATE) >= {FLOOR}
+),
 s2 AS (
-  SELECT user_id FROM first_signup f
+  SELECT user_id FROM s1 f
   WHERE EXISTS (SELECT 1 FROM events k WHERE k.event_type = 'click' AND k.user_id = f.user_id AND k.ts >= f.ts)
 ),
 s3 AS (SELECT user_id FROM s2 WHERE user_id IN (SELECT user_id FROM facts)),
@@ -282,7 +294,7 @@ counted(step, stage, users) AS (
 SELECT step, stage, users, lag(users) OVER (ORDER BY step) - users AS drop_off FROM counted"""
 
 
-def summary() -> str:
+def activation_parts() -> list[str]:
     parts = []
     names = {
         "W": ("W (7-day avg)", "Purchasers W", 7),
@@ -300,13 +312,32 @@ def summary() -> str:
                 f"{pct(n, 'count(DISTINCT user_id)', 1)} AS pct, '{label}' AS denom_label "
                 f"FROM facts WHERE ps_date BETWEEN {bounds}"
             )
-    for outcome in ("d7", "d30"):
-        parts.append(
-            f"SELECT '{outcome.upper()} Retention', strftime({COHORT}, '%b %Y') || ' cohort', "
-            f"count(*) FILTER (WHERE {outcome}), "
-            f"{pct(f'count(*) FILTER (WHERE {outcome})', 'count(DISTINCT user_id)', 1)}, "
-            f"strftime({COHORT}, '%b') || ' Purchasers' FROM facts GROUP BY {COHORT}"
-        )
+    return parts
+
+
+def retention_parts(last_days: dict[str, int], ref: str | None = None) -> list[str]:
+    """Cohorts by month; with ``ref`` only those whose last buyer's last day is not after it."""
+    return [
+        f"SELECT '{outcome.upper()} Retention', strftime({COHORT}, '%b %Y') || ' cohort', "
+        f"count(*) FILTER (WHERE {outcome}), "
+        f"{pct(f'count(*) FILTER (WHERE {outcome})', 'count(DISTINCT user_id)', 1)}, "
+        f"strftime({COHORT}, '%b') || ' Purchasers' FROM facts GROUP BY {COHORT}"
+        + (f" HAVING last_day({COHORT}) + {last} <= {ref}" if ref else "")
+        for outcome, last in last_days.items()
+    ]
+
+
+def cohort_summary(ref: str) -> str:
+    """The parts of the summary on buyers, for the long profile."""
+    parts = activation_parts() + retention_parts({"d7": 8, "d30": 31}, ref)
+    return (
+        f"{order_facts(7)}, {windows(ref)}, parts AS ({' UNION ALL '.join(parts)}) "
+        'SELECT kpi, window_name AS "window", users, pct, denom_label FROM parts'
+    )
+
+
+def summary() -> str:
+    parts = activation_parts() + retention_parts({"d7": 8, "d30": 31})
     days = {"Yesterday": (REF, 1), "W": (f"{REF} - 6", 7), "MTD": ("DATE '2024-01-01'", 28)}
     for w, (first, length) in days.items():
         name = "W avg" if w == "W" else w
@@ -345,13 +376,17 @@ def oracle_sql() -> dict[str, str]:
         "activation_windows_quarter": activation_windows(
             order_facts(90), "lv", "Live + Video Activation (24hr)", "DATE '2000-06-15'"
         ),
+        "activation_windows_clamped": activation_windows(
+            long_facts, "lv", "Live + Video Activation (24hr)", "DATE '2000-03-31'"
+        ),
+        "activation_windows_nobody": tests.replace("event_id % 3 <> 0", "event_id % 3 > 2"),
         "activation_by_category": f"{EVENT_FACTS} SELECT category, count(*) AS total_purchases, {activated()} "
         "FROM facts GROUP BY category",
         "purchase_outcomes": f"{EVENT_FACTS} SELECT user_id, ps_date AS purchase_date, category, transactions, "
         "lv, test, d7, d30 FROM facts",
         "activity_days": f"""WITH {ACTIVITY[:ACTIVITY.index('anything AS')].rstrip().rstrip(',')},
 live AS (SELECT user_id, {local()} AS d FROM events
-         WHERE event_type = 'view' AND lower(props) NOT LIKE '%7%' AND CAST(ts AS DATE) >= {FLOOR}),
+         WHERE event_type = 'view' AND lower({SCREEN}) NOT LIKE '%free%' AND CAST(ts AS DATE) >= {FLOOR}),
 video AS (SELECT user_id, {local()} AS d FROM events WHERE event_type = 'click' AND CAST(ts AS DATE) >= {FLOOR})
 SELECT DISTINCT user_id, d AS activity_date, (user_id, d) IN (SELECT (user_id, d) FROM live) AS live,
        (user_id, d) IN (SELECT (user_id, d) FROM video) AS video,
@@ -385,6 +420,12 @@ SELECT t.d AS date, t.kind AS content_type, count(DISTINCT c.user_id) AS users,
 FROM (SELECT DISTINCT a.d, b.kind FROM consumed a CROSS JOIN (SELECT unnest({list(EVENT_TYPES)}) AS kind) b) t
 LEFT JOIN consumed c ON c.d = t.d AND c.kind = t.kind GROUP BY ALL""",
         "content_dau": f"{CONTENT} SELECT d AS activity_date, {DAU} AS dau FROM consumed GROUP BY d",
+        "content_dau_west": f"""SELECT CAST(ts - INTERVAL 300 MINUTE AS DATE) AS activity_date, {DAU} AS dau
+FROM events JOIN {PEOPLE} ON c_custkey = user_id
+WHERE CAST(ts - INTERVAL 300 MINUTE AS DATE) >= {FLOOR} AND c_mktsegment IN {IN_SCOPE} GROUP BY 1""",
+        "date_dim_orders": f"""SELECT {attributes('d')}, year(d)::INTEGER AS year, isodow(d) >= 6 AS is_weekend
+FROM (SELECT CAST(unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY)) AS DATE) AS d
+      FROM orders)""",
         "date_dim": f"""SELECT {attributes('d')}, year(d)::INTEGER AS year, isodow(d) >= 6 AS is_weekend
 FROM (SELECT CAST(unnest(generate_series(min({local()}), max({local()}), INTERVAL 1 DAY)) AS DATE) AS d FROM events)""",
         "activation_on_calendar": f"""{DAILY}
@@ -392,8 +433,9 @@ SELECT {attributes('x.d')}, year(x.d)::INTEGER AS year, isodow(x.d) >= 6 AS is_w
 FROM (SELECT CAST(unnest(generate_series(min({local()}), max({local()}), INTERVAL 1 DAY)) AS DATE) AS d FROM events) x
 LEFT JOIN daily ON daily.ps_date = x.d""",
         "kpi_summary": summary(),
+        "kpi_summary_cohorts": cohort_summary("DATE '2000-06-15'"),
         "revenue_daily": f"""WITH {PURCHASES},
-members AS (SELECT count(DISTINCT c_custkey) AS everyone FROM customer WHERE c_mktsegment IN {IN_SCOPE}),
+members AS (SELECT count(DISTINCT c_custkey) AS everyone FROM {PEOPLE} WHERE c_mktsegment IN {IN_SCOPE}),
 daily AS (
   SELECT ps_date, count(DISTINCT user_id) AS buyers, count(*) AS orders,
          (sum(CAST(amount AS DECIMAL(18, 2))) * 100)::BIGINT AS hundredths
@@ -403,11 +445,11 @@ SELECT ps_date AS date, buyers, orders, hundredths / 100::DOUBLE AS revenue,
        {ratio('hundredths', '(100 * orders)', 2)} AS avg_order_value, {pct('buyers', 'everyone')} AS conversion_pct
 FROM daily CROSS JOIN members""",
         "journey_funnel": JOURNEY,
-        "purchases_with_users": """SELECT event_id AS transaction_id, user_id, CAST(ts AS DATE) AS day, value AS amount,
-       c_mktsegment AS category
-FROM events LEFT JOIN customer ON c_custkey = user_id WHERE event_type = 'purchase'""",
+        "purchases_with_users": f"""SELECT CAST(event_id AS VARCHAR) AS transaction_id, user_id, CAST(ts AS DATE) AS day,
+       {AMOUNT} AS amount, c_mktsegment AS category
+FROM events LEFT JOIN {PEOPLE} ON c_custkey = user_id WHERE event_type = 'purchase'""",
         "purchases_with_daily": f"""{DAILY}
-SELECT e.event_id AS transaction_id, e.user_id, e.value AS amount, {local('e.ts')} AS purchase_date,
+SELECT CAST(e.event_id AS VARCHAR) AS transaction_id, e.user_id, {AMOUNT} AS amount, {local('e.ts')} AS purchase_date,
        daily.total_purchases, daily.lv_activation_pct, daily.test_activation_pct
 FROM events e LEFT JOIN daily ON daily.ps_date = {local('e.ts')} WHERE e.event_type = 'purchase'""",
         "users_with_funnel": f"""{funnel()}

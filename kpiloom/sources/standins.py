@@ -1,7 +1,9 @@
 """The base tables, stood in for by general test tables (orders, line items, customers, events).
 
-Three profiles. ``events`` has a month of events, so its date floors and cohorts are short; ``orders``
-has seven years, so that last year's windows are not empty; ``signup`` makes every signup event a user.
+Three profiles. ``events`` has a month of events, so its cohorts are short; ``orders`` has seven years, so that
+last year's windows are not empty; ``signup`` makes every signup event a user. Floors lie inside the data, and
+texts, amounts and categories are varied by row, so that each filter has something to remove. Frames are built
+under the stored names and types of the data dictionary and go through its renaming.
 """
 
 from __future__ import annotations
@@ -10,14 +12,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.functions import aggregate
+from kpiloom.functions import aggregate, local_date_from
 from kpiloom.operators.cleaning import Rules
-from kpiloom.operators.model import SALTS, attach
+from kpiloom.operators.model import attach
+from kpiloom.sources.schemas import TABLES
 from kpiloom.sources.tables import Tables
 
-EVENTS_FLOOR = date(2024, 1, 1)
+EVENTS_FLOOR = date(2024, 1, 5)
 EVENTS_REF = date(2024, 1, 28)
-ORDERS_FLOOR = date(1995, 1, 1)
+ORDERS_FLOOR = date(1996, 1, 1)
 ORDERS_REF = date(2000, 6, 15)
 ORDERS_HORIZON = 7
 
@@ -25,7 +28,7 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY")
 MAIN_SEGMENTS = SEGMENTS[:3]
 EVENT_TYPES = {"click": "click", "error": "error", "purchase": "purchase", "signup": "signup", "view": "view"}
 
-EVENTS_RULES = Rules(EVENTS_FLOOR, categories=SEGMENTS, free_pattern="%7%", quiz_pattern="%9%")
+EVENTS_RULES = Rules(EVENTS_FLOOR, categories=SEGMENTS)
 ORDERS_RULES = Rules(ORDERS_FLOOR, utc_offset_minutes=0, categories=None)
 
 
@@ -42,34 +45,64 @@ def _load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _load(spark, folder, "customer").selectExpr("c_custkey AS user_id", "c_mktsegment AS category")
+# What rows are given beside their own values, by their number: unknown and empty categories, free purchases, free
+# and unknown screens in any case, quizzes and unknown titles.
+VARIED = {
+    "category": "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 17 = 1 THEN '' ELSE c_mktsegment END",
+    "amount": "CASE WHEN event_id % 11 = 0 THEN 0 ELSE ceil(value) END",
+    "screen": "CASE event_id % 7 WHEN 0 THEN 'Free Home' WHEN 1 THEN 'tab FREE' WHEN 2 THEN NULL ELSE 'Home' END",
+    "title": "CASE event_id % 5 WHEN 0 THEN 'Daily QUIZ' WHEN 1 THEN NULL WHEN 2 THEN 'A quiz' ELSE 'Mock' END",
+}
+PLAIN = {"category": "c_mktsegment", "amount": "ceil(value)", "screen": "props", "title": "props"}
+
+
+def _bound(role: str, df: DataFrame, **values: str) -> DataFrame:
+    """A base table from SQL values of its stored columns, by their names here; other columns are NULL."""
+    spec = TABLES[role]
+    stored = [
+        f"cast({values.get(name, 'NULL')} as {kind.simpleString()}) AS {column}" for column, name, kind in spec.columns
+    ]
+    return spec.rename(df.selectExpr(*stored))
+
+
+def _customers(spark: SparkSession, folder: str, varied: dict[str, str] = VARIED) -> DataFrame:
+    customers = _load(spark, folder, "customer")
+    return customers.selectExpr("c_custkey AS user_id", f"{varied['category']} AS category")
 
 
-def events_tables(spark: SparkSession, folder: str) -> Tables:
+def events_tables(spark: SparkSession, folder: str, varied: dict[str, str] = VARIED) -> Tables:
     """Events by type as purchases, live sessions, videos, tests and content; customers as users."""
     events = _load(spark, folder, "events")
-    stamp = ("user_id", "ts AS server_time", "cast(ts as date) AS day")
+    stamp = {"user_id": "user_id", "server_time": "ts", "day": "cast(ts as date)"}
 
     def of_type(name: str) -> DataFrame:
         return events.where(f"event_type = '{name}'")
 
-    users = _customers(spark, folder)
-    content = events.selectExpr(
-        "event_id AS consumption_id",
-        *stamp,
-        "event_type AS content_type",
-        "cast(floor(value) as int) AS duration_seconds",
-    )
+    customers = _customers(spark, folder, varied)
+    owned = attach(events, customers, ["user_id"])
     return {
-        "users": users,
-        "purchases": of_type("purchase").selectExpr("event_id AS transaction_id", *stamp, "value AS amount"),
-        "live_sessions": of_type("view").selectExpr(*stamp, "props AS screen"),
-        "video_events": of_type("click").selectExpr(*stamp),
-        "test_attempts": of_type("error").selectExpr(
-            *stamp, "if(event_id % 3 != 0, 'finished', 'abandoned') AS action", "props AS title"
+        "users": _bound("users", customers, user_id="user_id", category="category"),
+        "purchases": _bound(
+            "purchases", of_type("purchase"), transaction_id="event_id", amount=varied["amount"], **stamp
+        ),
+        "live_sessions": _bound("live_sessions", of_type("view"), screen=varied["screen"], **stamp),
+        "video_events": _bound("video_events", of_type("click"), **stamp),
+        "test_attempts": _bound(
+            "test_attempts",
+            of_type("error"),
+            action="if(event_id % 3 != 0, 'finished', 'abandoned')",
+            title=varied["title"],
+            **stamp,
+        ),
+        "content_events": _bound(
+            "content_events",
+            owned,
+            consumption_id="event_id",
+            content_type="event_type",
+            duration_seconds="floor(value)",
+            category="category",
+            **stamp,
         ),
-        "content_events": attach(content, users, ["user_id"], ["consumption_id"]),
     }
 
 
@@ -80,23 +113,31 @@ def event_times(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as purchases, at midnight of the order date."""
-    return _load(spark, folder, "orders").selectExpr(
-        "o_orderkey AS transaction_id",
-        "o_custkey AS user_id",
-        "o_orderdate AS server_time",
-        "cast(o_orderdate as date) AS day",
-        "o_totalprice AS amount",
+    return _bound(
+        "purchases",
+        _load(spark, folder, "orders"),
+        transaction_id="o_orderkey",
+        user_id="o_custkey",
+        server_time="o_orderdate",
+        day="cast(o_orderdate as date)",
+        amount="ceil(o_totalprice)",
     )
 
 
-def orders_activity(spark: SparkSession, folder: str) -> DataFrame:
-    """Shipments as activity of the customer who ordered: (user_id, activity_date).
+def order_times(spark: SparkSession, folder: str) -> DataFrame:
+    """The time of every order."""
+    return _load(spark, folder, "orders").selectExpr("o_orderdate AS server_time")
+
 
-    Orders are too many to copy, so an order with very many lines is left to the adaptive skew join,
-    which splits its lines over several tasks.
+def orders_activity(spark: SparkSession, folder: str, floor: date = ORDERS_FLOOR) -> DataFrame:
+    """Shipments from ``floor`` on as activity of the customer who ordered: (user_id, activity_date).
+
+    No counted purchase is earlier, so what was shipped before follows none; the condition reaches the files.
+    An order with very many lines is left to the adaptive skew join, which splits its lines over several tasks.
     """
     owners = _load(spark, folder, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS user_id")
-    shipped = _load(spark, folder, "lineitem").selectExpr("l_orderkey", "cast(l_shipdate as date) AS activity_date")
+    lines = _load(spark, folder, "lineitem").where(local_date_from("l_shipdate", floor, 0))
+    shipped = lines.selectExpr("l_orderkey", "cast(l_shipdate as date) AS activity_date")
     return shipped.join(owners, "l_orderkey").select("user_id", "activity_date")
 
 
@@ -105,40 +146,24 @@ def _signup_events(spark: SparkSession, folder: str) -> DataFrame:
 
     The first click is looked up by day: on the signup day itself if the last click of that day is not
     earlier than the signup, else on the next day with a click. That needs a row per person and day
-    only, however many events a person has. The signups of a person and day are spread by a salt, and
-    the row of that day is copied to the salts in use.
+    only, however many events a person has; the days of a person are gone through once, from the last.
+    Signups of a person and day that are very many are left to the adaptive skew join.
     """
     events = _load(spark, folder, "events").selectExpr(
-        "event_id",
-        "user_id AS person",
-        "ts",
-        "cast(ts as date) AS signup_date",
-        "event_type",
-        f"cast(pmod(xxhash64(event_id), {SALTS}) as int) AS salt",
+        "event_id", "user_id AS person", "ts", "cast(ts as date) AS signup_date", "event_type"
     )
     days = aggregate(
         events.where("event_type IN ('signup', 'click')"),
         ["person", "signup_date"],
-        [
-            "max(if(event_type = 'click', ts, NULL)) AS last_click",
-            "bit_or(if(event_type = 'signup', shiftleft(1, salt), 0)) AS salts",
-        ],
+        ["max(if(event_type = 'click', ts, NULL)) AS last_click"],
     )
-    later = "PARTITION BY person ORDER BY signup_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+    later = "PARTITION BY person ORDER BY signup_date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     days = days.selectExpr(
         "*", f"min(if(last_click IS NOT NULL, signup_date, NULL)) OVER ({later}) AS next_click_date"
     )
     people = _customers(spark, folder).withColumnRenamed("user_id", "person")
-    copies = days.join(people, "person", "left").selectExpr(
-        "person",
-        "signup_date",
-        "category",
-        "last_click",
-        "next_click_date",
-        f"explode(filter(sequence(0, {SALTS - 1}), s -> (salts & shiftleft(1, s)) != 0)) AS salt",
-    )
     signups = events.where("event_type = 'signup'").withColumnRenamed("ts", "signup_ts")
-    found = signups.join(copies, ["person", "signup_date", "salt"], "left")
+    found = attach(attach(signups, days, ["person", "signup_date"]), people, ["person"])
     return found.selectExpr(
         "event_id",
         "person",
@@ -151,9 +176,8 @@ def _signup_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def signup_users(spark: SparkSession, folder: str) -> DataFrame:
     """Each signup event as a user of its own; the person's first click from then on selects the category."""
-    return _signup_events(spark, folder).selectExpr(
-        "event_id AS user_id", "signup_ts", "signup_date", "category", "category_selected_date"
-    )
+    own = {c: c for c in ("signup_ts", "signup_date", "category", "category_selected_date")}
+    return _bound("users", _signup_events(spark, folder), user_id="event_id", **own)
 
 
 def signup_tables(spark: SparkSession, folder: str) -> Tables:
@@ -168,7 +192,10 @@ def journey_tables(spark: SparkSession, folder: str) -> Tables:
         ["person AS user_id"],
         [
             "min(signup_ts) AS signup_ts",
+            "min(signup_date) AS signup_date",
             "min_by(category_selected_date, signup_ts) AS category_selected_date",
         ],
     )
-    return {**events_tables(spark, folder), "users": _customers(spark, folder).join(first, "user_id", "left")}
+    known = _customers(spark, folder).join(first, "user_id", "left")
+    users = _bound("users", known, **{c: c for c in ("user_id", "category", *first.columns[1:])})
+    return {**events_tables(spark, folder), "users": users}
