@@ -7,16 +7,20 @@ similarity of the threshold or more are linked; the classes are the connected co
 1. One pass over the texts makes, for each row, a digest of the set, the keys of all bands of its MinHash
    signature, and the signature itself with only the low bits of each minimum, packed into longs. Rows with
    equal digests are one node from here on, so thousands of copies weigh as much as one text.
-2. Nodes that share a band are candidates. Each is compared with the smallest node of each of its bands: the
-   packed signatures are compared by bit counts, corrected for minima that agree in the low bits by chance.
-   The best such pair of each node is confirmed on the full sets, and the confirmed links give components.
-3. What is left are bands whose nodes are in several components. All pairs of them that lie in different
-   components are compared by bit counts, block against block, without making a row of each; only pairs
-   that come near the threshold leave the task, and are confirmed on the full sets. No pair is left out.
-
-The only uncertain step is that a pair shares no band, or that bit counts are far off. With the defaults (32
-bands of 5 minima, 4 bits) a pair at a similarity of just 0.8 is missed with a probability of 3e-6 by the
-bands and of less than 1e-6 by the bit counts (``SLACK`` is over six standard deviations).
+2. Nodes that share a band are candidates. Each is paired with the node that is the smallest of most of its bands.
+   The packed signatures are compared by bit counts, corrected for minima that agree in the low bits by chance;
+   pairs that come near the threshold are confirmed on the full sets, and the links give components.
+3. What is left are bands whose nodes are in several components. Their nodes are compared by bit counts, block
+   against block, without making a row of each pair. In each round every node is paired with the nearest node of
+   another component, if it is likely to be similar enough; these pairs are confirmed, and components grow. So
+   a group of thousands of near copies, each similar to some of the others, takes a few pairs for each copy.
+   These rounds work with the nodes whose sets step 2 has made; texts are read again for step 4 alone.
+4. At last all pairs that lie in different components and come near the threshold are confirmed. No pair of a
+   band is left out; one that shares several bands is a row in the first of them only.
+
+The only uncertain step is that a pair shares no band, or that bit counts are far off. With the defaults (42
+bands of 6 minima; 2 bits of 1024 minima) a pair at a similarity of just 0.8 is missed with a probability of 3e-6
+by the bands, and of less than 2e-6 by the bit counts (``SLACK`` is over four and a half standard deviations).
 """
 
 from __future__ import annotations
@@ -30,30 +34,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm import words
-from kpiloom.llm.components import components
+from kpiloom.llm.components import components, followed, merged
 from kpiloom.llm.store import stored
 
-SLACK = 0.24
+SLACK = 0.07
 # Nodes of a band, up to which their pairs are rows of a join, and which otherwise are compared in one piece.
 FEW = 16
 BLOCK = 128
+# Rounds of nearest pairs before all that are left.
+BEST_ROUNDS = 1
 # Parts of one in which the threshold is given, to compare whole numbers.
 SCALE = 1000
 
 
 @dataclass(frozen=True)
 class MinHash:
-    """Words of a shingle, least similarity, and the shape of the signature (bits: 1, 2, 4, 8 or 16)."""
+    """Words of a shingle, least similarity, bands and minima of a band, and all minima and the bits kept of each.
+
+    Bands take the first minima. Bits: 1, 2, 4 or 8.
+    """
 
     shingle_words: int = 5
     similarity: float = 0.8
-    bands: int = 32
-    band_size: int = 5
-    bits: int = 4
-
-    @property
-    def minima(self) -> int:
-        return self.bands * self.band_size
+    bands: int = 42
+    band_size: int = 6
+    minima: int = 1024
+    bits: int = 2
 
 
 def signatures(docs: DataFrame, shape: MinHash) -> DataFrame:
@@ -108,7 +114,8 @@ def _sign(sets: list[np.ndarray], shape: MinHash) -> list[pa.Array]:
         longs = np.zeros((-(-shape.minima // per_long), len(full)), np.uint64)
         for k, seed in enumerate(seeds):
             least = words.mix(np.minimum.reduceat(hashes * seed, starts) + np.uint64(k))
-            banded[k // shape.band_size] = words.mix(banded[k // shape.band_size] ^ least)
+            if k < shape.bands * shape.band_size:
+                banded[k // shape.band_size] = words.mix(banded[k // shape.band_size] ^ least)
             low = least & np.uint64((1 << shape.bits) - 1)
             longs[k // per_long] |= low << np.uint64(k % per_long * shape.bits)
         for at, key, long in zip(full.tolist(), banded.T.astype(np.int64), longs.T.astype(np.int64), strict=True):
@@ -171,11 +178,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     bands = _shared_bands(nodes)
     packed = nodes.select("node", "packed")
     first = _best_with_least(bands, packed, shape)
-    links = _confirmed(first, docs, nodes, shape)
-    second = _across(bands, packed, components(links), first, shape)
-    if not second.isEmpty():
-        links = links.union(_confirmed(second, docs, nodes, shape))
-    roots = components(links)
+    sets = _sets_of(_ends(first), docs, nodes, shape)
+    found = components(_confirmed(first, sets, shape))
+    alone = bands.select("node", F.col("node").alias("root")).distinct()
+    roots = stored(followed(alone, found.toDF("child", "parent")), "roots")
+    done = first
+    for _ in range(BEST_ROUNDS):
+        near = _across(bands, nodes, roots, done, shape, True)
+        for end in ("a", "b"):
+            near = near.join(sets.select(F.col("node").alias(end)), end, "left_semi")
+        roots, done = _joined(near, sets, roots, shape), done.union(near.select("a", "b"))
+    near = _across(bands, nodes, roots, done, shape, False)
+    others = _ends(near).join(sets, "node", "left_anti")
+    if not others.isEmpty():
+        sets = sets.union(_sets_of(others, docs, nodes, shape))
+    roots = _joined(near, sets, roots, shape)
+
     classes = (
         nodes.select("node", "least")
         .join(roots, "node", "left")
@@ -193,6 +211,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def _joined(pairs: DataFrame, sets: DataFrame, roots: DataFrame, shape: MinHash) -> DataFrame:
+    """``roots`` after the links among ``pairs``."""
+    found = _confirmed(pairs, sets, shape)
+    return roots if found.isEmpty() else merged(roots, found)
+
+
 def _shared_bands(nodes: DataFrame) -> DataFrame:
     """(band, node, least) for each band that several nodes share; least is the smallest of them."""
     rows = nodes.select(F.explode("band_keys").alias("band"), "node")
@@ -201,11 +229,10 @@ def _shared_bands(nodes: DataFrame) -> DataFrame:
 
 
 def _best_with_least(bands: DataFrame, packed: DataFrame, shape: MinHash) -> DataFrame:
-    """(a, b): each node and that smallest node of one of its bands that its bit counts are nearest to."""
-    pairs = bands.where("least < node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    guessed = _guessed(pairs, packed, shape)
-    best = guessed.groupBy("b").agg(F.min_by("a", F.struct(-F.col("guess"), F.col("a"))).alias("a"))
-    return stored(best.select("a", "b"), "best")
+    """(a, b): each node and the one that is the smallest of most of its bands, if bit counts are near the threshold."""
+    pairs = bands.where("least < node").groupBy(F.col("least").alias("a"), F.col("node").alias("b")).count()
+    best = pairs.groupBy("b").agg(F.min_by("a", F.struct(-F.col("count"), F.col("a"))).alias("a"))
+    return stored(_guessed(best, packed, shape).select("a", "b"), "best")
 
 
 def _guessed(pairs: DataFrame, packed: DataFrame, shape: MinHash) -> DataFrame:
@@ -215,10 +242,14 @@ def _guessed(pairs: DataFrame, packed: DataFrame, shape: MinHash) -> DataFrame:
     return guessed.where(F.col("guess") >= shape.similarity - SLACK)
 
 
-def _across(bands: DataFrame, packed: DataFrame, roots: DataFrame, done: DataFrame, shape: MinHash) -> DataFrame:
-    """(a, b): all pairs of a band in different components whose bit counts come near the threshold, but ``done``."""
-    rows = bands.select("band", "node").join(roots, "node", "left")
-    rows = rows.select("band", "node", F.coalesce("root", "node").alias("root"))
+def _across(
+    bands: DataFrame, nodes: DataFrame, roots: DataFrame, done: DataFrame, shape: MinHash, best_only: bool
+) -> DataFrame:
+    """(a, b): pairs of a band in different components whose bit counts come near the threshold, but ``done``.
+
+    With ``best_only`` of each node only the pair with the nearest smaller node, if bit counts are at the threshold.
+    """
+    rows = bands.select("band", "node").join(roots, "node")
     mixed = (
         rows.groupBy("band")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
@@ -228,47 +259,58 @@ def _across(bands: DataFrame, packed: DataFrame, roots: DataFrame, done: DataFra
     few = rows.where(F.col("size") <= FEW)
     other = few.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"))
     pairs = few.join(other, "band").where("node < b AND root <> root_b").select(F.col("node").alias("a"), "b")
-    near = _guessed(pairs.distinct(), packed, shape).select("a", "b")
+    least = shape.similarity - (SLACK / 4 if best_only else SLACK)
+    near = _guessed(pairs.distinct(), nodes.select("node", "packed"), shape).where(F.col("guess") >= least)
     many = rows.where(F.col("size") > FEW)
-    near = near.union(_across_blocks(many, packed, shape)).distinct()
-    return stored(near.join(done, ["a", "b"], "left_anti"), "across")
+    near = near.union(_across_blocks(many, nodes, shape, best_only, least)).join(done, ["a", "b"], "left_anti")
+    if best_only:
+        near = near.groupBy("b").agg(F.min_by("a", F.struct(-F.col("guess"), F.col("a"))).alias("a"))
+    return stored(near.select("a", "b").distinct(), "across")
 
 
-def _across_blocks(rows: DataFrame, packed: DataFrame, shape: MinHash) -> DataFrame:
-    """The same for bands of many nodes: blocks of about ``BLOCK`` nodes meet each other, two at a time."""
-    rows = rows.join(packed, "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+def _across_blocks(rows: DataFrame, nodes: DataFrame, shape: MinHash, best_only: bool, least: float) -> DataFrame:
+    """(a, b, guess) for bands of many nodes: blocks of about ``BLOCK`` nodes meet each other, two at a time."""
+    rows = rows.join(nodes.select("node", "packed", "band_keys"), "node")
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    blocks = stored(
-        rows.groupBy("band", "blocks", "block").agg(F.collect_list(F.struct("node", "root", "packed")).alias("members")),
-        "blocks",
-    )
+    members = F.collect_list(F.struct("node", "root", "packed", "band_keys")).alias("members")
+    blocks = stored(rows.groupBy("band", "blocks", "block").agg(members), "blocks")
     to_meet = F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other")
     left = blocks.select("band", "block", "members", to_meet)
     right = blocks.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
-    threshold = shape.similarity - SLACK
 
-    def columns(members: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        flat = members.field("packed")
-        matrix = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(members), -1)
-        return *(members.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root")), matrix
+    def columns(members: pa.StructArray) -> list[np.ndarray]:
+        plain = [members.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root")]
+        lists = [members.field(c).flatten().to_numpy().reshape(len(members), -1) for c in ("packed", "band_keys")]
+        return plain + lists
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for members, others in zip(*batch.columns, strict=True):
-                node_a, root_a, packed_a = columns(members.values)
-                node_b, root_b, packed_b = columns(others.values)
-                near = _estimates(packed_a, packed_b, shape) >= threshold
-                near &= root_a[:, None] != root_b[None, :]
-                found = [(min(p), max(p)) for i, j in zip(*np.nonzero(near)) for p in [(node_a[i], node_b[j])]]
-                ends = zip(*sorted(set(found)), strict=True) if found else ([], [])
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.binary()) for x in ends], names=["a", "b"])
-
-    return left.join(right, ["band", "other"]).select("members", "others").mapInArrow(compare, "a BINARY, b BINARY")
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shape: MinHash) -> DataFrame:
+            for band, members, others in zip(*batch.columns, strict=True):
+                node_a, root_a, packed_a, keys_a = columns(members.values)
+                node_b, root_b, packed_b, keys_b = columns(others.values)
+                guess = _estimates(packed_a, packed_b, shape)
+                guess[(root_a[:, None] == root_b[None, :]) | (guess < least)] = -1
+                i, j = np.nonzero(guess >= 0)
+                earlier = (keys_a == band.as_py()).argmax(axis=1)
+                shared = (keys_a[i] == keys_b[j]).argmax(axis=1)
+                i, j = i[shared == earlier[i]], j[shared == earlier[i]]
+                if best_only:
+                    only = np.full_like(guess, -1)
+                    only[i, j] = guess[i, j]
+                    best = {(int(x), y) for y, x in enumerate(only.argmax(axis=0))}
+                    best |= {(x, int(y)) for x, y in enumerate(only.argmax(axis=1))}
+                    i, j = np.array(sorted(p for p in best if only[p] >= 0), np.int64).reshape(-1, 2).T
+                ends = [(x, y) if x < y else (y, x) for x, y in zip(node_a[i], node_b[j], strict=True)]
+                sides = [pa.array([p[k] for p in ends], pa.binary()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*sides, pa.array(guess[i, j])], names=["a", "b", "guess"])
+
+    both = left.join(right, ["band", "other"]).select("band", "members", "others")
+    return both.mapInArrow(compare, "a BINARY, b BINARY, guess DOUBLE")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, shape: MinHash) -> DataFrame:
     """Those pairs whose full sets are as similar as asked for."""
-    sets = _sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs, nodes, shape)
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
