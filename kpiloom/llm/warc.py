@@ -66,7 +66,7 @@ def written(
     sorted_rows = rows.repartitionByRange(F.col("order").asc_nulls_last(), "digest").sortWithinPartitions(
         F.col("order").asc_nulls_last(), "digest", F.col("url").asc_nulls_last()
     )
-    ranged = stored(sorted_rows.withColumn("at", F.monotonically_increasing_id()).drop("order"), "ranged")
+    ranged = stored(sorted_rows.withColumn("at", F.monotonically_increasing_id()).drop("order"), "ranged", "zstd")
     ranked = _ranked(ranged)
     shard = F.floor(F.col("rank") / layout.shard_records).alias("shard")
     repeated = ranked.where(F.octet_length("payload") >= layout.least_revisited).groupBy(F.col("digest").alias("same"))
@@ -74,11 +74,15 @@ def written(
     narrow = ranked.where(F.octet_length("payload") >= layout.least_revisited).select("rank", "digest")
     revisits = narrow.join(firsts.where("n > 1"), (F.col("digest") == F.col("same")) & (F.col("rank") > F.col("first")))
     marks = revisits.select(
-        shard, "rank", F.lit(0).alias("kind"), F.col("of.key").alias("key"), F.col("of.url").alias("url"),
-        F.lit("").alias("payload"), "digest", "first",
+        shard, "rank", F.lit(0).alias("kind"), F.col("of.key").alias("key"), F.col("of.url").alias("url"), "digest",
+        F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("binary").alias("member"), "first",
     )
-    records = ranked.select(
-        shard, "rank", F.lit(1).alias("kind"), "key", "url", "payload", "digest", F.lit(None).cast("long").alias("first")
+    size = F.octet_length("payload").cast("long").alias("bytes")
+    responses = ranked.select(shard, "rank", "key", "url", "digest", size, "payload").mapInArrow(
+        lambda batches: _members(batches, layout), RESPONSES
+    )
+    records = responses.select(
+        "shard", "rank", F.lit(1).alias("kind"), "key", "url", "digest", "bytes", "member", F.lit(None).cast("long").alias("first")
     )
     dealt = records.union(marks).repartition("shard").sortWithinPartitions("shard", "rank", "kind")
     made = stored(dealt.mapInArrow(lambda batches: _write(batches, folder, layout), MANIFEST), "files")
@@ -107,10 +111,9 @@ def _id(rank: int, digest: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{rank} {digest}'.encode()).digest()[:16], version=5)}>"
 
 
-def record(row: dict, mark: dict | None, layout: Layout) -> bytes:
+def record(row: dict, payload: bytes, mark: dict | None, layout: Layout) -> bytes:
     """One record; ``mark`` has the first record of the same payload, if this one revisits it."""
-    payload = row["payload"].encode()
-    head = HTTP.format(len(payload)).encode()
+    head = HTTP.format(row["bytes"]).encode()
     block = head if mark else head + payload
     fields = [
         ("WARC-Type", "revisit" if mark else "response"),
@@ -120,7 +123,7 @@ def record(row: dict, mark: dict | None, layout: Layout) -> bytes:
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(block))),
         ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
-        ("WARC-Payload-Digest", f"sha256:{hashlib.sha256(payload).hexdigest()}"),
+        ("WARC-Payload-Digest", f"sha256:{row['digest']}"),
         ("X-Page-ID", row["key"]),
     ]
     if mark:
@@ -134,6 +137,25 @@ def record(row: dict, mark: dict | None, layout: Layout) -> bytes:
     return f"{VERSION}\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
+RESPONSES = "shard BIGINT, rank BIGINT, key STRING, url STRING, digest STRING, bytes BIGINT, member BINARY"
+
+
+def _member(data: bytes, layout: Layout) -> bytes:
+    pack = zlib.compressobj(layout.level, wbits=31)
+    return pack.compress(data) + pack.flush()
+
+
+def _members(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.RecordBatch]:
+    """Rows with the payload replaced by the whole response record, compressed, which is what moves to the shards."""
+    for batch in batches:
+        kept = batch.drop_columns("payload")
+        made = [
+            _member(record(row, payload.as_py().encode(), None, layout), layout)
+            for row, payload in zip(kept.to_pylist(), batch.column("payload"), strict=True)
+        ]
+        yield kept.append_column("member", pa.array(made, pa.binary()))
+
+
 def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout) -> Iterator[pa.RecordBatch]:
     """Write rows that come shard by shard, and yield a row of the manifest for each file."""
     system, root = fs.FileSystem.from_uri(folder)
@@ -158,8 +180,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout) -> It
                 temporary = f"_temporary/{name}.{uuid.uuid4().hex}"
                 entry = {"shard": row["shard"], "roll": roll, "temporary": temporary, "name": name, "records": 0, "bytes": 0}
                 out, hasher = system.open_output_stream(f"{root}/{temporary}", compression=None), hashlib.sha256()
-            pack = zlib.compressobj(layout.level, wbits=31)
-            member = pack.compress(record(row, mark if mark and mark["rank"] == row["rank"] else None, layout)) + pack.flush()
+            revisits = mark is not None and mark["rank"] == row["rank"]
+            member = _member(record(row, b"", mark, layout), layout) if revisits else row["member"]
             out.write(member)
             hasher.update(member)
             entry["records"] += 1

@@ -95,7 +95,8 @@ def test_commit_may_be_repeated_and_reports_loss(session, pages):
 
 
 def test_damage_is_found():
-    data = warc.record({"payload": "abc", "rank": 1, "digest": "d", "url": None, "key": "1"}, None, warc.Layout())
+    row = {"bytes": 3, "rank": 1, "digest": hashlib.sha256(b"abc").hexdigest(), "url": None, "key": "1"}
+    data = warc.record(row, b"abc", None, warc.Layout())
     assert warc.parsed(data)["payload"] == "abc"
     with pytest.raises(ValueError, match="damaged"):
         warc.parsed(data.replace(b"abc", b"abd"))
