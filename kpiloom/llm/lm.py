@@ -33,6 +33,8 @@ START, END = words.mix(np.array([1, 2], np.uint64) * words.GOLDEN)
 BASE = 1.5
 # Tokens that a task sums at a time.
 RUN_TOKENS = 2_000_000
+# Keys looked up at a time.
+PROBES = 1 << 15
 # Words of 32 bits in a block of the filter; a key sets one bit in each.
 BLOCK_WORDS = 8
 
@@ -42,7 +44,7 @@ class Model:
     """Bytes of filter for each byte of training text, bytes of text for a segment, least bytes of the filter,
     most bytes of a broadcast, and the weight of the single words' shares."""
 
-    filter_share: float = 0.125
+    filter_share: float = 0.11
     segment_bytes: int = 4 << 20
     least_bytes: int = 1 << 16
     max_broadcast: int = 128 << 20
@@ -62,7 +64,7 @@ def of_level(level: np.ndarray) -> np.ndarray:
 
 def _bits(keys: np.ndarray, level: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """The block of each key at a level, and the bit of each word of the block."""
-    mixed = words.mix(keys + np.uint64(level) * words.GOLDEN)
+    mixed = words.mix(keys + words.mix(np.array([level], np.uint64)))
     block = ((mixed >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
     shifts = words.mix(mixed)[:, None] >> np.arange(0, 5 * BLOCK_WORDS, 5, dtype=np.uint64)[None, :]
     return block.astype(np.int64), np.uint32(1) << (shifts & np.uint64(31)).astype(np.uint32)
@@ -86,13 +88,14 @@ def filled(keys: np.ndarray, counts: np.ndarray, blocks: int) -> np.ndarray:
 
 def probed(filter_part: np.ndarray, first_block: np.ndarray, keys: np.ndarray, blocks: int) -> np.ndarray:
     """The level of each key, whose part starts at ``first_block``."""
-    found, live, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
-    while len(live):
-        block, bits = _bits(keys[live], level, blocks)
-        hit = ((filter_part[first_block[live] + block] & bits) == bits).all(axis=1)
-        live = live[hit]
-        found[live] = level
-        level += 1
+    found = np.zeros(len(keys), np.int64)
+    for start in range(0, len(keys), PROBES):
+        live, level = np.arange(start, min(start + PROBES, len(keys))), 1
+        while len(live):
+            block, bits = _bits(keys[live], level, blocks)
+            live = live[((filter_part[first_block[live] + block] & bits) == bits).all(axis=1)]
+            found[live] = level
+            level += 1
     return found
 
 
@@ -203,7 +206,7 @@ def scored(rows: DataFrame, train: str, key: str = "doc_id", text: str = "text",
     shape = Shape(segments, blocks, train_texts, train_tokens + 0.5 * (types + 1), model.mass)
     send = spark.sparkContext.broadcast
     if types * 16 <= model.max_broadcast:
-        vocabulary = send(_vocabulary(known))
+        vocabulary = send(_vocabulary(known, segments))
         parts = [_of_texts(rows, vocabulary, send(_filter(made, shape, *group)), shape, group) for group in groups]
     else:
         joined = _joined_pairs(rows, known)
@@ -241,20 +244,27 @@ class Shape:
         return out
 
 
-def _vocabulary(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _gathered(made: DataFrame, first: int, stop: int, columns: list[str], each: int) -> Iterator[list]:
+    """The rows of a range of segments in order, a few at a time, so that the driver holds little besides them."""
+    for start in range(first, stop, each):
+        wanted = made.where(F.col("segment").between(start, min(start + each, stop) - 1))
+        yield from sorted(wanted.select("segment", *columns).collect())
+
+
+def _vocabulary(known: DataFrame, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """The words' hashes in order, and their counts. The caller has bounded their size."""
-    runs = sorted(known.select("segment", "keys", "counts").collect())
-    return (
-        np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(run.keys, np.uint64) for run in runs)]),
-        np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(run.counts, np.int64) for run in runs)]),
-    )
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+    for run in _gathered(known, 0, segments, ["keys", "counts"], 64):
+        keys.append(np.frombuffer(run.keys, np.uint64))
+        count = np.frombuffer(run.counts, np.int64)
+        counts.append(count.astype(np.uint32) if count.max(initial=0) < 1 << 32 else count)
+    return np.concatenate(keys), np.concatenate(counts)
 
 
 def _filter(made: DataFrame, shape: Shape, first: int, stop: int) -> np.ndarray:
     """The filter for a range of segments, whose size the model bounds."""
     part = np.zeros((stop - first, shape.blocks, BLOCK_WORDS), np.uint32)
-    wanted = made.where(F.col("segment").between(shape.segments + first, shape.segments + stop - 1))
-    for run in wanted.select("segment", "part").collect():
+    for run in _gathered(made, shape.segments + first, shape.segments + stop, ["part"], 32):
         part[run.segment - shape.segments - first] = np.frombuffer(run.part, np.uint32).reshape(shape.blocks, -1)
     return part.reshape(-1, BLOCK_WORDS)
 
@@ -275,7 +285,7 @@ def _of_texts(rows: DataFrame, vocabulary, part, shape: Shape, group: tuple[int,
                 token, before, starts = tokens(text.slice(start, stop - start))
                 types, place = np.unique(token, return_inverse=True)
                 at = np.minimum(np.searchsorted(known, types), max(len(known) - 1, 0))
-                found = counts[at] * (known[at] == types) if len(known) else np.zeros(len(types), np.int64)
+                found = np.where(known[at] == types, counts[at], 0).astype(np.int64) if len(known) else np.zeros(len(types), np.int64)
                 count = found[place]
                 context = np.concatenate(([0], count[:-1]))
                 context[starts[:-1]] = shape.texts
