@@ -90,13 +90,19 @@ def fitted(texts: list[tuple[str, int]], counts: dict[int, int], fit: Fit = Fit(
     prior = (counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)
     if not some.all():
         return Classifier(np.zeros(size), float(np.log(prior)), fit)
-    text, feature = features([text for text, _ in texts], fit)
-    ratio = np.zeros(size)
-    for label, sign in ((1, 1), (0, -1)):
-        held = np.bincount(feature[labels[text] == label], minlength=size) + fit.smoothing
-        ratio += sign * np.log(held / (some[label] + 2 * fit.smoothing))
-    ratio[(np.bincount(feature, minlength=size) < fit.least_texts) | (np.abs(ratio) < fit.least_ratio)] = 0
-    text, feature = text[ratio[feature] != 0], feature[ratio[feature] != 0]
+    parts, held = [], np.zeros((2, size))
+    for start, stop in words.blocks(pa.array([text for text, _ in texts])):
+        text, feature = features([text for text, _ in texts[start:stop]], fit)
+        text = (text + start).astype(np.int32)
+        parts.append((text, feature.astype(np.int32)))
+        for label in (0, 1):
+            held[label] += np.bincount(feature[labels[text] == label], minlength=size)
+    shares = (held + fit.smoothing) / (some + 2 * fit.smoothing)[:, None]
+    ratio = np.log(shares[1] / shares[0])
+    ratio[(held.sum(axis=0) < fit.least_texts) | (np.abs(ratio) < fit.least_ratio)] = 0
+    kept = [(text[ratio[feature] != 0], feature[ratio[feature] != 0]) for text, feature in parts]
+    text, feature = (np.concatenate(x) for x in zip(*kept, strict=True))
+    del parts, kept, held, shares
 
     share = labels.mean()
     weight, bias = np.zeros(size), float(np.log(share / (1 - share)))
