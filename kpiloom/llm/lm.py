@@ -4,8 +4,8 @@ Tokens are a text's words (lower-case A-Z) and one end. Counting is one pass ove
 sums the words and word pairs of some million tokens at a time and sends them on in sorted runs, by segments
 of the hash; a segment's totals are made in one place. Single words keep exact counts. Of a pair with count c,
 the keys (pair, 1) to (pair, level of c) are put into the segment's part of the filter, levels being powers
-of ``BASE``; a lookup asks for level 1, 2, ... until the filter says no. The filter has a fixed number of bytes for
-each byte of training text, so its rate of errors (only counts that are too high) is the same at every size.
+of ``BASE``; a lookup asks for level 1, 2, ... until the filter says no. Each segment's part has a fixed number of
+bits for each key that it gets, so its rate of errors (only counts that are too high) is the same at every size.
 
 Workers get the filter and the counts of words by broadcast. ``max_broadcast`` bounds either one: a larger
 filter is sent in parts, with one pass over the texts for each, and the scores of the parts add up, since a
@@ -41,10 +41,10 @@ BLOCK_WORDS = 8
 
 @dataclass(frozen=True)
 class Model:
-    """Bytes of filter for each byte of training text, bytes of text for a segment, least bytes of the filter,
+    """Bits of filter for each key put into it, bytes of text for a segment, least bytes of the filter,
     most bytes of a broadcast, and the weight of the single words' shares."""
 
-    filter_share: float = 0.11
+    key_bits: float = 14.0
     segment_bytes: int = 4 << 20
     least_bytes: int = 1 << 16
     max_broadcast: int = 128 << 20
@@ -62,10 +62,10 @@ def of_level(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + high) / 2, 0.0)
 
 
-def _bits(keys: np.ndarray, level: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+def _bits(keys: np.ndarray, level: int, blocks: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The block of each key at a level, and the bit of each word of the block."""
     mixed = words.mix(keys + words.mix(np.array([level], np.uint64)))
-    block = ((mixed >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    block = ((mixed >> np.uint64(32)) * np.asarray(blocks, np.uint64)) >> np.uint64(32)
     shifts = words.mix(mixed)[:, None] >> np.arange(0, 5 * BLOCK_WORDS, 5, dtype=np.uint64)[None, :]
     return block.astype(np.int64), np.uint32(1) << (shifts & np.uint64(31)).astype(np.uint32)
 
@@ -86,13 +86,13 @@ def filled(keys: np.ndarray, counts: np.ndarray, blocks: int) -> np.ndarray:
     return part
 
 
-def probed(filter_part: np.ndarray, first_block: np.ndarray, keys: np.ndarray, blocks: int) -> np.ndarray:
-    """The level of each key, whose part starts at ``first_block``."""
-    found = np.zeros(len(keys), np.int64)
+def probed(filter_part: np.ndarray, first_block: np.ndarray, keys: np.ndarray, blocks: int | np.ndarray) -> np.ndarray:
+    """The level of each key, whose part starts at ``first_block`` and has ``blocks``."""
+    found, blocks = np.zeros(len(keys), np.int64), np.broadcast_to(blocks, len(keys))
     for start in range(0, len(keys), PROBES):
         live, level = np.arange(start, min(start + PROBES, len(keys))), 1
         while len(live):
-            block, bits = _bits(keys[live], level, blocks)
+            block, bits = _bits(keys[live], level, blocks[live])
             live = live[((filter_part[first_block[live] + block] & bits) == bits).all(axis=1)]
             found[live] = level
             level += 1
@@ -132,8 +132,16 @@ def _runs(grams: np.ndarray, segments: int, kind: int) -> Iterator[tuple[int, by
         yield segment + kind * segments, keys[part].tobytes(), counts[part].astype(np.uint32).tobytes()
 
 
-def counted(texts: DataFrame, segments: int, blocks: int) -> DataFrame:
-    """(segment, keys, counts, part) from a column of texts: words' hashes and counts, or the filter's part."""
+def blocks_for(counts: np.ndarray, key_bits: float, least: int) -> int:
+    """Blocks of the part of the filter for pairs with these counts."""
+    return max(1, least, math.ceil(int(levels(counts).sum()) * key_bits / (32 * BLOCK_WORDS)))
+
+
+def counted(texts: DataFrame, segments: int, key_bits: float, least: int) -> DataFrame:
+    """(segment, keys, counts, part) from a column of texts: words' hashes and counts, or the filter's part.
+
+    A part has ``key_bits`` for each of its keys, and ``least`` blocks.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def send() -> Iterator[pa.RecordBatch]:
@@ -169,7 +177,7 @@ def counted(texts: DataFrame, segments: int, blocks: int) -> DataFrame:
         if segment < segments:
             row |= {"keys": keys.tobytes(), "counts": counts.tobytes()}
         else:
-            row["part"] = filled(keys, counts, blocks).tobytes()
+            row["part"] = filled(keys, counts, blocks_for(counts, key_bits, least)).tobytes()
         return pa.Table.from_pylist([row])
 
     runs = texts.mapInArrow(count, "segment BIGINT, keys BINARY, counts BINARY")
@@ -187,9 +195,8 @@ def scored(rows: DataFrame, train: str, key: str = "doc_id", text: str = "text",
     learnt = rows.where(train).select(F.col(text).alias("text"))
     size, train_texts = learnt.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     segments = max(1, math.ceil((size or 0) / model.segment_bytes))
-    part_bytes = max(model.least_bytes, int((size or 0) * model.filter_share)) // segments
-    blocks = max(1, part_bytes // (4 * BLOCK_WORDS))
-    made = stored(counted(learnt, segments, blocks), "counts")
+    least = max(1, model.least_bytes // segments // (4 * BLOCK_WORDS))
+    made = stored(counted(learnt, segments, model.key_bits, least), "counts")
     known = made.where(F.col("segment") < segments)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +208,8 @@ def scored(rows: DataFrame, train: str, key: str = "doc_id", text: str = "text",
     types, train_tokens = (x or 0 for x in each.agg(F.sum("types"), F.sum("tokens")).first())
     rows = rows.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
-    per_part = max(1, model.max_broadcast // (blocks * 4 * BLOCK_WORDS))
-    groups = [(start, min(segments, start + per_part)) for start in range(0, segments, per_part)]
+    blocks = _blocks(made, segments)
+    groups = _groups(blocks, model.max_broadcast // (4 * BLOCK_WORDS))
     shape = Shape(segments, blocks, train_texts, train_tokens + 0.5 * (types + 1), model.mass)
     send = spark.sparkContext.broadcast
     if types * 16 <= model.max_broadcast:
@@ -224,7 +231,7 @@ class Shape:
     """Segments of a kind, blocks of the filter in each, texts learnt from, N + (V + 1) / 2, and the weight."""
 
     segments: int
-    blocks: int
+    blocks: np.ndarray
     texts: int
     spread: float
     mass: float
@@ -236,7 +243,8 @@ class Shape:
         """log10 of the probabilities of pairs, 0 for those that aren't of the group."""
         segment = _segment(pair, self.segments) - group[0]
         own = np.flatnonzero((segment >= 0) & (segment < group[1] - group[0]))
-        level = probed(part, segment[own] * self.blocks, pair[own], self.blocks)
+        blocks = self.blocks[group[0] : group[1]]
+        level = probed(part, (np.cumsum(blocks) - blocks)[segment[own]], pair[own], blocks[segment[own]])
         count, context = count[own], context[own]
         both = np.minimum(of_level(level), np.minimum(count, context))
         out = np.zeros(len(pair))
@@ -244,6 +252,24 @@ class Shape:
         return out
 
 
+def _blocks(made: DataFrame, segments: int) -> np.ndarray:
+    """The blocks of the filter in each segment; one that no pair fell into has an empty block."""
+    blocks = np.ones(segments, np.int64)
+    sizes = made.where(F.col("segment") >= segments).select("segment", F.octet_length("part").alias("bytes"))
+    for row in sizes.collect():
+        blocks[row.segment - segments] = row.bytes // (4 * BLOCK_WORDS)
+    return blocks
+
+
+def _groups(blocks: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of segments of at most so many blocks, of one segment at least."""
+    ends, starts = np.cumsum(blocks), [0]
+    while starts[-1] < len(blocks):
+        before = ends[starts[-1]] - blocks[starts[-1]]
+        starts.append(max(starts[-1] + 1, int(np.searchsorted(ends, before + most, "right"))))
+    return list(zip(starts[:-1], starts[1:], strict=True))
+
+
 def _gathered(made: DataFrame, first: int, stop: int, columns: list[str], each: int) -> Iterator[list]:
     """The rows of a range of segments in order, a few at a time, so that the driver holds little besides them."""
     for start in range(first, stop, each):
@@ -263,10 +289,13 @@ def _vocabulary(known: DataFrame, segments: int) -> tuple[np.ndarray, np.ndarray
 
 def _filter(made: DataFrame, shape: Shape, first: int, stop: int) -> np.ndarray:
     """The filter for a range of segments, whose size the model bounds."""
-    part = np.zeros((stop - first, shape.blocks, BLOCK_WORDS), np.uint32)
+    blocks = shape.blocks[first:stop]
+    starts = np.cumsum(blocks) - blocks
+    part = np.zeros((int(blocks.sum()), BLOCK_WORDS), np.uint32)
     for run in _gathered(made, shape.segments + first, shape.segments + stop, ["part"], 32):
-        part[run.segment - shape.segments - first] = np.frombuffer(run.part, np.uint32).reshape(shape.blocks, -1)
-    return part.reshape(-1, BLOCK_WORDS)
+        at = run.segment - shape.segments - first
+        part[starts[at] : starts[at] + blocks[at]] = np.frombuffer(run.part, np.uint32).reshape(-1, BLOCK_WORDS)
+    return part
 
 
 SUMS = "n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"

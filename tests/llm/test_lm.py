@@ -92,3 +92,15 @@ def test_filter_never_forgets_and_rarely_errs():
     level = lm.probed(part, np.zeros(60_000, np.int64), keys, blocks)
     assert (level[:30_000] >= lm.levels(counts[:30_000])).all()
     assert (level[:30_000] > lm.levels(counts[:30_000])).mean() < 0.01 and (level[30_000:] > 0).mean() < 0.01
+
+
+def test_the_default_filter_rarely_errs(session):
+    """Two random words of the vocabulary as a text: three pairs, nearly all of them never seen."""
+    docs = session.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id * 3 AS doc_id", "text")
+    vocabulary = sorted({w for r in docs.limit(200).collect() for w in (r.text or "").split()})
+    chosen = np.random.default_rng(3).integers(0, len(vocabulary), (3000, 2))
+    probes = [(3 * i + 1, f"{vocabulary[a]} {vocabulary[b]}") for i, (a, b) in enumerate(chosen)]
+    docs = docs.union(session.createDataFrame(probes, docs.schema))
+    got, exact = ({r[0]: r[5] for r in found(docs, model) if r[0] % 3 == 1} for model in (lm.Model(), lm.Model(**ROOMY)))
+    assert len(got) == len(exact) == 3000
+    assert sum(abs(got[i] - exact[i]) > 1e-9 for i in got) < 0.01 * 3 * 3000
