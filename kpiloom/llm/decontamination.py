@@ -45,9 +45,10 @@ def _small(index: DataFrame) -> DataFrame:
 def item_sets(items: DataFrame, item: str, text: str, shingle_words: int) -> DataFrame:
     """(item, words_each, shingle, n_shingles): the distinct shingles of every item that has words.
 
-    Rows that share an item id are one item, which has the shingles of all of them.
+    Each id and text is an item of its own, named by the struct of the id and the text's hash.
     """
-    rows = items.select(F.col(item).alias("item"), word_list(f"`{text}`").alias("words"))
+    named = F.struct(F.col(item).alias("id"), F.xxhash64(F.col(text)).alias("text_hash")).alias("item")
+    rows = items.select(named, word_list(f"`{text}`").alias("words"))
     cases = shingles("words", shingle_words)
     for size in range(1, shingle_words):
         cases = F.when(F.size("words") == size, shingles("words", size)).otherwise(cases)
@@ -78,7 +79,8 @@ def contained(
     """One row for each pair of a document and an item that it contains: key, item, matched, n_shingles, containment.
 
     Null and empty texts contain nothing, and items without words are contained in nothing. Rows with the same
-    key and text are one document; a null key stays null in the result. Every text is read in whole. Other
+    key and text are one document, and items with the same id and text one item; different texts of one id, or of a
+    null one, are items of their own. A null key or id stays null in the result. Every text is read in whole. Other
     columns are not looked at, whatever they are called.
     """
     sets = item_sets(items, item, item_text, shingle_words)
@@ -102,7 +104,7 @@ def contained(
     enough = F.col("matched") * SCALE >= F.col("n_shingles") * round(share * SCALE)
     return matched.where(enough).select(
         F.col("key").alias(key),
-        F.col("item").alias(item),
+        F.col("item.id").alias(item),
         "matched",
         "n_shingles",
         (F.col("matched") / F.col("n_shingles")).alias("containment"),

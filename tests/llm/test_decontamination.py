@@ -70,6 +70,16 @@ def test_large_indexes_are_joined_by_shuffling(docs, items, monkeypatch):
     assert pairs(docs, items) == expected
 
 
+def test_items_with_repeated_and_null_ids_are_items_of_their_own(session):
+    texts = [" ".join(f"{name}{i}" for i in range(24)) for name in "abcde"]
+    ids = [1, 1, None, None, None]
+    items = session.createDataFrame([*zip(ids, texts, strict=True), (None, texts[4])], "item_id INT, text STRING")
+    rows = [*enumerate(texts), (5, f"{texts[0]} {texts[1]}"), (None, f"x {texts[2]}")]
+    docs = session.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    expected = plain(rows, list(zip(ids, texts, strict=True)))
+    assert pairs(docs, items) == expected and sum(expected.values()) == 8
+
+
 def test_empty_tables(docs, items, no_docs):
     assert pairs(no_docs, items) == pairs(docs, items.limit(0)) == pairs(no_docs, items.limit(0)) == Counter()
 
