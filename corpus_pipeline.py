@@ -38,10 +38,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that contain an item of the benchmark; all rows with the id of one go."""
+    """Drop documents that contain an item of the benchmark: rows of its id and text, of a null id as well."""
     found = decontamination.contained(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    leaks = found.select(F.col("doc_id").alias("leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak"]), "left_anti")
+    leaks = found.select(F.col("doc_id").alias("leak"), "text_hash").distinct()
+    same = docs["doc_id"].eqNullSafe(leaks["leak"]) & (F.xxhash64(docs["text"]) == leaks["text_hash"])
+    return docs.join(leaks, same, "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

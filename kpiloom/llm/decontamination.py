@@ -76,7 +76,8 @@ def contained(
     item: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """One row for each pair of a document and an item that it contains: key, item, matched, n_shingles, containment.
+    """One row for each pair of a document and an item that it contains: key, item, matched, n_shingles, containment
+    and text_hash, the xxhash64 of the document's text, which tells rows of a null or repeated key apart.
 
     Null and empty texts contain nothing, and items without words are contained in nothing. Rows with the same
     key and text are one document, and items with the same id and text one item; different texts of one id, or of a
@@ -108,6 +109,7 @@ def contained(
         "matched",
         "n_shingles",
         (F.col("matched") / F.col("n_shingles")).alias("containment"),
+        "text_hash",
     )
 
 

@@ -105,7 +105,7 @@ def op8_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_containment(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
-    return decontamination.contained(docs, table(spark, folder, "benchmark", "item_id", "text"))
+    return decontamination.contained(docs, table(spark, folder, "benchmark", "item_id", "text")).drop("text_hash")
 
 
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:

@@ -96,5 +96,14 @@ def test_pipeline_stages(session, small):
     assert_gapless(rows, 1024)
 
 
+def test_contaminated_rows_of_null_and_repeated_ids_take_no_clean_ones_along(session, small):
+    item = max((r.text for r in small("benchmark").collect() if r.text), key=len)
+    rows = [(None, item), (None, "clean one"), (7, f"a {item} b"), (7, "clean two"), (7, None), (8, "clean two"), (None, None)]
+    docs = session.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], small("documents").schema)
+    left = corpus_pipeline.drop_contaminated(session, docs, FOLDER).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in left), key=order) == sorted((r for r in rows if item not in (r[1] or "")), key=order)
+
+
 def test_pipeline_runs(session):
     assert corpus_pipeline.run(session, FOLDER).count() > 150 and corpus_pipeline.ORACLE_SQL is None
