@@ -29,12 +29,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each class of near duplicates the document with the smallest id; of rows equal in id and text, one.
 
-    Classes come from shingles of five words and a similarity of 0.8. Rows with a null id are all kept.
+    Classes come from shingles of five words and a similarity of 0.8. A row is known by its id and its text, so that
+    null and repeated ids are rows of their own; null ids come last, and equal ids go by the text's hash.
     """
     share_code(spark)
-    kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id", "text"]).union(docs.where("doc_id IS NULL")).select(*docs.columns)
+    row = F.struct(F.isnull("doc_id").alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    named = docs.withColumn("row", row)
+    kept = neardup.near_duplicates(named, "row").where("kept").select("row").distinct()
+    return named.dropDuplicates(["row"]).join(kept, "row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

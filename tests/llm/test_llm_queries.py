@@ -96,6 +96,17 @@ def test_pipeline_stages(session, small):
     assert_gapless(rows, 1024)
 
 
+def test_one_row_of_each_class_stays_with_null_and_repeated_ids(session, small):
+    one, two, three = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(None, one), (None, one), (5, one), (None, two), (None, two), (None, two + " end"), (6, three), (6, one + " end"), (6, three)]
+    docs = session.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], small("documents").schema)
+    left = corpus_pipeline.drop_near_duplicates(session, docs, FOLDER).collect()
+    assert docs.columns == list(left[0].asDict()) and len(left) == 3
+    left = {r.text: r.doc_id for r in left}
+    assert left.pop(one) == 5 and left.pop(three) == 6
+    assert list(left.values()) == [None] and set(left) <= {two, two + " end"}
+
+
 def test_contaminated_rows_of_null_and_repeated_ids_take_no_clean_ones_along(session, small):
     item = max((r.text for r in small("benchmark").collect() if r.text), key=len)
     rows = [(None, item), (None, "clean one"), (7, f"a {item} b"), (7, "clean two"), (7, None), (8, "clean two"), (None, None)]
