@@ -60,9 +60,16 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}+"),
 )
 
+# A private key up to its END line, or without one over the lines of base64 that follow.
+PRIVATE_KEY = (
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"(?:(?:(?!-----)[A-Za-z0-9+/=\s\\:,.-])*+-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"|(?:[ \t]*\r?\n[ \t]*(?:(?:Proc-Type|DEK-Info):[^\n]*(?:\r?\n)?|[A-Za-z0-9+/=]+)(?=[ \t]*(?:\r?\n|\Z)))*)"
+)
+
 # Well-known forms of keys and tokens.
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY, version=2),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),

@@ -86,3 +86,21 @@ def test_masking(session, docs, no_docs):
     assert found["é🙂 *' and * password=short secret=token:*"] == 3 and found[None] == 1
     folder = new_folder(session, "ledger")
     assert secret_scan.masked(secret_scan.scanned(no_docs, folder)).collect() == []
+
+
+def test_private_keys_are_found_with_their_bodies():
+    rule = next(r for r in secret_scan.MORE if r.kind == "private_key")
+    begin, end, lines = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "MIIEow+/\nIBAAKCAQ=="
+    whole = [
+        f"{begin}\n{lines}\n{end}",
+        f"{begin}\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,0A1B\r\n\r\nMIIE\r\n{end}",
+        f"{begin} MIIE ow== {end}",
+        f"{begin}\\nMIIE\\n{end}",
+        f"{begin}\n{lines}",
+        f"{begin}\nDEK-Info: AES-128-CBC,0A1B\n\n{lines}",
+        begin,
+    ]
+    for key in whole:
+        text = f"é before {key}\nand plain words after"
+        assert [text[a:b] for a, b in rule.spans(text)] == [key]
+    assert len(list(rule.spans(f"{begin}\n{lines}\n{whole[0]}"))) == 2
