@@ -102,6 +102,58 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 FROM f
 """
 
+OP11 = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+),
+firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS at FROM windows JOIN firsts USING (s) WHERE least < doc_id
+),
+each AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS text
+  FROM each ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(ASCII_LOWER)
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, {TERMS} AS terms FROM documents),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms)) AS n_terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+p AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, totals GROUP BY term, n_docs
+),
+scores AS (
+  SELECT item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM p JOIN weights USING (term) JOIN q USING (term), totals GROUP BY item_id, doc_id
+)
+SELECT item_id, rank, doc_id, score
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0
+)
+WHERE rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jump_hash": OP2, "op7_minhash": OP7, "op9_containment": OP9, "op10_warc": OP10}
+    return {
+        "op2_jump_hash": OP2,
+        "op7_minhash": OP7,
+        "op9_containment": OP9,
+        "op10_warc": OP10,
+        "op11_suffix_automata": OP11,
+        "op13_nra": OP13,
+    }

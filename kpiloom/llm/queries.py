@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import decontamination, language, lm, neardup, oracles, packing, quality, secret_scan, sharding, toxicity, warc
-from kpiloom.llm.store import new_folder, share_code
+from kpiloom.llm import (
+    decontamination,
+    language,
+    lm,
+    neardup,
+    oracles,
+    packing,
+    quality,
+    ranked_search,
+    secret_scan,
+    sharding,
+    substrings,
+    toxicity,
+    warc,
+    whitening,
+)
+from kpiloom.llm.store import new_folder, share_code, stored
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -123,6 +138,35 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return substrings.without_repeats(docs).select("doc_id", "n_words", "n_removed", kept)
+
+
+def op12_exact_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding")
+    model = whitening.fitted(rows)
+    made = stored(whitening.whitened(rows, model).select("vec_id", "deviation", "whitened"), "whitened")
+    error = whitening.identity_error(made, len(model.explained))
+    shares = F.array(*(F.lit(share) for share in model.explained.tolist())).cast("array<double>")
+    each = made.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("place")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op13_nra(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return ranked_search.ranked(docs, table(spark, folder, "benchmark", "item_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bin_completion": op1_bin_completion,
@@ -135,6 +179,9 @@ def queries() -> dict[str, Query]:
         "op8_blob_ledger": op8_blob_ledger,
         "op9_containment": op9_containment,
         "op10_warc": op10_warc,
+        "op11_suffix_automata": op11_suffix_automata,
+        "op12_exact_whitening": op12_exact_whitening,
+        "op13_nra": op13_nra,
     }
 
 

@@ -54,9 +54,14 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         start = stop
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the number of words before each text (and after the last)."""
-    inside = ~SPACE[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and the number of words before each text (and after the last).
+
+    ``between`` says of each byte whether it is between words.
+    """
+    inside = ~between[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     before = np.empty(len(data), bool)

@@ -12,7 +12,7 @@ from kpiloom.llm import queries
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = queries.queries(), queries.oracle_sql()
-ROWS = {"op1": None, "op9": None, "op10": 50}
+ROWS = {"op1": None, "op9": None, "op10": 50, "op12": 500 * 32}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -26,11 +26,11 @@ def test_query_runs(session, name):
     rows = frame.collect()
     expected = ROWS.get(name.split("_")[0], 200)
     assert expected is None or len(rows) == expected
-    assert {r.doc_id for r in rows} == set(range(200))
+    assert name.startswith("op12") or {r.doc_id for r in rows} == set(range(200))
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     import __spark_entry__ as registered
 
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries()) and importlib.util.find_spec("kpiloom.llm")

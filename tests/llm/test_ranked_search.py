@@ -1,0 +1,118 @@
+"""Ranked search against plain scores."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from kpiloom.llm import ranked_search
+from kpiloom.llm.ranked_search import Limits, Scoring, Shard, ranked, shares
+
+
+def terms(text) -> list[str]:
+    lowered = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def plain(docs: list[tuple], items: list[tuple], most: int) -> list[tuple]:
+    counted = [(key, Counter(terms(text))) for key, text in docs]
+    sizes = [sum(c.values()) for _, c in counted]
+    n, total = sum(s > 0 for s in sizes), sum(sizes)
+    holding = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in set(items):
+        scores = []
+        for (key, c), size in zip(counted, sizes, strict=True):
+            score = 0
+            for t in set(terms(text)) & set(c):
+                m = 50 + (50 * size * n) // total
+                weight = math.floor(1000 * math.log((2 * n + 2) / (2 * holding[t] + 1)))
+                score += weight * ((10**9 * c[t]) // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scores.append((-score, key is None, key))
+        out += [(item, i + 1, key, -score) for i, (score, _, key) in enumerate(sorted(scores, key=lambda s: (*s[:2], s[2] or 0))[:most])]
+    return ordered(out)
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], -r[3], r[2] is None, r[2] or 0))
+
+
+def found(docs, items, limits: Limits = Limits(), **names) -> list[tuple]:
+    return ordered(tuple(r) for r in ranked(docs, items, limits, **names).collect())
+
+
+def frames(session, docs, items):
+    return session.createDataFrame(docs, "doc_id BIGINT, text STRING"), session.createDataFrame(items, "item_id BIGINT, text STRING")
+
+
+@pytest.mark.parametrize("most, postings, query_bytes", [(3, 1 << 20, 1 << 20), (5, 40, 60), (1, 1, 1)])
+def test_random_texts(session, most, postings, query_bytes):
+    """Few terms, so that scores tie; shards of a document, and blocks of an item."""
+    rng = random.Random(most)
+    text = lambda n: " ".join(rng.choice(["the", "a", "The", *(f"t{i}" for i in range(30))]) for _ in range(rng.randint(0, n)))
+    docs = [(rng.choice([None, *range(50)]), text(40)) for _ in range(120)]
+    items = [(i, text(12)) for i in range(9)]
+    limits = Limits(results=most, postings=postings, query_bytes=query_bytes)
+    assert found(*frames(session, docs, items), limits) == plain(docs, items, most)
+
+
+def test_odd_rows(session, odd_docs, no_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    items = [(1, "the lazy dog"), (1, "the fox"), (None, "w1x1 one"), (2, None), (3, " - "), (4, "é a 123"), (4, "é a 123"), (5, "nowhere")]
+    schema = "item_id BIGINT, text STRING, rank STRING, doc_id STRING, query INT, score STRING"
+    table = session.createDataFrame([(*i, "x", "y", 1, "z") for i in items], schema)
+    assert found(odd_docs, table) == plain(rows, items, 50)
+    assert found(no_docs, table) == [] and found(odd_docs, table.limit(0)) == []
+    renamed = odd_docs.withColumnsRenamed({"doc_id": "rank", "text": "terms"})
+    assert found(renamed, table, key="rank", text="terms") == plain(rows, items, 50)
+
+
+def test_terms():
+    """ASCII letters and digits, and everything beyond ASCII; only A-Z have a lower case."""
+    text = "Ab-cD É\u00a0é_x9 ÀB\x7f\x00z\n\u4e2d\u6587."
+    assert {t.decode() for t in ranked_search.terms_of(text)} == set(terms(text))
+    assert ranked_search.terms_of(None) == set() == ranked_search.terms_of("-- ..")
+
+
+def shard_of(rng: random.Random, docs: int, lists: int) -> tuple[Shard, np.ndarray]:
+    scoring = Scoring(docs, docs * 100)
+    n = np.array([rng.randint(1, 400) for _ in range(docs)])
+    rows = [(d, t, rng.choice([1, 1, 1, 2, 3, 9])) for t in range(lists) for d in range(docs) if rng.random() < 1 / (1 + t)]
+    doc, term, times = (np.array(c) for c in zip(*rows, strict=True))
+    weights = np.array([scoring.weight(int((term == t).sum())) for t in range(lists)])
+    scores = np.bincount(doc, weights[term] * shares(times, scoring.lengths(n)[doc]), docs).astype(np.int64)
+    return Shard(scoring.lengths(n), doc, term, times, weights), scores
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_reads_settle_members_ties_and_scores(seed):
+    shard, scores = shard_of(random.Random(seed), 400, 7)
+    for most in (1, 10, 400):
+        for floor in (0, int(np.sort(scores)[-5])):
+            places, got, _ = shard.read(np.arange(7), most, floor)
+            bar = max(1, floor, int(np.sort(scores)[-most]))
+            assert sorted(places.tolist()) == np.flatnonzero(scores >= bar).tolist()
+            assert (scores[places] == got).all()
+
+
+def test_reading_ends_early():
+    """With a list of very common terms besides rare ones, the best documents are settled before all is read."""
+    rng = random.Random(1)
+    docs = 20_000
+    n = np.array([rng.randint(50, 5000) for _ in range(docs)])
+    rare = [(d, 1, 3) for d in range(0, docs, 400)]
+    common = [(d, 0, 1 + (d % 5 == 0)) for d in range(docs)]
+    doc, term, times = (np.array(c) for c in zip(*rare, *common, strict=True))
+    scoring = Scoring(docs, int(n.sum()))
+    weights = np.array([scoring.weight(docs // 2), scoring.weight(50)])
+    shard = Shard(scoring.lengths(n), doc, term, times, weights)
+    places, got, taken = shard.read(np.array([0, 1]), 5, 0)
+    scores = np.bincount(doc, weights[term] * shares(times, scoring.lengths(n)[doc]), docs)
+    assert sorted(got.tolist()) == sorted(np.sort(scores)[-5:].astype(int).tolist())
+    assert taken < 0.9 * len(doc)
