@@ -110,12 +110,12 @@ windows AS (
 ),
 firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s),
 gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS at FROM windows JOIN firsts USING (s) WHERE least < doc_id
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM windows JOIN firsts USING (s) WHERE least < doc_id
 ),
-each AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM d),
+each AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM d),
 kept AS (
-  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS text
-  FROM each ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM each ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
 )
 SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
