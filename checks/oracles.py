@@ -361,7 +361,30 @@ def summary() -> str:
     return f'{ctes} SELECT kpi, window_name AS "window", users, pct, denom_label FROM parts'
 
 
+# Queries that promise an order, and the columns that it is by.
+ORDERED = {
+    "retention_cohorts_ordered": ["purchase_cohort_month"],
+    "signup_funnel_ordered": ["signup_date"],
+    "content_daily_ordered": ["activity_date"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    sql = reports_sql()
+    again = {
+        "purchase_outcomes_pruned": sql["purchase_outcomes"],
+        "purchase_outcomes_stored": f"SELECT * EXCLUDE (category) FROM ({sql['purchase_outcomes']})",
+        "purchase_outcomes_long": f"""WITH {ORDER_PAIRS}
+SELECT user_id, ps_date AS purchase_date, {seen('ships', 0, 90)} AS lv, {seen('ships', 29, 31)} AS d30,
+       {seen('ships', 88, 90)} AS d89
+FROM pairs p""",
+    }
+    again |= {f"activation_from_{fmt}": sql["activation_daily"] for fmt in ("parquet", "orc", "csv", "json")}
+    again |= {name: f"{sql[name.removesuffix('_ordered')]} ORDER BY {', '.join(by)}" for name, by in ORDERED.items()}
+    return sql | again
+
+
+def reports_sql() -> dict[str, str]:
     long_facts = order_facts(7)
     live_video = activation_windows(EVENT_FACTS, "lv", "Live + Video Activation (24hr)", REF)
     tests = activation_windows(EVENT_FACTS, "test", "Test Activation (24hr)", REF)

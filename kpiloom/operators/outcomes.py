@@ -17,13 +17,18 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kpiloom.functions import aggregate
+from kpiloom.functions.flags import WORD_BITS
+from kpiloom.session import use_checkpoint_dir
 
 # Up to this many days per purchase are waited on one by one. Each is a row to shuffle, and the other way
 # shuffles the activity days a second time; with some 15 rows of activity per purchase, as is usual, the
 # two cost the same at about this number.
 MAX_OFFSETS = 16
+# Up to this many buyers are sent to all executors (some 100 MB there), if asked for.
+MAX_BUYERS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -61,6 +66,7 @@ def purchase_outcomes(
     outcomes: Mapping[str, Outcome],
     members: DataFrame | None = None,
     max_offsets: int | None = None,
+    max_buyers: int = 0,
 ) -> DataFrame:
     """One row per user and purchase day, with a boolean column per outcome.
 
@@ -70,12 +76,16 @@ def purchase_outcomes(
     per user, so has the result. None keeps all purchases.
     ``max_offsets``: up to so many days after a purchase are waited on one by one, more are looked up by range
     frames (see ``MAX_OFFSETS``, the default). Both ways give the same rows.
+    ``max_buyers``: if at most so many users in scope bought anything, only their activity is shuffled. They are
+    counted and written to the shared folder when the plan is made. With more of them, or 0, all activity is.
 
     Result: (user_id, purchase_date[, category], transactions, <outcomes>).
     """
     known = "user_id IS NOT NULL"
     purchases = purchases.where(known)
     activity = {kind: df.where(known) for kind, df in activity.items()}
+    if max_buyers:
+        activity = _of_buyers(activity, purchases, members, max_buyers)
     offsets = sorted({offset for outcome in outcomes.values() for offset in outcome.offsets})
     if len(offsets) <= (MAX_OFFSETS if max_offsets is None else max_offsets):
         hits = _hits_by_offset(purchases, activity, outcomes, offsets)
@@ -93,6 +103,20 @@ def purchase_outcomes(
     )
 
 
+def _of_buyers(
+    activity: Mapping[str, DataFrame], purchases: DataFrame, members: DataFrame | None, most: int
+) -> Mapping[str, DataFrame]:
+    """The activity of users who bought, if these are at most so many, and else all of it."""
+    use_checkpoint_dir(purchases.sparkSession)
+    buyers = purchases.select("user_id").distinct()
+    if members is not None:
+        buyers = buyers.join(members, "user_id", "left_semi")
+    buyers = buyers.limit(most + 1).checkpoint()
+    if buyers.count() > most:
+        return activity
+    return {kind: df.join(F.broadcast(buyers), "user_id", "left_semi") for kind, df in activity.items()}
+
+
 def _bits(activity: Mapping[str, DataFrame], *kinds: str) -> int:
     order = list(activity)
     return sum(1 << order.index(kind) for kind in set(kinds))
@@ -118,21 +142,33 @@ def _hits_by_offset(
 ) -> DataFrame:
     """A row per purchase day and offset, with the outcomes that the activity of that day fulfils.
 
-    ``waiting`` has bit i set where the user bought ``offsets[i]`` days earlier. Days without activity
-    are kept for the first offset only, which says that there was a purchase and how many.
+    The columns ``waiting_<n>`` together have bit i set where the user bought ``offsets[i]`` days earlier,
+    ``WORD_BITS`` of them in each. Days without activity are kept for the first offset only, which says that there
+    was a purchase and how many.
     """
+    words = [f"waiting_{n}" for n in range(-(-len(offsets) // WORD_BITS))]
+    bit = f"shiftleft(1L, position % {WORD_BITS})"
     targets = ", ".join(f"date_add(purchase_date, {o})" for o in offsets)
     waiting = purchases.selectExpr("user_id", f"posexplode(array({targets})) AS (position, day)").selectExpr(
-        "user_id", "day", "0 AS kinds", "shiftleft(1, position) AS waiting", "if(position = 0, 1L, 0L) AS transactions"
+        "user_id",
+        "day",
+        "0 AS kinds",
+        "if(position = 0, 1L, 0L) AS transactions",
+        *(f"if(position div {WORD_BITS} = {n}, {bit}, 0L) AS {word}" for n, word in enumerate(words)),
     )
-    active = _labelled(activity, "0 AS waiting", "0L AS transactions")
+    active = _labelled(activity, "0L AS transactions", *(f"0L AS {word}" for word in words))
     days = aggregate(
         waiting.unionAll(active),
         ["user_id", "day"],
-        ["bit_or(kinds) AS kinds", "bit_or(waiting) AS waiting", "sum(transactions) AS transactions"],
-    ).where("(waiting & 1) != 0 OR (waiting != 0 AND kinds != 0)")
+        [
+            "bit_or(kinds) AS kinds",
+            "sum(transactions) AS transactions",
+            *(f"bit_or({word}) AS {word}" for word in words),
+        ],
+    ).where(f"(waiting_0 & 1) != 0 OR (({' | '.join(words)}) != 0 AND kinds != 0)")
     per_offset = days.selectExpr("*", f"posexplode(array({', '.join(map(str, offsets))})) AS (position, offset)")
-    return per_offset.where("(waiting & shiftleft(1, position)) != 0 AND (position = 0 OR kinds != 0)").selectExpr(
+    word = words[0] if len(words) == 1 else f"element_at(array({', '.join(words)}), int(position div {WORD_BITS}) + 1)"
+    return per_offset.where(f"({word} & {bit}) != 0 AND (position = 0 OR kinds != 0)").selectExpr(
         "user_id",
         "date_sub(day, offset) AS purchase_date",
         "if(position = 0, transactions, 0L) AS transactions",

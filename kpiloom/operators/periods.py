@@ -21,9 +21,11 @@ WINDOWS = (
 )
 
 
-def yesterday(utc_offset_minutes: int = 0) -> date:
-    """The usual reference date: the last full day, by the clock of the driver."""
-    return (datetime.now(UTC) + timedelta(minutes=utc_offset_minutes)).date() - timedelta(days=1)
+def yesterday(utc_offset_minutes: int = 0, now: datetime | None = None) -> date:
+    """The usual reference date: the last full local day. ``now`` is the time with its zone; default: the driver's clock."""
+    if now is not None and now.tzinfo is None:
+        raise ValueError("the time needs a zone")
+    return ((now or datetime.now(UTC)).astimezone(UTC) + timedelta(minutes=utc_offset_minutes)).date() - timedelta(days=1)
 
 
 def add_months(day: date, months: int) -> date:

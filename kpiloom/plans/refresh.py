@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.operators import activation, calendar, content, retention, signups
+from kpiloom.operators import activation, calendar, content, outcomes, retention, signups
 from kpiloom.operators.cleaning import Rules, members
 from kpiloom.plans import reports, summary
 from kpiloom.session import use_checkpoint_dir
@@ -19,6 +19,11 @@ from kpiloom.sources.tables import Tables
 BOTH_LABELS = {"lv": activation.LIVE_VIDEO_LABEL, "test": activation.TEST_LABEL}
 
 
+def refresh_outcomes() -> dict[str, outcomes.Outcome]:
+    """The outcomes that the KPI tables count."""
+    return reports.activation_outcomes() | reports.retention_outcomes()
+
+
 def kpi_tables(
     spark: SparkSession,
     tables: Tables,
@@ -28,17 +33,22 @@ def kpi_tables(
     main_categories: Sequence[str] = MAIN_CATEGORIES,
     wide_categories: Sequence[str] = WIDE_CATEGORIES,
     signup_offset_minutes: int = 330,
+    facts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every KPI table by name; activity and content, the large tables, are read once for all of them.
 
+    ``facts``: the outcomes of ``refresh_outcomes()`` for each buyer and purchase day, if they are there already (see
+    ``kpiloom.plans.history``); otherwise they are made from purchases and activity.
+
     What the reports share, one row per buyer and purchase day and one row per calendar day for signups
     and content, is checkpointed in the shared folder, so losing an executor later does not bring the
     base tables back into play.
     """
     use_checkpoint_dir(spark)
     cohorts = reports.retention_outcomes()
-    wanted = reports.activation_outcomes() | cohorts
-    facts = reports.buyer_facts(tables, rules, wanted).checkpoint()
+    wanted = refresh_outcomes()
+    if facts is None:
+        facts = reports.buyer_facts(tables, rules, wanted, max_buyers=outcomes.MAX_BUYERS).checkpoint()
     by_category = facts.join(members(tables["users"], rules).distinct(), "user_id")
     funnel = reports.signup_counts(
         tables, rules, ref_date, signup_offset_minutes, wide_categories, main_categories

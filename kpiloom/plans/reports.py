@@ -34,11 +34,12 @@ def retention_outcomes(days: Sequence[int] = (7, 30), tolerance: int = 1) -> dic
 
 
 def buyer_facts(
-    tables: Tables, rules: Rules, wanted: Mapping[str, Outcome], with_category: bool = False
+    tables: Tables, rules: Rules, wanted: Mapping[str, Outcome], with_category: bool = False, max_buyers: int = 0
 ) -> DataFrame:
     """One row per qualified buyer and purchase day, with the wanted outcomes.
 
     ``with_category`` adds the buyer's category; a buyer with rows of several categories has a row for each.
+    ``max_buyers``: see ``purchase_outcomes``.
     """
     purchases, users = require(tables, ["purchases", "users"])
     kinds = tuple(k for k in ALL_KINDS if any(k in outcome.kinds for outcome in wanted.values()))
@@ -48,6 +49,7 @@ def buyer_facts(
         activity_by_kind(tables, kinds, rules),
         wanted,
         buyers if with_category else buyers.select("user_id"),
+        max_buyers=max_buyers,
     )
 
 

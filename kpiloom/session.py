@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +40,8 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared checkpoint folder; nothing is created yet."""
+    return f"{use_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from kpiloom.sources.schemas import (
     WIDE_CATEGORIES,
     WIDE_CONTENT_TYPES,
 )
-from kpiloom.sources.sinks import write_base_table, write_kpi_csv, write_kpi_parquet
+from kpiloom.sources.sinks import publish_kpi_csv, write_base_table, write_kpi_csv, write_kpi_parquet
 from kpiloom.sources.tables import bind_tables, read_table, read_tables
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "WIDE_CATEGORIES",
     "WIDE_CONTENT_TYPES",
     "bind_tables",
+    "publish_kpi_csv",
     "read_table",
     "read_tables",
     "write_base_table",

@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+# Types that are read as another one without loss. A timestamp with a zone is read in the session's, which is UTC.
+READ_AS: dict[type[T.DataType], tuple[type[T.DataType], ...]] = {
+    T.LongType: (T.ByteType, T.ShortType, T.IntegerType),
+    T.IntegerType: (T.ByteType, T.ShortType),
+    T.StringType: (T.VarcharType, T.CharType),
+    T.TimestampNTZType: (T.TimestampType,),
+}
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Stored columns of one table, as ``(stored name, name here, type)``."""
@@ -23,6 +32,18 @@ class TableSpec:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(name, kind, True) for _, name, kind in self.columns])
 
+    def mismatches(self, found: T.StructType) -> list[str]:
+        """What of the stored schema is missing or can't be read without loss; narrower whole numbers can."""
+        kinds = {field.name.lower(): field.dataType for field in found}
+        said = []
+        for stored, _, kind in self.columns:
+            has = kinds.get(stored.lower())
+            if has is None:
+                said.append(f"no column {stored}")
+            elif type(has) is not type(kind) and type(has) not in READ_AS.get(type(kind), ()):
+                said.append(f"{stored} is {has.simpleString()}, not {kind.simpleString()}")
+        return said
+
     def rename(self, df: DataFrame) -> DataFrame:
         """Stored table to the names and types used here; columns not listed are left out."""
         return df.selectExpr(

@@ -39,9 +39,17 @@ def read_tables(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parqu
 
 
 def bind_tables(spark: SparkSession, names: Mapping[str, str], database: str | None = None) -> Tables:
-    """Catalog tables, given as ``{role: table name}``, optionally all in one database."""
+    """Catalog tables, given as ``{role: table name}``, optionally all in one database.
+
+    Types are checked, not only cast: a column that is missing, wider than declared or of another kind is an error,
+    which names all of them in all tables. Narrower whole numbers are widened; columns not declared are left out.
+    """
     prefix = f"{database}." if database else ""
-    return {role: TABLES[role].rename(spark.table(prefix + name)) for role, name in names.items()}
+    found = {role: spark.table(prefix + name) for role, name in names.items()}
+    wrong = [f"{role}: {', '.join(said)}" for role, df in found.items() if (said := TABLES[role].mismatches(df.schema))]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return {role: TABLES[role].rename(df) for role, df in found.items()}
 
 
 def require(tables: Tables, roles: Iterable[str]) -> list[DataFrame]:

@@ -138,3 +138,38 @@ def check_attach(spark):
     assert got.where("name != concat('n', k)").count() == 0
     inner = model.attach(facts, dimension, ["k"], how="inner")
     assert inner.count() == facts.where("k < 40").count()
+
+
+def test_repeated_keys_of_a_dimension_are_an_error(spark, make):
+    """A user, day or signup date with two rows would double facts: reading the result fails and says which."""
+    bought = make("purchases", {"user_id": 1, "at": "2025-01-05 10:00"}, {"user_id": 2, "at": "2025-01-05 10:00"})
+    users = make("users", {"user_id": 1, "category": "SSC"}, {"user_id": 1, "category": "SSC"}, {"user_id": 2, "category": "A"})
+    with pytest.raises(Exception, match="users: several rows for user_id 1"):
+        model.purchases_with_users(bought, users, ["category"]).collect()
+    once = users.where("user_id = 2").union(make("users", {"category": "B"}, {"category": "C"}))
+    got = model.purchases_with_users(bought, once, ["category"]).collect()
+    assert sorted((r.user_id, r.category) for r in got) == [(1, None), (2, "A")]
+    daily = spark.createDataFrame([(date(2025, 1, 5), 1), (date(2025, 1, 5), 1)], "date date, n int")
+    with pytest.raises(Exception, match="daily KPI: several rows for purchase_date 2025-01-05"):
+        model.purchases_with_daily(bought, daily, ["n"], 330).collect()
+    funnel = daily.withColumnRenamed("date", "signup_date")
+    signed = make("users", {"user_id": 1, "signup_date": "2025-01-05"})
+    with pytest.raises(Exception, match="signup funnel: several rows"):
+        model.users_with_funnel(signed, funnel, ["n"]).collect()
+
+
+def test_the_check_of_keys_reads_nothing_twice(spark, make, tmp_path):
+    users = make("users", *({"user_id": u, "category": "SSC"} for u in range(10)))
+    users.write.parquet(str(tmp_path / "users"))
+    users = spark.read.schema(users.schema).parquet(str(tmp_path / "users"))
+    bought = make("purchases", {"user_id": 1, "at": "2025-01-05 10:00"})
+    plan = model.purchases_with_users(bought, users, ["category"])._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("Initial Plan")[-1]
+    assert initial.count("FileScan parquet") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = model.purchases_with_users(bought, users, ["category"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One shuffle of the purchases, one of the users that the count and the join share.
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 2

@@ -1,13 +1,13 @@
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
 from kpiloom.functions import FlagSet, one_of, pct, pct_delta, round_ratio, week_label, whole_div
 from kpiloom.operators.calendar import date_dim
-from kpiloom.operators.periods import WINDOWS, add_months, report_windows
+from kpiloom.operators.periods import WINDOWS, add_months, report_windows, yesterday
 
 
 def value(spark, expression):
@@ -129,3 +129,15 @@ def test_values_with_one_column_name_are_refused():
     assert column_names(["SSC", "SSC"]) == {"SSC": "ssc"}
     with pytest.raises(ValueError, match="IIT"):
         column_names(["IIT JEE", "IIT-JEE"])
+
+
+def test_the_reference_date_is_the_last_full_local_day():
+    """At 20:00 UTC it is the next day already 330 minutes east, and the same day in the west."""
+    now = datetime(2025, 3, 10, 20, 0, tzinfo=UTC)
+    assert yesterday(330, now) == date(2025, 3, 10)
+    assert yesterday(0, now) == yesterday(-300, now) == date(2025, 3, 9)
+    assert yesterday(330, datetime(2025, 3, 10, 18, 29, tzinfo=UTC)) == date(2025, 3, 9)
+    assert yesterday(-300, datetime(2025, 3, 1, 4, 59, tzinfo=UTC)) == date(2025, 2, 27)
+    with pytest.raises(ValueError):
+        yesterday(330, datetime(2025, 3, 10))
+    assert yesterday() in {(datetime.now(UTC) - timedelta(days=n)).date() for n in (1, 2)}

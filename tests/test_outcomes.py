@@ -84,3 +84,68 @@ def test_members_filter_and_category(spark):
     users = spark.createDataFrame([(1, "SSC")], "user_id bigint, category string")
     (row,) = purchase_outcomes(bought, {"live": seen}, {"lv": within(1, "live")}, users).collect()
     assert (row.user_id, row.category, row.transactions, row.lv) == (1, "SSC", 1, True)
+
+
+@pytest.mark.parametrize("days", [31, 32, 33, 62, 63, 64, 70, 130])
+def test_many_offsets_by_both_ways(spark, days):
+    """Bits beyond those of an int and of a long: activity at the far end and just beyond it."""
+    rng = random.Random(days)
+    purchases = [(rng.randrange(6), day(rng.randrange(200))) for _ in range(60)]
+    seen = {(u, d + timedelta(days=n)) for u, d in purchases[:20] for n in rng.choices([0, 30, 31, 32, days - 1, days], k=2)}
+    wanted = {"all": within(days - 1, "live"), "end": Outcome(("live",), days - 1, days - 1), "d31": Outcome(("live",), 31, 31)}
+    bought = spark.createDataFrame(purchases, "user_id bigint, purchase_date date")
+    frames = {"live": spark.createDataFrame(list(seen), "user_id bigint, activity_date date")}
+    right = expected(purchases, {"live": seen}, wanted)
+    assert any(r[4] for r in right) and not all(r[3] for r in right)
+    for most in (0, 200):
+        assert {tuple(r) for r in purchase_outcomes(bought, frames, wanted, max_offsets=most).collect()} == right
+
+
+def pruned_plan(spark, tmp_path, buyers: int, max_buyers: int):
+    path = str(tmp_path / f"activity-{buyers}-{max_buyers}")
+    rows = [(u, day(u % 50)) for u in range(2000)]
+    spark.createDataFrame(rows, "user_id bigint, activity_date date").write.mode("overwrite").parquet(path)
+    bought = spark.createDataFrame([(u, day(0)) for u in range(buyers)], "user_id bigint, purchase_date date")
+    return purchase_outcomes(bought, {"live": spark.read.parquet(path)}, {"lv": within(3, "live")}, max_buyers=max_buyers)
+
+
+def shuffled_rows(df) -> int:
+    """Rows written by the exchange that activity goes through."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    written = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            written.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        if hasattr(node, "plan") and "QueryStage" in node.nodeName():
+            walk(node.plan())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    return sum(written)
+
+
+def test_activity_of_others_is_not_shuffled(spark, tmp_path):
+    few, all_ = pruned_plan(spark, tmp_path, 5, 100), pruned_plan(spark, tmp_path, 5, 0)
+    assert "LeftSemi" in few._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, all_.collect()))
+    assert shuffled_rows(few) < 200 < 2000 < shuffled_rows(all_)
+    many = pruned_plan(spark, tmp_path, 101, 100)
+    assert "LeftSemi" not in many._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_pruned_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    purchases = [(rng.choice([None, *range(20)]), day(rng.randrange(40))) for _ in range(40)]
+    seen = {(rng.randrange(60), day(rng.randrange(60))) for _ in range(400)}
+    wanted = {"lv": within(2, "live"), "d7": around(7, 1, "live")}
+    bought = spark.createDataFrame(purchases, "user_id bigint, purchase_date date")
+    frames = {"live": spark.createDataFrame(list(seen), "user_id bigint, activity_date date")}
+    users = spark.range(0, 20, 2).selectExpr("id AS user_id")
+    got = purchase_outcomes(bought, frames, wanted, users, max_buyers=1000).collect()
+    assert {tuple(r) for r in got} == expected([p for p in purchases if (p[0] or 1) % 2 == 0 or p[0] == 0], {"live": seen}, wanted)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import date
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 from kpiloom.operators.cleaning import Rules, paid_purchases
 from kpiloom.plans import reports
 from kpiloom.sources import (
+    publish_kpi_csv,
     TABLES,
     bind_tables,
     read_table,
@@ -137,3 +139,72 @@ def test_broken_json_is_an_error(spark, tmp_path, line):
 def test_absent_json_keys_are_null(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"user_id": 1}\n')
     assert read_table(spark, "purchases", str(tmp_path / "p.json"), "json").first().amount is None
+
+
+def test_catalog_types_are_checked(spark):
+    """Narrower whole numbers are widened; all that is wider, of another kind or missing is named in one error."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS typed")
+    columns = {stored: kind.simpleString() for stored, _, kind in TABLES["purchases"].columns}
+    narrow = columns | {"user_id": "int", "double_transaction_amount_257": "smallint", "server_time": "timestamp"}
+    wrong = columns | {"double_transaction_amount_257": "bigint", "day": "string", "server_time": "date"}
+    del wrong["payment_mode"]
+    for name, kinds in (("narrow", narrow), ("wrong", wrong)):
+        spark.sql(f"DROP TABLE IF EXISTS typed.{name}")
+        made = spark.range(1).selectExpr(*(f"cast(NULL AS {kind}) AS {column}" for column, kind in kinds.items()))
+        made.selectExpr("*", "1 AS extra").write.saveAsTable(f"typed.{name}")
+    users = spark.range(1).selectExpr("'x' AS user_id", "cast(NULL AS timestamp_ntz) AS signup_ts")
+    users.createOrReplaceTempView("typed_users")
+    bound = bind_tables(spark, {"purchases": "narrow"}, "typed")["purchases"]
+    assert bound.schema == TABLES["purchases"].schema and bound.count() == 1
+    with pytest.raises(ValueError) as error:
+        bind_tables(spark, {"purchases": "typed.wrong", "users": "typed_users"})
+    said = str(error.value)
+    for part in (
+        "purchases: ",
+        "double_transaction_amount_257 is bigint, not int",
+        "day is string, not date",
+        "server_time is date, not timestamp_ntz",
+        "no column payment_mode",
+        "users: user_id is string, not bigint",
+        "no column signup_date",
+    ):
+        assert part in said
+    assert "signup_ts is" not in said and "extra" not in said
+
+
+def published(folder):
+    return {p.name: p.read_bytes() for p in folder.iterdir() if not p.name.startswith(".")}
+
+
+def test_snapshot_of_single_files(spark, tmp_path):
+    kpis = {
+        "kpi_days": spark.range(1000).repartition(7).orderBy("id").selectExpr("id", "nullif(id % 2, 1) AS pct"),
+        "kpi_none": spark.range(0).selectExpr("id", "'x' AS name"),
+    }
+    publish_kpi_csv(kpis, str(tmp_path / "out"))
+    files = published(tmp_path / "out")
+    assert sorted(files) == ["kpi_days.csv", "kpi_none.csv", "manifest.json"]
+    lines = files["kpi_days.csv"].decode().split("\r\n")
+    assert lines[:3] == ["id,pct", "0,0", "1,"] and lines[-2:] == ["999,", ""] and len(lines) == 1002
+    manifest = json.loads(files["manifest.json"])
+    assert [(t["name"], t["file"], t["rows"], t["columns"]) for t in manifest["tables"]] == [
+        ("kpi_days", "kpi_days.csv", 1000, ["id", "pct"]),
+        ("kpi_none", "kpi_none.csv", 0, ["id", "name"]),
+    ]
+    publish_kpi_csv({"kpi_days": spark.range(1).selectExpr("id")}, str(tmp_path / "out"))
+    again = published(tmp_path / "out")
+    assert again["kpi_days.csv"] == b"id\r\n0\r\n" and again["kpi_none.csv"] == files["kpi_none.csv"]
+    assert [t["name"] for t in json.loads(again["manifest.json"])["tables"]] == ["kpi_days"]
+
+
+def test_a_snapshot_that_fails_leaves_the_one_before(spark, tmp_path):
+    """The second table breaks off after some rows: nothing that was published changes, nothing is left behind."""
+    good = {name: spark.range(5).selectExpr("id") for name in ("a", "b")}
+    publish_kpi_csv(good, str(tmp_path))
+    before = published(tmp_path)
+    broken = spark.range(100).selectExpr("if(id = 90, raise_error('stop'), id) AS id")
+    with pytest.raises(Exception, match="stop"):
+        publish_kpi_csv({"a": spark.range(9).selectExpr("id"), "b": broken}, str(tmp_path))
+    assert published(tmp_path) == before
+    with pytest.raises(ValueError):
+        publish_kpi_csv({}, str(tmp_path))
