@@ -40,9 +40,11 @@ from kpiloom.llm.store import stored
 SLACK = 0.07
 # Nodes of a band, up to which their pairs are rows of a join, and which otherwise are compared in one piece.
 FEW = 16
-BLOCK = 128
+BLOCK = 512
+# Signatures of a block that are compared with all of another at a time.
+STEP = 64
 # Rounds of nearest pairs before all that are left.
-BEST_ROUNDS = 2
+BEST_ROUNDS = 1
 # Parts of one in which the threshold is given, to compare whole numbers.
 SCALE = 1000
 
@@ -152,11 +154,14 @@ def estimate(left: str, right: str, shape: MinHash) -> Column:
 def _estimates(left: np.ndarray, right: np.ndarray, shape: MinHash) -> np.ndarray:
     """The similarities of all rows of one matrix of packed signatures with all rows of another."""
     shifts, mask = _fold(shape)
-    x = (left[:, None, :] ^ right[None, :, :]).view(np.uint64)
-    for shift in reversed(shifts):
-        x |= x >> np.uint64(shift)
-    x &= np.int64(mask).view(np.uint64)
-    return _similarity(shape.minima - np.bitwise_count(x).sum(axis=2, dtype=np.int64), shape)
+    differ = np.empty((len(left), len(right)), np.int64)
+    for start in range(0, len(left), STEP):
+        x = (left[start : start + STEP, None, :] ^ right[None, :, :]).view(np.uint64)
+        for shift in reversed(shifts):
+            x |= x >> np.uint64(shift)
+        x &= np.int64(mask).view(np.uint64)
+        differ[start : start + STEP] = np.bitwise_count(x).sum(axis=2, dtype=np.int64)
+    return _similarity(shape.minima - differ, shape)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shape: MinHash = MinHash()) -> DataFrame:
@@ -270,15 +275,19 @@ def _across(
 
 
 def _across_blocks(rows: DataFrame, nodes: DataFrame, shape: MinHash, best_only: bool, least: float) -> DataFrame:
-    """(a, b, guess) for bands of many nodes: blocks of about ``BLOCK`` nodes meet each other, two at a time."""
+    """(a, b, guess) for bands of many nodes: blocks of about ``BLOCK`` nodes meet each other, two at a time.
+
+    The blocks of a band that has several are shuffled once for each other one; a band of one block stays where it is.
+    """
     rows = rows.join(nodes.select("node", "packed", "band_keys"), "node")
     rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     members = F.collect_list(F.struct("node", "root", "packed", "band_keys")).alias("members")
     blocks = stored(rows.groupBy("band", "blocks", "block").agg(members), "blocks")
+    several = blocks.where("blocks > 1")
     to_meet = F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other")
-    left = blocks.select("band", "block", "members", to_meet)
-    right = blocks.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
+    left = several.select("band", "block", "members", to_meet)
+    right = several.select("band", F.col("block").alias("other"), F.col("members").alias("others"))
 
     def columns(members: pa.StructArray) -> list[np.ndarray]:
         plain = [members.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root")]
@@ -289,7 +298,7 @@ def _across_blocks(rows: DataFrame, nodes: DataFrame, shape: MinHash, best_only:
         for batch in batches:
             for band, members, others in zip(*batch.columns, strict=True):
                 node_a, root_a, packed_a, keys_a = columns(members.values)
-                node_b, root_b, packed_b, keys_b = columns(others.values)
+                node_b, root_b, packed_b, keys_b = columns((others if others.is_valid else members).values)
                 guess = _estimates(packed_a, packed_b, shape)
                 guess[(root_a[:, None] == root_b[None, :]) | (guess < least)] = -1
                 i, j = np.nonzero(guess >= 0)
@@ -307,7 +316,8 @@ def _across_blocks(rows: DataFrame, nodes: DataFrame, shape: MinHash, best_only:
                 yield pa.RecordBatch.from_arrays([*sides, pa.array(guess[i, j])], names=["a", "b", "guess"])
 
     both = left.join(right, ["band", "other"]).select("band", "members", "others")
-    return both.mapInArrow(compare, "a BINARY, b BINARY, guess DOUBLE")
+    alone = blocks.where("blocks = 1").select("band", "members", F.lit(None).cast(both.schema["others"].dataType))
+    return both.unionAll(alone).mapInArrow(compare, "a BINARY, b BINARY, guess DOUBLE")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, shape: MinHash) -> DataFrame:
