@@ -7,9 +7,9 @@ the keys (pair, 1) to (pair, level of c) are put into the segment's part of the
 of ``BASE``; a lookup asks for level 1, 2, ... until the filter says no. Each segment's part has a fixed number of
 bits for each key that it gets, so its rate of errors (only counts that are too high) is the same at every size.
 
-Workers get the filter and the counts of words by broadcast. ``max_broadcast`` bounds either one: a larger
-filter is sent in parts, with one pass over the texts for each, and the scores of the parts add up, since a
-pair is in one part only; a larger vocabulary is joined to the texts' pairs instead of being sent.
+Workers get the filter and the counts of words by broadcast. A filter of over ``max_part`` bytes is sent in parts, with
+one pass over the texts for each, whose scores are written before the next part is gathered; they add up, since a
+pair is in one part only. A vocabulary of over ``max_broadcast`` bytes is joined to the texts' pairs instead of being sent.
 
 The probability of word w after h is (c(hw) + mass * p(w)) / (c(h) + mass), with p(w) the smoothed share of w
 alone, (c(w) + 1/2) / (N + (V + 1) / 2), and c(hw) at most c(h) and c(w).
@@ -41,13 +41,14 @@ BLOCK_WORDS = 8
 
 @dataclass(frozen=True)
 class Model:
-    """Bits of filter for each key put into it, bytes of text for a segment, least bytes of the filter,
-    most bytes of a broadcast, and the weight of the single words' shares."""
+    """Bits of filter for each key put into it, bytes of text for a segment, least bytes of the filter, most bytes
+    of the words' counts that are broadcast and of a part of the filter, and the weight of the single words' shares."""
 
     key_bits: float = 14.0
     segment_bytes: int = 4 << 20
     least_bytes: int = 1 << 16
     max_broadcast: int = 128 << 20
+    max_part: int = 48 << 20
     mass: float = 100.0
 
 
@@ -209,18 +210,23 @@ def scored(rows: DataFrame, train: str, key: str = "doc_id", text: str = "text",
     rows = rows.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     blocks = _blocks(made, segments)
-    groups = _groups(blocks, model.max_broadcast // (4 * BLOCK_WORDS))
+    groups = _groups(blocks, model.max_part // (4 * BLOCK_WORDS))
     shape = Shape(segments, blocks, train_texts, train_tokens + 0.5 * (types + 1), model.mass)
     send = spark.sparkContext.broadcast
-    if types * 16 <= model.max_broadcast:
-        vocabulary = send(_vocabulary(known, segments))
-        parts = [_of_texts(rows, vocabulary, send(_filter(made, shape, *group)), shape, group) for group in groups]
+    sent = types * 16 <= model.max_broadcast
+    if sent:
+        vocabulary = send(_vocabulary(known, segments, types))
     else:
         joined = _joined_pairs(rows, known)
-        parts = [_of_pairs(joined, send(_filter(made, shape, *group)), shape, group) for group in groups]
-    out = parts[0]
-    if len(groups) > 1 or types * 16 > model.max_broadcast:
-        out = _summed(parts)
+    parts = []
+    for group in groups:
+        part = send(_filter(made, shape, *group))
+        scores = _of_texts(rows, vocabulary, part, shape, group) if sent else _of_pairs(joined, part, shape, group)
+        if len(groups) > 1:
+            scores = stored(scores, "scores")
+            part.destroy()
+        parts.append(scores)
+    out = _summed(parts) if len(groups) > 1 or not sent else parts[0]
     return out.select(
         F.col("key").alias(key), "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
@@ -277,14 +283,17 @@ def _gathered(made: DataFrame, first: int, stop: int, columns: list[str], each:
         yield from sorted(wanted.select("segment", *columns).collect())
 
 
-def _vocabulary(known: DataFrame, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words' hashes in order, and their counts. The caller has bounded their size."""
-    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
-    for run in _gathered(known, 0, segments, ["keys", "counts"], 64):
-        keys.append(np.frombuffer(run.keys, np.uint64))
+def _vocabulary(known: DataFrame, segments: int, types: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words' hashes in order, and their counts. The caller has bounded their number."""
+    keys, counts, at = np.empty(types, np.uint64), np.empty(types, np.uint32), 0
+    for run in _gathered(known, 0, segments, ["keys", "counts"], 32):
         count = np.frombuffer(run.counts, np.int64)
-        counts.append(count.astype(np.uint32) if count.max(initial=0) < 1 << 32 else count)
-    return np.concatenate(keys), np.concatenate(counts)
+        if counts.dtype == np.uint32 and count.max(initial=0) >= 1 << 32:
+            counts = counts.astype(np.int64)
+        stop = at + len(count)
+        keys[at:stop], counts[at:stop] = np.frombuffer(run.keys, np.uint64), count
+        at = stop
+    return keys, counts
 
 
 def _filter(made: DataFrame, shape: Shape, first: int, stop: int) -> np.ndarray:
@@ -292,7 +301,7 @@ def _filter(made: DataFrame, shape: Shape, first: int, stop: int) -> np.ndarray:
     blocks = shape.blocks[first:stop]
     starts = np.cumsum(blocks) - blocks
     part = np.zeros((int(blocks.sum()), BLOCK_WORDS), np.uint32)
-    for run in _gathered(made, shape.segments + first, shape.segments + stop, ["part"], 32):
+    for run in _gathered(made, shape.segments + first, shape.segments + stop, ["part"], 8):
         at = run.segment - shape.segments - first
         part[starts[at] : starts[at] + blocks[at]] = np.frombuffer(run.part, np.uint32).reshape(-1, BLOCK_WORDS)
     return part

@@ -67,6 +67,8 @@ def test_parts_of_the_filter_and_a_joined_vocabulary_give_the_same(docs):
     assert len(types) == 1
     near(found(docs, lm.Model(segment_bytes=20_000, max_broadcast=2 << 20, **ROOMY)), expected)
     near(found(docs, lm.Model(segment_bytes=20_000, max_broadcast=60_000, **ROOMY)), expected)
+    near(found(docs, lm.Model(segment_bytes=20_000, max_part=2 << 20, **ROOMY)), expected)
+    near(found(docs, lm.Model(segment_bytes=20_000, max_broadcast=60_000, max_part=2 << 20, **ROOMY)), expected)
 
 
 def test_nothing_to_learn_from_and_no_rows(odd_docs, no_docs):
