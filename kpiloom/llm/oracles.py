@@ -18,6 +18,7 @@ def runs(words: str, size: int) -> str:
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 DIGEST = "md5(coalesce(doc_id::VARCHAR, ''))"
+BLOCK = "md5(concat_ws('/', doc_id::VARCHAR, size::VARCHAR, text_crc32::VARCHAR))"
 MULTIPLIER = "2862933555777941757"
 STATE = "{'k': k, 'b': -1::BIGINT, 'j': 0::BIGINT}"
 MOVED = f"((s.k * {MULTIPLIER}::UHUGEINT + 1) % 18446744073709551616::UHUGEINT)"
@@ -53,7 +54,7 @@ sized AS (
 placed AS (SELECT *, {jump(8)} AS shard, {jump(9)} AS grown_shard FROM sized)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
        row_number() OVER (
-         PARTITION BY shard ORDER BY ('0x' || substr({DIGEST}, 17, 3))::INT, doc_id NULLS FIRST, size, text_crc32
+         PARTITION BY shard ORDER BY ('0x' || substr({BLOCK}, 17, 3))::INT, doc_id NULLS FIRST, size, text_crc32
        ) - 1 AS slot
 FROM placed
 """

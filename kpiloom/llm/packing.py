@@ -50,15 +50,17 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit numbers; special tokens in a text are ordinary text.
+    """Token ids as little-endian unsigned 32-bit numbers, as the tokenizer's plain call gives them.
 
-    Each part of a text is encoded once and remembered.
+    Each part of a text is encoded once and remembered. A text with one of the tokenizer's added tokens is encoded
+    whole, because such a token is not split into parts.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
@@ -67,15 +69,21 @@ class Encoder:
         if SINGLE.fullmatch(part):
             tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
             return array("I", [token.id for token in tokens]).tobytes()
-        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+        return self.whole(part)
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [PARTS.findall(text) for text in texts]
+        special = {i for i, text in enumerate(texts) if self.added.search(text)}
+        parts = [PARTS.findall(text) if i not in special else [] for i, text in enumerate(texts)]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = set().union(*parts).difference(self.known)
         self.known.update((part, self.ids(part)) for part in new)
         out = [b"".join(map(self.known.__getitem__, split)) for split in parts]
+        for i in special:
+            out[i] = self.whole(texts[i])
         for part in new:
             if len(part) > SHORT:
                 del self.known[part]

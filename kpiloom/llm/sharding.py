@@ -74,8 +74,9 @@ def sharded(rows: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
 def with_slots(rows: DataFrame, by: list[str], key: str = "doc_id") -> DataFrame:
     """``rows``, which have a shard, with slot: numbered from 0 in each shard without gaps (see ``numbered``).
 
-    A shard has 4096 blocks, by other bits of the key's digest than those that choose the shard. Rows that repeat
-    a key stay in one block.
+    A shard has 4096 blocks, by a digest of the key and of the columns ``by``, so that the rows of a null or repeated
+    key spread over the blocks as far as they differ in these.
     """
-    block = F.expr(f"cast(conv(substr(md5(coalesce(cast(`{key}` AS STRING), '')), 17, 3), 16, 10) AS INT)")
+    parts = ", ".join(f"cast(`{c}` AS STRING)" for c in dict.fromkeys([key, *by]))
+    block = F.expr(f"cast(conv(substr(md5(concat_ws('/', {parts})), 17, 3), 16, 10) AS INT)")
     return numbered(rows, "shard", block, by, "slot")

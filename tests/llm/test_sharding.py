@@ -46,3 +46,14 @@ def test_no_python_in_the_plan(session, odd_docs):
     placed = sharding.with_slots(sharding.sharded(odd_docs, 8), ["doc_id"])
     plan = placed._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_a_null_key_spread_over_the_blocks(session):
+    """A third of the rows without a key: numbered without gaps, and no block has more than a few of them."""
+    rows = session.range(9000).selectExpr("if(id % 3 = 0, NULL, id) AS doc_id", "id AS size", "crc32(cast(cast(id AS STRING) AS BINARY)) AS text_crc32")
+    placed = sharding.with_slots(sharding.sharded(rows, 2), ["doc_id", "size", "text_crc32"]).collect()
+    for shard in (0, 1):
+        assert sorted(r.slot for r in placed if r.shard == shard) == list(range(sum(r.shard == shard for r in placed)))
+    unnamed = sorted(r.slot for r in placed if r.doc_id is None)
+    # In one block their numbers would follow each other.
+    assert sum(b - a == 1 for a, b in zip(unnamed, unnamed[1:], strict=False)) < 0.9 * len(unnamed)
