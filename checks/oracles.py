@@ -363,7 +363,7 @@ def summary() -> str:
 
 # Queries that promise an order, and the columns that it is by.
 ORDERED = {
-    "retention_cohorts_ordered": ["purchase_cohort_month"],
+    "retention_cohorts_long_ordered": ["purchase_cohort_month"],
     "signup_funnel_ordered": ["signup_date"],
     "content_daily_ordered": ["activity_date"],
 }
