@@ -3,8 +3,10 @@
 Each line that has a word is content or boilerplate. A line is described by yes-or-no features (its number of
 words, the shares of distinct words, symbols, capitals and digits, how it ends, whether it repeats an earlier
 line, ...); the field has a weight for each feature, one for each step from a label to the next, and one for each
-label to begin with. It is fitted by its exact likelihood to a bounded sample of labelled texts, whose lines
-all have the label of their text. Viterbi decoding gives a text's lines their most likely labels together, and
+label to begin with. It is fitted by its exact likelihood to a bounded sample of labelled texts. The lines of a
+text have its label; so that the field learns how content and boilerplate follow each other within a text, it is
+fitted as well to mixed ones, each made of a content and a boilerplate text cut into runs of lines that take turns.
+Viterbi decoding gives a text's lines their most likely labels together, and
 the share of its words that lie in content lines decides whether the text is kept.
 """
 
@@ -43,13 +45,17 @@ N_FEATURES = sum(len(e) + 1 for e in EDGES.values()) + len(FLAGS) + 1
 
 @dataclass(frozen=True)
 class Fit:
-    """The bounds of the sample (rows of each label, characters of a row) and the settings of the fit."""
+    """The bounds of the sample (rows of each label, characters of a row) and the settings of the fit.
+
+    ``run`` is the most lines of a run in mixed texts.
+    """
 
     per_label: int = 600
     most_chars: int = 20_000
     steps: int = 100
     rate: float = 0.1
     penalty: float = 1.0
+    run: int = 4
 
 
 @dataclass(frozen=True)
@@ -192,58 +198,90 @@ def decoded(lines: Lines, field: Field) -> np.ndarray:
     return labels
 
 
-def fitted(texts: list[tuple[str, int]], fit: Fit = Fit()) -> Field:
-    """The field of greatest penalised likelihood, label 1 being content; without texts all weights are 0."""
-    lines, _ = measured(pa.array([text for text, _ in texts], pa.string()))
-    own, place = np.unique(lines.text, return_inverse=True)
-    weights, steps, start = np.zeros(N_FEATURES), np.zeros((2, 2)), np.zeros(2)
-    if not len(own):
-        return Field(weights, steps, start)
-    label = np.array([texts[i][1] for i in own])
-    size = np.bincount(place)
+def has_word(line: str) -> bool:
+    return bool(line.encode("utf-8", "surrogatepass").split())
+
+
+def mixed(texts: list[tuple[str, int]], run: int) -> list[tuple[str, list[int]]]:
+    """The lines with words of the i-th content and the i-th boilerplate text in turns, and the label of each line.
+
+    Runs have 1 to ``run`` lines by a fixed rule of the place; every other text begins with boilerplate. Texts
+    without a partner are not used.
+    """
+    lines = [[list(filter(has_word, text.split("\n"))) for text, own in texts if own == label] for label in (0, 1)]
+    out = []
+    for i, pair in enumerate(zip(*lines, strict=False)):
+        at, label, turn, made, labels = [0, 0], (i + 1) % 2, 0, [], []
+        while at[0] < len(pair[0]) or at[1] < len(pair[1]):
+            part = pair[label][at[label] : at[label] + 1 + (i // 2 + turn) % run]
+            at[label] += len(part)
+            made += part
+            labels += [label] * len(part)
+            label, turn = 1 - label, turn + 1
+        out.append(("\n".join(made), labels))
+    return out
+
+
+def likelihood(
+    values: np.ndarray, features: np.ndarray, text: np.ndarray, label: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """The log-likelihood of the lines' labels and its slope, for weights, steps and starts end to end.
+
+    ``text`` is the text of each line, from 0 and without gaps, in order.
+    """
+    size = np.bincount(text)
     order = np.argsort(-size, kind="stable")
     rank = np.empty_like(order)
     rank[order] = np.arange(len(order))
-    size, label = size[order], label[order]
-    row = rank[place]
-    column = np.arange(len(place)) - np.repeat(np.cumsum(np.bincount(place)) - np.bincount(place), np.bincount(place))
+    begin = np.cumsum(size) - size
+    row, column = rank[text], np.arange(len(text)) - np.repeat(begin, size)
+    size = size[order]
     live = [int((size > t).sum()) for t in range(size[0])]
-    features = lines.features.astype(float)
-    seen = np.array([[((label == 0) * (size - 1)).sum(), 0], [0, ((label == 1) * (size - 1)).sum()]], float)
-    seen_first = np.bincount(label, minlength=2).astype(float)
-    values = np.concatenate((weights, steps.ravel(), start))
-    first, second = np.zeros_like(values), np.zeros_like(values)
-    for step in range(1, fit.steps + 1):
-        weights, steps, start = values[:N_FEATURES], values[N_FEATURES:-2].reshape(2, 2), values[-2:]
-        emit = np.zeros((len(size), size[0], 2))
-        emit[row, column, 1] = features @ weights
-        ahead, behind = np.zeros_like(emit), np.zeros_like(emit)
-        ahead[:, 0] = start + emit[:, 0]
-        for t in range(1, size[0]):
-            n = live[t]
-            ahead[:n, t] = np.logaddexp.reduce(ahead[:n, t - 1, :, None] + steps, axis=1) + emit[:n, t]
-        for t in range(size[0] - 2, -1, -1):
-            n = live[t + 1]
-            behind[:n, t] = np.logaddexp.reduce(steps + (emit[:n, t + 1] + behind[:n, t + 1])[:, None, :], axis=2)
-        total = np.logaddexp.reduce(ahead[np.arange(len(size)), size - 1], axis=1)
-        is_content = np.exp(ahead[row, column, 1] + behind[row, column, 1] - total[row])
-        expected = np.zeros((2, 2))
-        for t in range(1, size[0]):
-            n = live[t]
-            both = ahead[:n, t - 1, :, None] + steps + (emit[:n, t] + behind[:n, t])[:, None, :]
-            expected += np.exp(both - total[:n, None, None]).sum(axis=0)
-        first_content = np.exp(ahead[:, 0, 1] + behind[:, 0, 1] - total)
-        slope = np.concatenate(
-            (
-                features.T @ (label[row] - is_content),
-                (seen - expected).ravel(),
-                seen_first - [len(size) - first_content.sum(), first_content.sum()],
-            )
-        )
-        slope = (slope - fit.penalty * values) / len(place)
-        first = 0.9 * first + 0.1 * slope
-        second = 0.999 * second + 0.001 * slope**2
-        values = values + fit.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    weights, steps, start = values[:N_FEATURES], values[N_FEATURES:-2].reshape(2, 2), values[-2:]
+    emit = np.zeros((len(size), size[0], 2))
+    emit[row, column, 1] = features @ weights
+    ahead, behind = np.zeros_like(emit), np.zeros_like(emit)
+    ahead[:, 0] = start + emit[:, 0]
+    for t in range(1, size[0]):
+        n = live[t]
+        ahead[:n, t] = np.logaddexp.reduce(ahead[:n, t - 1, :, None] + steps, axis=1) + emit[:n, t]
+    for t in range(size[0] - 2, -1, -1):
+        n = live[t + 1]
+        behind[:n, t] = np.logaddexp.reduce(steps + (emit[:n, t + 1] + behind[:n, t + 1])[:, None, :], axis=2)
+    total = np.logaddexp.reduce(ahead[np.arange(len(size)), size - 1], axis=1)
+    is_content = np.exp(ahead[row, column, 1] + behind[row, column, 1] - total[row])
+    expected = np.zeros((2, 2))
+    for t in range(1, size[0]):
+        n = live[t]
+        both = ahead[:n, t - 1, :, None] + steps + (emit[:n, t] + behind[:n, t])[:, None, :]
+        expected += np.exp(both - total[:n, None, None]).sum(axis=0)
+    follows = np.flatnonzero(text[1:] == text[:-1])
+    seen = np.bincount(2 * label[follows] + label[follows + 1], minlength=4).reshape(2, 2)
+    seen_first = np.bincount(label[begin], minlength=2)
+    first_content = np.exp(ahead[:, 0, 1] + behind[:, 0, 1] - total).sum()
+    value = emit[row, column, label].sum() + (seen * steps).sum() + seen_first @ start - total.sum()
+    slope = features.T @ (label - is_content), (seen - expected).ravel(), seen_first - [len(size) - first_content, first_content]
+    return float(value), np.concatenate(slope)
+
+
+def fitted(texts: list[tuple[str, int]], fit: Fit = Fit()) -> Field:
+    """The field of greatest penalised likelihood, label 1 being content; without texts all weights are 0."""
+    both = mixed(texts, fit.run)
+    lines, _ = measured(pa.array([text for text, _ in [*texts, *both]], pa.string()))
+    own, text = np.unique(lines.text, return_inverse=True)
+    values = np.zeros(N_FEATURES + 6)
+    if len(own):
+        plain = lines.text < len(texts)
+        whole = np.array([label for _, label in texts])[lines.text[plain]]
+        label = np.concatenate((whole, [label for _, labels in both for label in labels])).astype(np.int64)
+        features = lines.features.astype(float)
+        first, second = np.zeros_like(values), np.zeros_like(values)
+        for step in range(1, fit.steps + 1):
+            _, slope = likelihood(values, features, text, label)
+            slope = (slope - fit.penalty * values) / len(text)
+            first = 0.9 * first + 0.1 * slope
+            second = 0.999 * second + 0.001 * slope**2
+            values = values + fit.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return Field(values[:N_FEATURES], values[N_FEATURES:-2].reshape(2, 2), values[-2:])
 
 

@@ -66,6 +66,48 @@ def test_junk_goes_and_clean_text_stays(session, small, field):
     assert right[0, True] <= 0.2 * (right[0, True] + right[0, False])
 
 
+def test_slope_is_that_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    text = np.repeat(np.arange(5), [1, 4, 2, 7, 3])
+    features = (rng.random((len(text), quality.N_FEATURES)) < 0.3).astype(float)
+    label = rng.integers(0, 2, len(text))
+    values = rng.normal(size=quality.N_FEATURES + 6)
+    _, slope = quality.likelihood(values, features, text, label)
+    for i in range(len(values)):
+        step = np.zeros(len(values))
+        step[i] = 1e-5
+        above, below = (quality.likelihood(values + s, features, text, label)[0] for s in (step, -step))
+        assert abs((above - below) / 2e-5 - slope[i]) < 1e-6
+
+
+def test_likelihood_is_a_share_of_all_labellings():
+    rng = np.random.default_rng(6)
+    text = np.array([0, 0, 0, 1, 1])
+    features = (rng.random((5, quality.N_FEATURES)) < 0.3).astype(float)
+    values = rng.normal(size=quality.N_FEATURES + 6)
+    each = [quality.likelihood(values, features, text, np.array(y))[0] for y in itertools.product((0, 1), repeat=5)]
+    assert abs(np.exp(each).sum() - 1) < 1e-9
+
+
+def test_mixed_texts_have_a_label_for_each_line():
+    texts = [("a\nb\n\n c", 1), ("x\ny", 0), ("d", 1), ("  ", 0), ("lone", 1)]
+    assert quality.mixed(texts, 2) == [("a\nx\ny\nb\n c", [1, 0, 0, 1, 1]), ("d", [1])]
+
+
+def test_lines_of_mixed_held_out_texts(small):
+    """Content and boilerplate lines of texts that were not learnt from are told apart within one text."""
+    rows = small("documents").join(small("labels"), "doc_id").select("doc_id", "text", "quality").where("text IS NOT NULL").collect()
+    field = quality.fitted([(r.text, r.quality) for r in rows if r.doc_id % 2])
+    both = quality.mixed([(r.text, r.quality) for r in rows if not r.doc_id % 2], 5)
+    lines, _ = quality.measured(pa.array([text for text, _ in both]))
+    label = np.array([label for _, labels in both for label in labels], bool)
+    found = quality.decoded(lines, field)
+    print(len(label), [float((found[label == v] == v).mean()) for v in (False, True)])
+    assert (found[label] == 1).mean() >= 0.85 and (found[~label] == 0).mean() >= 0.6
+    per_text = [found[lines.text == t].mean() for t in np.unique(lines.text)]
+    assert sum(0 < share < 1 for share in per_text) >= len(per_text) / 2
+
+
 def test_awkward_rows(odd_docs, no_docs, field):
     judged = quality.judged(odd_docs, field)
     rows = judged.collect()
