@@ -96,6 +96,45 @@ def test_pipeline_stages(session, small):
     assert_gapless(rows, 1024)
 
 
+CLASHING = ["score", "lang_pred", "row", "blob", "findings", "text_hash", "key", "kept", "leak", "Score2"]
+
+
+def test_stages_keep_columns_of_their_own_names(session, small):
+    from pyspark.sql import functions as F
+
+    docs = small("documents").where("doc_id < 40").select("*", *(F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in CLASHING))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(session, docs, FOLDER)
+        assert left.columns == docs.columns, name
+        rows = left.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in CLASHING), name
+    assert corpus_pipeline.pack(session, docs, FOLDER).count() >= 40
+
+
+def test_stages_of_no_documents(session, small):
+    for name, stage in corpus_pipeline.STAGES:
+        left = stage(session, small("documents").limit(0), FOLDER)
+        assert left.collect() == [], name
+        assert name == "packing" or left.columns == small("documents").columns
+
+
+def test_registered_secrets_agree_with_a_plain_scan(session, small):
+    import hashlib
+
+    from test_secret_scan import plain
+
+    texts = {r.doc_id: r.text for r in small("documents").collect()}
+    kinds = ["assign", "access", "hex"]
+    for r in QUERIES["op8_blob_ledger"](session, FOLDER).collect():
+        base = sorted(
+            ((s, kinds.index(k), f"{k}:{s}:{e}") for k, s, e in plain(texts[r.doc_id]) if k in kinds)
+        )
+        joined = ",".join(span for *_, span in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
+
+
 def test_one_row_of_each_class_stays_with_null_and_repeated_ids(session, small):
     one, two, three = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
     rows = [(None, one), (None, one), (5, one), (None, two), (None, two), (None, two + " end"), (6, three), (6, one + " end"), (6, three)]
