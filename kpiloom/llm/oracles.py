@@ -92,14 +92,13 @@ SELECT doc_id, item_id, matched, n_shingles, matched / n_shingles AS containment
 
 OP10 = """
 WITH p AS (
-  SELECT page_id, url, coalesce(html, '') AS html,
-         row_number() OVER (ORDER BY page_id) - 1 AS place FROM pages
+  SELECT page_id, url, coalesce(html, '') AS html FROM pages
 ),
 d AS (SELECT *, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
 f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to, url,
-       'pages-' || lpad((place // 1000)::VARCHAR, 8, '0') || '-0000.warc.gz' AS file
+       (sum(payload_bytes + 512) OVER (ORDER BY page_id) - payload_bytes - 512)::BIGINT // 67108864 AS shard
 FROM f
 """
 

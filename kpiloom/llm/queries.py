@@ -134,7 +134,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
         "url",
-        "file",
+        F.regexp_extract("file", "-([0-9]+)-", 1).cast("long").alias("shard"),
     )
 
 

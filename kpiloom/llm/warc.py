@@ -1,8 +1,8 @@
 """Web archives written in shards and read back.
 
-Records are put in the order of their keys by a range shuffle and numbered; a shard is a fixed range of numbers,
-so that the archives depend on the records alone, not on how the cluster parted them. Each record is a gzip
-member of its own. A shard's records go to files that are closed when their compressed size is reached, under
+Records are put in the order of their keys by a range shuffle. A shard takes the records that begin in a fixed
+range of bytes of that order, so that shards are of even size and depend on the records alone, not on how the
+cluster parted them. Each record is a gzip member of its own, named by its key, address and payload. A shard's records go to files that are closed when their compressed size is reached, under
 temporary names; the rows that name them are kept by Spark only from attempts that succeeded. These are then
 renamed, which may be repeated, and a manifest is written last: readers see what the manifest names.
 
@@ -34,14 +34,16 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Len
 MANIFEST = "shard BIGINT, roll BIGINT, temporary STRING, name STRING, records BIGINT, bytes BIGINT, sha256 STRING"
 # Bits of a row's number inside its partition.
 ROW_BITS = 33
+# Bytes that a record counts beside its payload, and bytes of records that a task sorts or writes.
+HEAD_BYTES, TASK_BYTES = 512, 256 << 20
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Records of a shard, compressed bytes after which a file is closed, and the least payload that is not repeated."""
+    """Bytes of a shard before compression, compressed bytes after which a file is closed, least payload not repeated."""
 
-    shard_records: int = 1000
-    file_bytes: int = 16 << 20
+    shard_bytes: int = 64 << 20
+    file_bytes: int = 8 << 20
     least_revisited: int = 100
     date: str = "1970-01-01T00:00:00Z"
     prefix: str = "pages"
@@ -62,53 +64,53 @@ def written(
         F.col(key).alias("order"),
         F.col(url).alias("url"),
         F.coalesce(F.col(payload), F.lit("")).alias("payload"),
-    ).withColumn("digest", F.sha2("payload", 256))
-    sorted_rows = rows.repartitionByRange(F.col("order").asc_nulls_last(), "digest").sortWithinPartitions(
-        F.col("order").asc_nulls_last(), "digest", F.col("url").asc_nulls_last()
     )
-    ranged = stored(sorted_rows.withColumn("at", F.monotonically_increasing_id()).drop("order"), "ranged", "zstd")
-    ranked = _ranked(ranged)
-    shard = F.floor(F.col("rank") / layout.shard_records).alias("shard")
-    repeated = ranked.where(F.octet_length("payload") >= layout.least_revisited).groupBy(F.col("digest").alias("same"))
-    firsts = repeated.agg(F.min("rank").alias("first"), F.min_by(F.struct("key", "url"), "rank").alias("of"), F.count("*").alias("n"))
-    narrow = ranked.where(F.octet_length("payload") >= layout.least_revisited).select("rank", "digest")
-    revisits = narrow.join(firsts.where("n > 1"), (F.col("digest") == F.col("same")) & (F.col("rank") > F.col("first")))
-    marks = revisits.select(
-        shard, "rank", F.lit(0).alias("kind"), F.col("of.key").alias("key"), F.col("of.url").alias("url"), "digest",
-        F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("binary").alias("member"), "first",
-    )
-    size = F.octet_length("payload").cast("long").alias("bytes")
-    responses = ranked.select(shard, "rank", "key", "url", "digest", size, "payload").mapInArrow(
-        lambda batches: _members(batches, layout), RESPONSES
+    size = F.octet_length("payload").cast("long")
+    total = rows.agg(F.sum(size + HEAD_BYTES)).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES + 1)
+    by = [F.col("order").asc_nulls_last(), F.col("digest"), F.col("url").asc_nulls_last()]
+    dealt = rows.withColumn("digest", F.sha2("payload", 256)).repartitionByRange(tasks, *by[:2])
+    in_order = dealt.sortWithinPartitions(*by).select("key", "url", "digest", size.alias("bytes"), "payload")
+    made = in_order.mapInArrow(lambda batches: _members(batches, layout), RESPONSES)
+    ranked = _ranked(stored(made.withColumn("part", F.spark_partition_id()), "members"), layout)
+    repeated = ranked.where(F.col("bytes") >= layout.least_revisited).select("shard", "rank", "key", "url", "digest")
+    firsts = repeated.groupBy(F.col("digest").alias("same")).agg(
+        F.min("rank").alias("first"), F.min_by(F.struct("key", "url"), "rank").alias("of"), F.count("*").alias("n")
     )
-    records = responses.select(
-        "shard", "rank", F.lit(1).alias("kind"), "key", "url", "digest", "bytes", "member", F.lit(None).cast("long").alias("first")
-    )
-    dealt = records.union(marks).repartition("shard").sortWithinPartitions("shard", "rank", "kind")
-    made = stored(dealt.mapInArrow(lambda batches: _write(batches, folder, layout), MANIFEST), "files")
-    return _committed(spark, made, folder)
+    revisits = repeated.join(firsts.where("n > 1"), (F.col("digest") == F.col("same")) & (F.col("rank") > F.col("first")))
+    marks = revisits.select("shard", "rank", F.lit(0).alias("kind"), F.col("of.key").alias("key"), F.col("of.url").alias("url"), "digest")
+    records = ranked.withColumn("kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    shards = records.repartition(tasks, "shard").sortWithinPartitions("shard", "rank", "kind")
+    files = stored(shards.mapInArrow(lambda batches: _write(batches, folder, layout), MANIFEST), "files")
+    return _committed(spark, files, folder)
+
 
+def _ranked(made: DataFrame, layout: Layout) -> DataFrame:
+    """``made`` with rank, which gives a row's place in the whole order, and its shard.
 
-def _ranked(ranged: DataFrame) -> DataFrame:
-    """``ranged`` with rank, the number of a row in the whole order, from its partition and its place there."""
-    part = F.shiftright("at", ROW_BITS)
-    sizes = sorted(ranged.groupBy(part.alias("part")).count().collect())
+    What goes through the driver is a row for each task of the range shuffle.
+    """
+    ends = made.groupBy("part").agg(F.max(F.col("before") + F.col("bytes") + HEAD_BYTES).alias("end")).collect()
     starts, total = [], 0
-    for row in sizes:
+    for row in sorted(ends):
         starts.append((row["part"], total))
-        total += row["count"]
-    offsets = ranged.sparkSession.createDataFrame(starts, "part BIGINT, start BIGINT")
-    place = F.col("at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    joined = ranged.join(F.broadcast(offsets), part == F.col("part"))
-    return joined.withColumn("rank", F.col("start") + place).drop("at", "part", "start")
+        total += row["end"]
+    joined = made.join(F.broadcast(made.sparkSession.createDataFrame(starts, "part INT, start BIGINT")), "part")
+    return joined.select(
+        F.expr(f"(start + before) div {layout.shard_bytes}").alias("shard"),
+        (F.shiftleft(F.col("part").cast("long"), ROW_BITS) + F.col("row")).alias("rank"),
+        *(c for c in made.columns if c not in ("part", "row", "before")),
+    )
 
 
 def _clean(value: str) -> str:
     return re.sub(r"[\x00-\x1f\x7f]", lambda c: f"%{ord(c[0]):02X}", value)
 
 
-def _id(rank: int, digest: str) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{rank} {digest}'.encode()).digest()[:16], version=5)}>"
+def _id(row: dict, repeat: int) -> str:
+    """The name of a record; ``repeat`` counts the records before it of the same key, address and payload."""
+    named = repr((row["key"], row["url"], row["digest"], repeat))
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(named.encode()).digest()[:16], version=5)}>"
 
 
 def record(row: dict, payload: bytes, mark: dict | None, layout: Layout) -> bytes:
@@ -117,7 +119,7 @@ def record(row: dict, payload: bytes, mark: dict | None, layout: Layout) -> byte
     block = head if mark else head + payload
     fields = [
         ("WARC-Type", "revisit" if mark else "response"),
-        ("WARC-Record-ID", _id(row["rank"], row["digest"])),
+        ("WARC-Record-ID", _id(row, row["repeat"])),
         ("WARC-Date", layout.date),
         ("WARC-Target-URI", row["url"]),
         ("Content-Type", "application/http; msgtype=response"),
@@ -129,7 +131,7 @@ def record(row: dict, payload: bytes, mark: dict | None, layout: Layout) -> byte
     if mark:
         fields += [
             ("WARC-Profile", PROFILE),
-            ("WARC-Refers-To", _id(mark["first"], row["digest"])),
+            ("WARC-Refers-To", _id(mark, 0)),
             ("WARC-Refers-To-Target-URI", mark["url"]),
             ("X-Refers-To-Page-ID", mark["key"]),
         ]
@@ -137,7 +139,7 @@ def record(row: dict, payload: bytes, mark: dict | None, layout: Layout) -> byte
     return f"{VERSION}\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
-RESPONSES = "shard BIGINT, rank BIGINT, key STRING, url STRING, digest STRING, bytes BIGINT, member BINARY"
+RESPONSES = "row BIGINT, before BIGINT, repeat BIGINT, key STRING, url STRING, digest STRING, bytes BIGINT, member BINARY"
 
 
 def _member(data: bytes, layout: Layout) -> bytes:
@@ -146,14 +148,24 @@ def _member(data: bytes, layout: Layout) -> bytes:
 
 
 def _members(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.RecordBatch]:
-    """Rows with the payload replaced by the whole response record, compressed, which is what moves to the shards."""
+    """Rows in order, numbered, with the bytes before each and its whole response record, compressed, for its payload."""
+    at = before = repeat = 0
+    last = None
     for batch in batches:
-        kept = batch.drop_columns("payload")
-        made = [
-            _member(record(row, payload.as_py().encode(), None, layout), layout)
-            for row, payload in zip(kept.to_pylist(), batch.column("payload"), strict=True)
-        ]
-        yield kept.append_column("member", pa.array(made, pa.binary()))
+        rows = []
+        for row, payload in zip(batch.drop_columns("payload").to_pylist(), batch.column("payload"), strict=True):
+            same = (row["key"], row["url"], row["digest"])
+            repeat, last = repeat + 1 if same == last else 0, same
+            row |= {"row": at, "before": before, "repeat": repeat}
+            row["member"] = _member(record(row, payload.as_py().encode(), None, layout), layout)
+            rows.append(row)
+            at, before = at + 1, before + row["bytes"] + HEAD_BYTES
+        yield pa.RecordBatch.from_pylist(rows, MEMBERS)
+
+
+MEMBERS = pa.schema(
+    [(name, {"BIGINT": pa.int64(), "STRING": pa.string(), "BINARY": pa.binary()}[kind]) for name, kind in re.findall(r"(\w+) (\w+)", RESPONSES)]
+)
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -56,7 +57,7 @@ def pages(session):
     return session.createDataFrame([(*r, "z") for r in ROWS], "page_id BIGINT, url STRING, html STRING, digest STRING")
 
 
-@pytest.mark.parametrize("layout", [warc.Layout(), warc.Layout(shard_records=3), warc.Layout(file_bytes=200)])
+@pytest.mark.parametrize("layout", [warc.Layout(), warc.Layout(shard_bytes=2000), warc.Layout(file_bytes=200)])
 def test_round_trip(session, pages, layout):
     folder = folder_for(session, "warc")
     manifest = warc.written(pages, folder, layout=layout)
@@ -74,7 +75,7 @@ def test_round_trip(session, pages, layout):
 
 
 def test_files_depend_on_the_records_alone(session, pages):
-    layout = warc.Layout(shard_records=4, file_bytes=500)
+    layout = warc.Layout(shard_bytes=3000, file_bytes=500)
     one, two = folder_for(session, "warc"), folder_for(session, "warc")
     first = warc.written(pages.repartition(7), one, layout=layout)
     second = warc.written(pages.orderBy("html").coalesce(1), two, layout=layout)
@@ -82,6 +83,31 @@ def test_files_depend_on_the_records_alone(session, pages):
     assert listed(first) == listed(second) and first.count() > 3
 
 
+def test_shards_take_even_bytes_and_files_roll(session):
+    html = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(40))
+    rows = [(i, f"http://a/{i}", f"{i} {html}" * (1 + 9 * (i % 50 == 0))) for i in range(300)]
+    folder, layout = folder_for(session, "warc"), warc.Layout(shard_bytes=200_000, file_bytes=50_000)
+    pages = session.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+    manifest = warc.written(pages.repartition(5), folder, layout=layout)
+    placed, before = {}, 0
+    for i, _, text in rows:
+        placed[str(i)] = before // layout.shard_bytes
+        before += len(text) + warc.HEAD_BYTES
+    found = {r.key: int(r.file.split("-")[1]) for r in warc.read_back(manifest, folder).collect()}
+    assert found == placed and max(placed.values()) > 3
+    files = manifest.collect()
+    assert max(f["roll"] for f in files) > 0 and max(f["bytes"] for f in files) < 50_000 + 20_000
+    assert sorted(f.shard for f in files if f["roll"] == 0) == sorted(set(placed.values()))
+
+
+def test_names_of_records_are_their_own(session, pages):
+    folder = folder_for(session, "warc")
+    manifest = warc.written(pages, folder)
+    data = b"".join(gzip.decompress(Path(folder, f["name"]).read_bytes()) for f in manifest.collect())
+    names, referred = (Counter(re.findall(rb"WARC-" + kind + rb": (\S+)", data)) for kind in (b"Record-ID", b"Refers-To"))
+    assert len(names) == len(ROWS) and set(referred) < set(names)
+
+
 def test_commit_may_be_repeated_and_reports_loss(session, pages):
     folder = folder_for(session, "warc")
     manifest = warc.written(pages, folder)
@@ -95,7 +121,7 @@ def test_commit_may_be_repeated_and_reports_loss(session, pages):
 
 
 def test_damage_is_found():
-    row = {"bytes": 3, "rank": 1, "digest": hashlib.sha256(b"abc").hexdigest(), "url": None, "key": "1"}
+    row = {"bytes": 3, "repeat": 0, "digest": hashlib.sha256(b"abc").hexdigest(), "url": None, "key": "1"}
     data = warc.record(row, b"abc", None, warc.Layout())
     assert warc.parsed(data)["payload"] == "abc"
     with pytest.raises(ValueError, match="damaged"):
