@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.store import stored
 
-# Rows of an index of items up to which it is broadcast (about 100 bytes each); a larger one is shuffled.
-BROADCAST_ROWS = 200_000
+# Bytes of an index of items up to which it is broadcast; a larger one is shuffled. ROW_BYTES is what a row takes beside text.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 100
 # Parts of one in which the share is given, to compare whole numbers.
 SCALE = 1000
 
@@ -39,7 +39,10 @@ def shingles(words: str, size: int) -> Column:
 
 
 def _small(index: DataFrame) -> DataFrame:
-    return F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
+    """The index, to be broadcast if its rows and the shingles in them take few enough bytes."""
+    text = F.octet_length("shingle") if "shingle" in index.columns else F.lit(0)
+    size = index.agg(F.sum(text + ROW_BYTES)).first()[0] or 0
+    return F.broadcast(index) if size <= BROADCAST_BYTES else index
 
 
 def item_sets(items: DataFrame, item: str, text: str, shingle_words: int) -> DataFrame:

@@ -66,10 +66,19 @@ def test_awkward_rows(docs, items, share):
 
 def test_large_indexes_are_joined_by_shuffling(docs, items, monkeypatch):
     expected = pairs(docs, items)
-    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", -1)
     assert pairs(docs, items) == expected
 
 
+def test_broadcasts_are_checked_by_bytes(session, monkeypatch):
+    """Few rows of very long words are no small index."""
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 100_000)
+    hinted = lambda index: "hint" in index._jdf.queryExecution().logical().toString().lower()
+    short = session.createDataFrame([(1, "a b"), (2, "c d")], "item INT, shingle STRING")
+    long = session.createDataFrame([(1, "a" * 200_000)], "item INT, shingle STRING")
+    assert hinted(decontamination._small(short)) and not hinted(decontamination._small(long))
+
+
 def test_items_with_repeated_and_null_ids_are_items_of_their_own(session):
     texts = [" ".join(f"{name}{i}" for i in range(24)) for name in "abcde"]
     ids = [1, 1, None, None, None]
