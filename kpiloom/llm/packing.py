@@ -10,6 +10,8 @@ numbers with these ranges places every piece. All work on texts and pieces is do
 from __future__ import annotations
 
 import functools
+import heapq
+import itertools
 import re
 import zlib
 from array import array
@@ -36,8 +38,8 @@ PARTS = re.compile(
 )
 # Ids are remembered for parts of text up to this many characters, and for so many of them.
 SHORT, REMEMBERED = 40, 400_000
-# Choices of a filling tried at each step, and steps in all.
-CHOICES, STEPS = 3, 20_000
+# Steps of the search for each sequence that best fit takes more than the lower bound, and at most.
+STEPS, MOST_STEPS = 4_000, 40_000
 
 PIECES = "piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 
@@ -175,13 +177,15 @@ def _places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, ...]
     return rows
 
 
-def plan(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[tuple[tuple[int, ...], int]]:
+def plan(counts: dict[int, int], capacity: int, steps: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """Patterns and how often each is used, in as few sequences as the search finds.
 
-    Best fit gives the first solution. Then depth first: the largest length left is completed by the undominated
-    fillings that waste least, each used as often as its lengths allow. A branch ends when its waste leaves no
-    room for fewer sequences than the best solution has, and the search ends at the lower bound or after
-    ``steps``, whatever comes first; the best solution so far is whole at any time.
+    Best fit gives the first solution. Then the largest length left is completed by its undominated fillings,
+    least waste first, each used as often as its lengths allow and later fewer times. The first choices are followed
+    down to the end; then branches are taken up in the order of how many choices on the way to them were not the first. A branch
+    ends when its waste leaves no room for fewer sequences than the best solution has. The search ends when all
+    branches have, at the lower bound, or after ``steps`` (``STEPS`` for each sequence that could be saved), whatever
+    comes first; only the steps keep it from the optimum, and the best solution so far is whole at any time.
     """
     start = np.zeros(capacity + 1, np.int64)
     for length, count in counts.items():
@@ -190,30 +194,62 @@ def plan(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[tupl
     best = best_fit(start, capacity)
     fewest = sum(times for _, times in best)
     least = lower_bound(start, capacity)
-    branches: list[tuple[np.ndarray, int, tuple | None]] = [(start, 0, None)]
-    while branches and fewest > least and steps > 0:
-        left, waste, made = branches.pop()
-        options = None
-        while (steps := steps - 1) >= 0 and left.any() and waste <= (fewest - 1) * capacity - total:
-            options = fillings(left, capacity)
-            for lengths in options[:0:-1]:
-                branches.append(_used(left, waste, made, lengths, capacity))
-            left, waste, made = _used(left, waste, made, options[0], capacity)
-        if not left.any() and (total + waste) // capacity < fewest:
-            best, fewest = [], (total + waste) // capacity
-            while made:
-                best.append(made[0])
-                made = made[1]
+    steps = min(STEPS * (fewest - least), MOST_STEPS) if steps is None else steps
+    # Branches still to take up: choices that were not the first, a number, waste, patterns so far, options tried here.
+    # They hold no table of their own, which is made again from the patterns.
+    ways, waiting = itertools.count(), [(0, 0, 0, None, 0)] if start.any() else []
+    while waiting and fewest > least and steps > 0:
+        off, _, waste, made, tried = heapq.heappop(waiting)
+        left = _left(start, made)
+        while steps > 0:
+            option = (0, None, 0)
+            options = itertools.islice(_options(left, capacity), tried, None)
+            while option and option[1] is None and steps > 0:
+                option, tried, steps = next(options, None), tried + 1, steps - 1
+            if option is None or option[1] is None or waste + option[0] > (fewest - 1) * capacity - total:
+                break
+            heapq.heappush(waiting, (off + 1, next(ways), waste, made, tried))
+            lost, lengths, times = option
+            waste, made, tried = waste + lost * times, ((lengths, times), made), 0
+            if waste > (fewest - 1) * capacity - total:
+                break
+            left = _left(left, (made[0], None))
+            if not left.any():
+                best, fewest = [], (total + waste) // capacity
+                while made:
+                    best.append(made[0])
+                    made = made[1]
+                break
     return best
 
 
-def _used(left: np.ndarray, waste: int, made: tuple | None, lengths: tuple[int, ...], capacity: int) -> tuple:
-    """What remains when a pattern is used as often as possible."""
-    each, need = np.unique(lengths, return_counts=True)
-    times = int((left[each] // need).min())
-    left = left.copy()
-    left[each] -= times * need
-    return left, waste + times * (capacity - sum(lengths)), ((lengths, times), made)
+def _left(start: np.ndarray, made: tuple | None) -> np.ndarray:
+    """The pieces of each length that are left by patterns."""
+    left = start.copy()
+    while made:
+        (lengths, times), made = made
+        each, need = np.unique(lengths, return_counts=True)
+        left[each] -= times * need
+    return left
+
+
+def _options(left: np.ndarray, capacity: int) -> Iterator[tuple[int, tuple[int, ...] | None, int]]:
+    """(waste, pattern, times) for the largest length left: all patterns as often as they can be used, then fewer times.
+
+    A pattern that is dominated is given as None, so that the search may stop between any two.
+    """
+    kept: list[tuple[int, tuple[int, ...], int]] = []
+    largest = int(np.flatnonzero(left)[-1])
+    for lost, filling in fillings(left, capacity):
+        if any(_dominates(pattern[1:], filling) for _, pattern, _ in kept):
+            yield lost, None, 0
+            continue
+        pattern = (largest, *filling)
+        each, need = np.unique(pattern, return_counts=True)
+        kept.append((lost, pattern, int((left[each] // need).min())))
+        yield kept[-1]
+    for lost, pattern, times in kept:
+        yield from ((lost, pattern, fewer) for fewer in range(times - 1, 0, -1))
 
 
 def lower_bound(left: np.ndarray, capacity: int) -> int:
@@ -249,70 +285,38 @@ def best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int
     return [pattern for patterns in rooms.values() for pattern in patterns if pattern[0]]
 
 
-def fillings(left: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """The largest length with the undominated fillings of the room beside it that waste least, at most ``CHOICES``.
+def fillings(left: np.ndarray, capacity: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """(waste, lengths): every choice of lengths left for the room beside the largest one, least waste first.
 
-    One filling dominates another whose lengths can be put into its own. Fillings that begin with one, two or
-    three lengths are listed, each completed with the largest that still fit.
+    Of equal waste, those with larger lengths come first. Nothing is tried in vain: ``sums`` has, for each length, the
+    sums (as bits) that it and smaller ones can make with as many pieces as there are.
     """
-    lengths = np.arange(capacity + 1)
-    largest = int(lengths[left > 0].max())
-    left = left.copy()
-    left[largest] -= 1
+    largest = int(np.flatnonzero(left)[-1])
     room = capacity - largest
-    fits = np.maximum.accumulate(np.where(left > 0, lengths, 0))
-    if not fits[room]:
-        return [(largest,)]
-    one = np.array([[fits[room]]])
-    starts = [one]
-    if fits[room] < room:
-        a = lengths[: room + 1][left[: room + 1] > 0]
-        b = _next(fits, left, room - a, a[:, None])
-        starts.append(_best(np.stack((a, b), axis=1)))
-        if starts[-1].sum(axis=1).max() < room:
-            a, b = (x.ravel() for x in np.meshgrid(a, a, indexing="ij"))
-            fit = (a >= b) & (a + b <= room) & ((a != b) | (left[a] > 1))
-            a, b = a[fit], b[fit]
-            c = _next(fits, left, room - a - b, np.stack((a, b), axis=1))
-            starts.append(_best(np.stack((a, b, c), axis=1)) if len(a) else one)
-    whole = {_completed(left, room, [int(x) for x in row if x]) for rows in starts for row in rows}
-    ranked = sorted(whole, key=lambda x: (room - sum(x), len(x), tuple(-y for y in x)))
-    kept: list[tuple[int, ...]] = []
-    for filling in ranked:
-        if len(kept) < CHOICES and not any(_dominates(x, filling) for x in kept):
-            kept.append(filling)
-    return [(largest, *x) for x in kept]
-
-
-def _next(fits: np.ndarray, left: np.ndarray, room: np.ndarray, used: np.ndarray) -> np.ndarray:
-    """The largest length that fits each room and is left when those in ``used`` are taken; 0 if there is none."""
-    found = fits[room]
-    while True:
-        gone = (found > 0) & ((used == found[:, None]).sum(axis=1) >= left[found])
-        if not gone.any():
-            return found
-        found = np.where(gone, fits[np.maximum(found - 1, 0)], found)
-
-
-def _best(rows: np.ndarray) -> np.ndarray:
-    """The rows with the largest sums, and of these those with the largest lengths."""
-    rows = -np.sort(-rows, axis=1)
-    order = np.lexsort((*(-rows.T[::-1]), -rows.sum(axis=1)))
-    return rows[order[: 4 * CHOICES]]
-
-
-def _completed(left: np.ndarray, room: int, filling: list[int]) -> tuple[int, ...]:
-    left = left.copy()
-    for length in filling:
-        left[length] -= 1
-        room -= length
-    while room > 0 and (fit := np.flatnonzero(left[1 : room + 1])).size:
-        length = int(fit[-1]) + 1
-        each = min(int(left[length]), room // length)
-        filling = [*filling, *[length] * each]
-        left[length] -= each
-        room -= each * length
-    return tuple(sorted(filling, reverse=True))
+    lengths = [int(x) for x in np.flatnonzero(left[: room + 1])]
+    counts = [int(left[x]) - (x == largest) for x in lengths]
+    mask, made = (1 << (room + 1)) - 1, 1
+    sums = [made]
+    for length, count in zip(lengths, counts, strict=True):
+        more, take = min(count, room // length), 1
+        while more > 0:
+            made |= (made << (length * min(take, more))) & mask
+            more, take = more - take, 2 * take
+        sums.append(made)
+
+    def choices(upto: int, target: int) -> Iterator[tuple[int, ...]]:
+        if not target:
+            yield ()
+            return
+        while upto and sums[upto] >> target & 1:
+            length = lengths[upto - 1]
+            for times in range(min(counts[upto - 1], target // length), 0, -1):
+                if sums[upto - 1] >> (target - times * length) & 1:
+                    yield from ((length,) * times + rest for rest in choices(upto - 1, target - times * length))
+            upto -= 1
+
+    for lost in range(room + 1):
+        yield from ((lost, filling) for filling in choices(len(lengths), room - lost))
 
 
 def _dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -120,6 +121,47 @@ def test_search_beats_best_fit():
     assert sum(t for _, t in packing.plan(Counter([44, 24, 24, 22, 21, 17, 8, 8, 6, 6]), 60)) == 3
 
 
+@pytest.mark.parametrize("seed", range(25))
+def test_search_without_a_step_limit_is_optimal(seed):
+    """Few lengths, each many times: patterns have to be used fewer times than they could be."""
+    random.seed(100 + seed)
+    capacity = random.choice([12, 20, 30])
+    counts = Counter(random.choices(random.sample(range(2, capacity // 2 + 3), 4), k=10))
+    found = packing.plan(counts, capacity, 10**9)
+    assert used(found) == counts
+    assert sum(t for _, t in found) == fewest(sorted(counts.elements(), reverse=True), capacity)
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_fillings_are_all_choices_by_waste(seed):
+    random.seed(seed)
+    left = np.zeros(21, np.int64)
+    pieces = [random.randint(2, 14) for _ in range(8)]
+    for length in pieces:
+        left[length] += 1
+    pieces.remove(max(pieces))
+    room = 20 - int(np.flatnonzero(left)[-1])
+    every = {tuple(sorted(c, reverse=True)) for n in range(9) for c in itertools.combinations(pieces, n)}
+    found = list(packing.fillings(left, 20))
+    assert [lost for lost, _ in found] == sorted(room - sum(x) for x in every if sum(x) <= room)
+    assert {x for _, x in found} == {x for x in every if sum(x) <= room} and len(found) == len({x for _, x in found})
+
+
+def test_search_saves_sequences_on_many_pieces():
+    """Here best fit takes one more than the bound, which the search reaches."""
+    random.seed(5)
+    wins = 0
+    for _ in range(20):
+        counts = Counter(random.randint(20, 90) for _ in range(200))
+        left = np.zeros(129, np.int64)
+        for length, count in counts.items():
+            left[length] = count
+        found, first = (sum(t for _, t in x) for x in (packing.plan(counts, 128), packing.best_fit(left, 128)))
+        assert packing.lower_bound(left, 128) <= found <= first
+        wins += found < first
+    assert wins >= 3
+
+
 def test_dominated_fillings():
     assert packing._dominates((6,), (3, 3)) and packing._dominates((5, 2), (4, 2))
     assert not packing._dominates((4, 2), (5,))
