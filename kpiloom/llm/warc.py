@@ -71,15 +71,17 @@ def written(
     by = [F.col("order").asc_nulls_last(), F.col("digest"), F.col("url").asc_nulls_last()]
     dealt = rows.withColumn("digest", F.sha2("payload", 256)).repartitionByRange(tasks, *by[:2])
     in_order = dealt.sortWithinPartitions(*by).select("key", "url", "digest", size.alias("bytes"), "payload")
-    made = in_order.mapInArrow(lambda batches: _members(batches, layout), RESPONSES)
-    ranked = _ranked(stored(made.withColumn("part", F.spark_partition_id()), "members"), layout)
+    numbered = in_order.mapInArrow(_numbered, f"{COLUMNS}, payload STRING, {NUMBERS}")
+    # Payloads of many rows together are smaller on disk than records compressed one by one.
+    ranked = _ranked(stored(numbered.withColumn("part", F.spark_partition_id()), "numbered", "zstd"), layout)
     repeated = ranked.where(F.col("bytes") >= layout.least_revisited).select("shard", "rank", "key", "url", "digest")
     firsts = repeated.groupBy(F.col("digest").alias("same")).agg(
         F.min("rank").alias("first"), F.min_by(F.struct("key", "url"), "rank").alias("of"), F.count("*").alias("n")
     )
     revisits = repeated.join(firsts.where("n > 1"), (F.col("digest") == F.col("same")) & (F.col("rank") > F.col("first")))
     marks = revisits.select("shard", "rank", F.lit(0).alias("kind"), F.col("of.key").alias("key"), F.col("of.url").alias("url"), "digest")
-    records = ranked.withColumn("kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    responses = ranked.mapInArrow(lambda batches: _members(batches, layout), RESPONSES)
+    records = responses.withColumn("kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
     shards = records.repartition(tasks, "shard").sortWithinPartitions("shard", "rank", "kind")
     files = stored(shards.mapInArrow(lambda batches: _write(batches, folder, layout), MANIFEST), "files")
     return _committed(spark, files, folder)
@@ -139,7 +141,9 @@ def record(row: dict, payload: bytes, mark: dict | None, layout: Layout) -> byte
     return f"{VERSION}\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
-RESPONSES = "row BIGINT, before BIGINT, repeat BIGINT, key STRING, url STRING, digest STRING, bytes BIGINT, member BINARY"
+COLUMNS = "key STRING, url STRING, digest STRING, bytes BIGINT"
+NUMBERS = "row BIGINT, before BIGINT, repeat BIGINT"
+RESPONSES = f"shard BIGINT, rank BIGINT, {COLUMNS}, repeat BIGINT, member BINARY"
 
 
 def _member(data: bytes, layout: Layout) -> bytes:
@@ -147,25 +151,32 @@ def _member(data: bytes, layout: Layout) -> bytes:
     return pack.compress(data) + pack.flush()
 
 
-def _members(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.RecordBatch]:
-    """Rows in order, numbered, with the bytes before each and its whole response record, compressed, for its payload."""
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order with their numbers, the bytes before each, and how many before it have its key, address and payload."""
     at = before = repeat = 0
     last = None
     for batch in batches:
-        rows = []
-        for row, payload in zip(batch.drop_columns("payload").to_pylist(), batch.column("payload"), strict=True):
+        numbers: dict[str, list[int]] = {"row": [], "before": [], "repeat": []}
+        for row in batch.select(["key", "url", "digest", "bytes"]).to_pylist():
             same = (row["key"], row["url"], row["digest"])
             repeat, last = repeat + 1 if same == last else 0, same
-            row |= {"row": at, "before": before, "repeat": repeat}
-            row["member"] = _member(record(row, payload.as_py().encode(), None, layout), layout)
-            rows.append(row)
+            for name, value in zip(numbers, (at, before, repeat), strict=True):
+                numbers[name].append(value)
             at, before = at + 1, before + row["bytes"] + HEAD_BYTES
-        yield pa.RecordBatch.from_pylist(rows, MEMBERS)
+        for name, values in numbers.items():
+            batch = batch.append_column(name, pa.array(values, pa.int64()))
+        yield batch
 
 
-MEMBERS = pa.schema(
-    [(name, {"BIGINT": pa.int64(), "STRING": pa.string(), "BINARY": pa.binary()}[kind]) for name, kind in re.findall(r"(\w+) (\w+)", RESPONSES)]
-)
+def _members(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.RecordBatch]:
+    """Rows with the payload replaced by the whole response record, compressed, which is what moves to the shards."""
+    for batch in batches:
+        kept = batch.drop_columns("payload")
+        made = [
+            _member(record(row, payload.as_py().encode(), None, layout), layout)
+            for row, payload in zip(kept.to_pylist(), batch.column("payload"), strict=True)
+        ]
+        yield kept.append_column("member", pa.array(made, pa.binary()))
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout) -> Iterator[pa.RecordBatch]:
