@@ -5,9 +5,10 @@ there activity of some kinds between ``first_day`` and ``last_day`` days later?
 answers it for any number of such questions over one pass of the activity tables.
 
 The activity tables are by far the largest input. They are shuffled once, as one small row per user
-and day that is combined before the shuffle. Days a purchase is waiting for (the purchase day plus
-each offset) are grouped along with them, so there is no join and no sort of the activity, and a
-user or a day that holds a large part of all rows shrinks to a row per task before it moves.
+and block of days that is combined before the shuffle. Days a purchase is waiting for (the purchase
+day plus each offset) are grouped along with them, as bits of the same blocks, so there is no join and
+no sort of the activity, and a user or a day that holds a large part of all rows shrinks to a row per
+task before it moves.
 """
 
 from __future__ import annotations
@@ -19,13 +20,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions import aggregate
+from kpiloom.functions import aggregate, rows
 from kpiloom.functions.flags import WORD_BITS
 from kpiloom.session import use_checkpoint_dir
 
-# Up to this many days per purchase are waited on one by one. Each is a row to shuffle, and the other way
-# shuffles the activity days a second time; with some 15 rows of activity per purchase, as is usual, the
-# two cost the same at about this number.
+# Up to this many days per purchase are waited on one by one, as bits; a purchase is a row to shuffle for each block
+# of days that they reach. The other way shuffles the activity days a second time.
 MAX_OFFSETS = 16
 # Up to this many buyers are sent to all executors (some 100 MB there), if asked for.
 MAX_BUYERS = 4_000_000
@@ -140,45 +140,82 @@ def _hits_by_offset(
     outcomes: Mapping[str, Outcome],
     offsets: list[int],
 ) -> DataFrame:
-    """A row per purchase day and offset, with the outcomes that the activity of that day fulfils.
+    """A row per purchase day with the number of its purchases, and rows with the outcomes that activity fulfils.
 
-    The columns ``waiting_<n>`` together have bit i set where the user bought ``offsets[i]`` days earlier,
-    ``WORD_BITS`` of them in each. Days without activity are kept for the first offset only, which says that there
-    was a purchase and how many.
+    Days are cut into blocks of ``WORD_BITS``. A purchase waits once for each block that an offset leads to, however
+    many do: ``waiting_<n>`` has bit i set where the user bought on day i of the block ``reach[n]`` blocks earlier,
+    and ``active_<n>`` where there was activity of the n-th kind on day i of the block. Rows without a block have a
+    purchase day and how many bought on it. Unknown days have no block, and unknown days of activity meet those of
+    purchases.
     """
-    words = [f"waiting_{n}" for n in range(-(-len(offsets) // WORD_BITS))]
-    bit = f"shiftleft(1L, position % {WORD_BITS})"
-    targets = ", ".join(f"date_add(purchase_date, {o})" for o in offsets)
-    waiting = purchases.selectExpr("user_id", f"posexplode(array({targets})) AS (position, day)").selectExpr(
-        "user_id",
-        "day",
-        "0 AS kinds",
-        "if(position = 0, 1L, 0L) AS transactions",
-        *(f"if(position div {WORD_BITS} = {n}, {bit}, 0L) AS {word}" for n, word in enumerate(words)),
+    reach = sorted({(day + offset) // WORD_BITS for offset in offsets for day in range(WORD_BITS)}) or [0]
+    words = [f"waiting_{n}" for n in range(len(reach))]
+    active = [f"active_{n}" for n in range(len(activity))]
+
+    def block(day: str) -> str:
+        return f"floor(unix_date({day}) / {WORD_BITS})"
+
+    def bit(day: str) -> str:
+        return f"shiftleft(1L, pmod(unix_date({day}), {WORD_BITS}))"
+
+    def leading(ahead: int) -> int:
+        """The days of a block, as bits, from which an offset leads so many blocks ahead."""
+        days = (d for d in range(WORD_BITS) if any((d + offset) // WORD_BITS == ahead for offset in offsets))
+        return sum(1 << d for d in days)
+
+    def row(block: str, day: str, transactions: str, **bits: str) -> list[str]:
+        return [
+            "user_id",
+            f"cast({block} AS BIGINT) AS block",
+            f"cast({day} AS DATE) AS day",
+            f"{transactions} AS transactions",
+            *(f"{bits.get(name, '0L')} AS {name}" for name in words + active),
+        ]
+
+    counted = row("NULL", "purchase_date", "1L")
+    ahead = [
+        row(f"{block('purchase_date')} + {k}", "NULL", "0L", **{word: f"{bit('purchase_date')} & {leading(k)}L"})
+        for word, k in zip(words, reach, strict=True)
+    ]
+    waits = " OR ".join(f"{word} != 0" for word in words)
+    waiting = rows(purchases, (f"struct({', '.join(fields)})" for fields in [counted, *ahead])).where(
+        f"transactions > 0 OR {waits}"
     )
-    active = _labelled(activity, "0L AS transactions", *(f"0L AS {word}" for word in words))
+    marks = {
+        name: f"if({_has('kinds', _bits(activity, kind))}, coalesce({bit('activity_date')}, 1L), 0L)"
+        for name, kind in zip(active, activity, strict=True)
+    }
+    done = _labelled(activity).selectExpr(*row(block("activity_date"), "NULL", "0L", **marks))
     days = aggregate(
-        waiting.unionAll(active),
-        ["user_id", "day"],
-        [
-            "bit_or(kinds) AS kinds",
-            "sum(transactions) AS transactions",
-            *(f"bit_or({word}) AS {word}" for word in words),
-        ],
-    ).where(f"(waiting_0 & 1) != 0 OR (({' | '.join(words)}) != 0 AND kinds != 0)")
-    per_offset = days.selectExpr("*", f"posexplode(array({', '.join(map(str, offsets))})) AS (position, offset)")
-    word = words[0] if len(words) == 1 else f"element_at(array({', '.join(words)}), int(position div {WORD_BITS}) + 1)"
-    return per_offset.where(f"({word} & {bit}) != 0 AND (position = 0 OR kinds != 0)").selectExpr(
-        "user_id",
-        "date_sub(day, offset) AS purchase_date",
-        "if(position = 0, transactions, 0L) AS transactions",
-        *(
-            f"offset BETWEEN {outcome.first_day} AND {outcome.last_day} "
-            f"AND {_has('kinds', _bits(activity, *outcome.kinds))} AS {name}"
-            for name, outcome in outcomes.items()
-        ),
+        waiting.unionAll(done),
+        ["user_id", "block", "day"],
+        ["sum(transactions) AS transactions", *(f"bit_or({name}) AS {name}" for name in words + active)],
+    ).where(f"transactions > 0 OR {waits}")
+    # A row per word with purchases, then one per purchase day in it: its day from the beginning of the block on.
+    ahead_of = f"element_at(array({', '.join(map(str, reach))}), position + 1)"
+    by_day = (
+        days.selectExpr("*", f"posexplode(array({', '.join(words)})) AS (position, word)")
+        .where("word != 0 OR (position = 0 AND transactions > 0)")
+        .selectExpr("*", f"explode(array({', '.join(map(str, range(WORD_BITS)))})) AS bit")
+        .where("(shiftright(word, bit) & 1) != 0 OR (bit = 0 AND transactions > 0)")
+        .selectExpr("*", f"bit - {WORD_BITS} * {ahead_of} AS at")
     )
 
+    def fulfilled(outcome: Outcome) -> str:
+        if not outcome.offsets:
+            return "false"
+        kinds = " | ".join(name for name, kind in zip(active, activity, strict=True) if kind in outcome.kinds)
+        first, last = f"greatest(0, at + {outcome.first_day})", f"least({WORD_BITS - 1}, at + {outcome.last_day})"
+        between = f"if({first} <= {last}, shiftleft(1L, {last} + 1) - shiftleft(1L, {first}), 0L)"
+        return f"(({kinds or '0L'}) & if(block IS NULL, 1L, {between})) != 0"
+
+    return by_day.selectExpr(
+        "user_id",
+        f"coalesce(day, date_from_unix_date(int(block * {WORD_BITS} + at))) AS purchase_date",
+        "transactions",
+        *(f"{fulfilled(outcome)} AS {name}" for name, outcome in outcomes.items()),
+    ).where(" OR ".join(["transactions > 0", *outcomes]))
+
 
 def _hits_by_range(
     purchases: DataFrame, activity: Mapping[str, DataFrame], outcomes: Mapping[str, Outcome]

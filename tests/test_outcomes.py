@@ -149,3 +149,44 @@ def test_pruned_against_brute_force(spark, seed):
     users = spark.range(0, 20, 2).selectExpr("id AS user_id")
     got = purchase_outcomes(bought, frames, wanted, users, max_buyers=1000).collect()
     assert {tuple(r) for r in got} == expected([p for p in purchases if (p[0] or 1) % 2 == 0 or p[0] == 0], {"live": seen}, wanted)
+
+
+def test_a_purchase_is_no_row_per_day_waited_on(spark):
+    """Ninety-one offsets reach three blocks of days at most, so that few rows are shuffled for a purchase."""
+    bought = spark.createDataFrame([(u, day(u % 70)) for u in range(300)], "user_id bigint, purchase_date date")
+    seen = spark.createDataFrame([(u, day(u % 70 + 90)) for u in range(300)], "user_id bigint, activity_date date")
+    got = purchase_outcomes(bought, {"live": seen}, {"lv": within(90, "live"), "d89": around(89, 1, "live")}, max_offsets=128)
+    assert shuffled_rows(got) <= 300 * (3 + 1 + 1) + 300 * 2
+    assert {(r.user_id, r.transactions, r.lv, r.d89) for r in got.collect()} == {(u, 1, True, True) for u in range(300)}
+
+
+@pytest.mark.parametrize("start", [date(1969, 9, 1), date(2024, 2, 20)], ids=["before 1970", "now"])
+def test_days_far_apart_and_before_1970(spark, start):
+    """Offsets that reach blocks far apart and behind, from every day of a block."""
+    rng = random.Random(3)
+    purchases = [(rng.randrange(4), start + timedelta(days=n)) for n in range(130)] * 2
+    offsets = (-200, -62, -1, 0, 61, 62, 3000)
+    wanted = {f"o{n}": Outcome(("live", "test"), o, o) for n, o in enumerate(offsets)}
+    wanted |= {"wide": Outcome(("test",), -70, 70), "none": Outcome(("live",), 3, 2)}
+    activity = {
+        kind: {(u, d + timedelta(days=rng.choice(offsets) + rng.randrange(2))) for u, d in rng.sample(purchases, 60)}
+        for kind in ("live", "video", "test")
+    }
+    bought = spark.createDataFrame(purchases, "user_id bigint, purchase_date date")
+    frames = {k: spark.createDataFrame(list(v), "user_id bigint, activity_date date") for k, v in activity.items()}
+    right = expected(purchases, activity, wanted)
+    assert all(len({r[3 + n] for r in right}) == 2 for n in range(len(offsets)))
+    assert {tuple(r) for r in purchase_outcomes(bought, frames, wanted, max_offsets=999).collect()} == right
+
+
+@pytest.mark.parametrize("max_offsets", [0, 62], ids=["ranges", "offsets"])
+def test_unknown_days_meet(spark, max_offsets):
+    """Purchases of unknown days stay, and only activity of unknown days follows them."""
+    bought = spark.createDataFrame([(1, None), (1, None), (1, day(0)), (2, None)], "user_id bigint, purchase_date date")
+    live = spark.createDataFrame([(1, None), (3, None), (2, day(0))], "user_id bigint, activity_date date")
+    test = spark.createDataFrame([(1, day(1))], "user_id bigint, activity_date date")
+    wanted = {"lv": within(1, "live"), "test": within(1, "test")}
+    got = purchase_outcomes(bought, {"live": live, "test": test}, wanted, max_offsets=max_offsets).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, None, 2, True, False), (1, day(0), 1, False, True), (2, None, 1, False, False)], key=str
+    )
