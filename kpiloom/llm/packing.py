@@ -30,14 +30,16 @@ from kpiloom.llm.store import stored
 # Parts of a text that a byte-level tokenizer never joins. The first three are single words of it: plain letters, plain
 # marks, each with a space before, or a line feed, if what follows is of another of these kinds. The rest goes up to
 # a space between two other characters.
-LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?|"
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+# All of ASCII but the apostrophe, which is joined with letters after it.
+MARKS = re.escape('!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
 SINGLE = re.compile(f" ?[{LETTERS}]+| ?[{MARKS}]+|\n")
 PARTS = re.compile(
     f" ?[{LETTERS}]+(?=[ \n{MARKS}]|\\Z)| ?[{MARKS}]+(?=[ \n{LETTERS}]|\\Z)|\n(?=[{LETTERS}])"
     "|[\\s\\S]+?(?<=\\S)(?= \\S)|[\\s\\S]+"
 )
-# Ids are remembered for parts of text up to this many characters, and for so many of them.
-SHORT, REMEMBERED = 40, 400_000
+# Ids are remembered for parts of text up to this many characters, and for so many of them (some 200 MB).
+SHORT, REMEMBERED = 40, 800_000
 # Steps of the search for each sequence that best fit takes more than the lower bound, and at most.
 STEPS, MOST_STEPS = 4_000, 40_000
 
@@ -54,8 +56,8 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """Token ids as little-endian unsigned 32-bit numbers, as the tokenizer's plain call gives them.
 
-    Each part of a text is encoded once and remembered. A text with one of the tokenizer's added tokens is encoded
-    whole, because such a token is not split into parts.
+    Each part of a text is encoded once and remembered; of too many, those that the next texts have are kept. A text
+    with one of the tokenizer's added tokens is encoded whole, because such a token is not split into parts.
     """
 
     def __init__(self, path: str):
@@ -79,9 +81,10 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         special = {i for i, text in enumerate(texts) if self.added.search(text)}
         parts = [PARTS.findall(text) if i not in special else [] for i, text in enumerate(texts)]
+        met = set().union(*parts)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = set().union(*parts).difference(self.known)
+            self.known = {part: self.known[part] for part in met & self.known.keys()}
+        new = met.difference(self.known)
         self.known.update((part, self.ids(part)) for part in new)
         out = [b"".join(map(self.known.__getitem__, split)) for split in parts]
         for i in special:

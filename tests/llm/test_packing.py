@@ -31,6 +31,31 @@ def test_parts_encode_like_the_whole_text():
         assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [whole(t) for t in texts]
 
 
+def test_words_and_marks_are_parts_of_their_own():
+    """A word is encoded once, whatever marks follow it; next to apostrophes and digits nothing is split."""
+    assert packing.PARTS.findall("ab ab%%% (ab) ab#ab") == ["ab", " ab", "%%%", " (", "ab", ")", " ab", "#", "ab"]
+    assert packing.PARTS.findall("it's (4) a_'s") == ["it's", " (4)", " a", "_'s"]
+    marks = [chr(n) for n in range(0x21, 0x7F) if not chr(n).isalnum()]
+    random.seed(2)
+    texts = ["".join(random.choices([*marks, "'", "a", "Zé", "3", " ", "\n", " b", "'s", "\u4e00"], k=50)) for _ in range(1500)]
+    encode, plain = packing.Encoder(PATH), Tokenizer.from_file(PATH)
+    right = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == right
+
+
+def test_parts_met_again_are_kept_when_there_are_too_many(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    encode, encoded = packing.Encoder(PATH), []
+    ids = encode.ids
+    monkeypatch.setattr(encode, "ids", lambda part: encoded.append(part) or ids(part))
+    texts = [["a b c d"], ["a b e f g"], ["a b c"], [""], ["a b"]]
+    for batch in texts:
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(batch)] == [whole(t) for t in batch]
+    # The fourth block leaves at most what it has, which is nothing.
+    assert sorted(encoded) == sorted(["a", " b", " c", " d", " e", " f", " g", " c"])
+    assert len(encode.known) <= 3
+
+
 @pytest.mark.parametrize("capacity", [8, 64])
 def test_rows_are_packed_whole(session, odd_docs, capacity):
     rows = packing.packed(odd_docs, PATH, capacity, keep_ids=True).collect()
