@@ -188,7 +188,7 @@ def _hits_by_offset(
     done = _labelled(activity).selectExpr(*row(block("activity_date"), "NULL", "0L", **marks))
     days = aggregate(
         waiting.unionAll(done),
-        ["user_id", "block", "day"],
+        ["user_id", "day", "block"],
         ["sum(transactions) AS transactions", *(f"bit_or({name}) AS {name}" for name in words + active)],
     ).where(f"transactions > 0 OR {waits}")
     # A row per word with purchases, then one per purchase day in it: its day from the beginning of the block on.
@@ -196,8 +196,8 @@ def _hits_by_offset(
     by_day = (
         days.selectExpr("*", f"posexplode(array({', '.join(words)})) AS (position, word)")
         .where("word != 0 OR (position = 0 AND transactions > 0)")
-        .selectExpr("*", f"explode(array({', '.join(map(str, range(WORD_BITS)))})) AS bit")
-        .where("(shiftright(word, bit) & 1) != 0 OR (bit = 0 AND transactions > 0)")
+        .selectExpr("*", f"posexplode(array({', '.join(f'{1 << d}L' for d in range(WORD_BITS))})) AS (bit, mask)")
+        .where("(word & mask) != 0 OR (bit = 0 AND transactions > 0)")
         .selectExpr("*", f"bit - {WORD_BITS} * {ahead_of} AS at")
     )
 
