@@ -1,15 +1,15 @@
 """Scores of texts by a bigram model whose counts are in a log-frequency Bloom filter.
 
-Tokens are a text's words (lower-case A-Z) and one end. Counting is one pass over all training texts: each task
-sums the words and word pairs of some million tokens at a time and sends them on in sorted runs, by segments
-of the hash; a segment's totals are made in one place. Single words keep exact counts. Of a pair with count c,
-the keys (pair, 1) to (pair, level of c) are put into the segment's part of the filter, levels being powers
-of ``BASE``; a lookup asks for level 1, 2, ... until the filter says no. Each segment's part has a fixed number of
+Tokens are a text's words (lower-case A-Z) and one end. Single words keep exact counts. Of a pair with count c,
+the keys (pair, 1) to (pair, level of c) are put into a filter, levels being powers of ``BASE``; a lookup asks for
+level 1, 2, ... until the filter says no. The filter is cut into segments of the hash, each with a fixed number of
 bits for each key that it gets, so its rate of errors (only counts that are too high) is the same at every size.
 
-Workers get the filter and the counts of words by broadcast. A filter of over ``max_part`` bytes is sent in parts, with
-one pass over the texts for each, whose scores are written before the next part is gathered; they add up, since a
-pair is in one part only. A vocabulary of over ``max_broadcast`` bytes is joined to the texts' pairs instead of being sent.
+Texts are stored in runs of some million tokens. A run sends its distinct words and pairs, each with its count in the
+texts to learn from, to the parts of the hash that they fall into. The task of a part sums the counts, fills the
+part's segments of the filter, and answers every run with the words' counts or the pairs' levels, in the order of
+the run's keys. A run's texts meet the answers and are scored. So every text is read as often whatever the size, what
+moves is in proportion to the texts, and neither the words' counts nor the filter is in one place as a whole.
 
 The probability of word w after h is (c(hw) + mass * p(w)) / (c(h) + mass), with p(w) the smoothed share of w
 alone, (c(w) + 1/2) / (N + (V + 1) / 2), and c(hw) at most c(h) and c(w).
@@ -20,9 +20,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,18 +34,23 @@ from kpiloom.llm.store import stored
 
 START, END = words.mix(np.array([1, 2], np.uint64) * words.GOLDEN)
 BASE = 1.5
-# Tokens that a task sums at a time.
-RUN_TOKENS = 2_000_000
 # Keys looked up at a time.
 PROBES = 1 << 15
 # Words of 32 bits in a block of the filter; a key sets one bit in each.
 BLOCK_WORDS = 8
+# Bytes of text whose words or pairs make a part.
+PART_BYTES = 16 << 20
+# A part is shared by several tasks if there is more text than this many times the text to learn from.
+SPARSE = 8
+# Rows of the stored runs are large, so that the writer has to look at their size after each one.
+RUN_FILES = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(32 << 20)}
 
 
 @dataclass(frozen=True)
 class Model:
     """Bits of filter for each key put into it, bytes of text for a segment, least bytes of the filter, most bytes
-    of the words' counts that are broadcast and of a part of the filter, and the weight of the single words' shares."""
+    of the words' counts (``max_broadcast``) and of the filter (``max_part``) that a task has to hold, one segment at
+    least, the weight of the single words' shares, and tokens and bytes of text after which a run ends."""
 
     key_bits: float = 14.0
     segment_bytes: int = 4 << 20
@@ -50,6 +58,8 @@ class Model:
     max_broadcast: int = 128 << 20
     max_part: int = 48 << 20
     mass: float = 100.0
+    run_tokens: int = 2_500_000
+    run_bytes: int = 16 << 20
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -124,65 +134,179 @@ def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
     return (((keys >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)).astype(np.int64)
 
 
-def _runs(grams: np.ndarray, segments: int, kind: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """(segment, keys, counts) of grams; pairs have the segments after those of words."""
-    keys, counts = np.unique(grams, return_counts=True)
-    at = np.searchsorted(_segment(keys, segments), np.arange(segments + 1))
-    for segment in np.flatnonzero(np.diff(at)).tolist():
-        part = slice(at[segment], at[segment + 1])
-        yield segment + kind * segments, keys[part].tobytes(), counts[part].astype(np.uint32).tobytes()
-
-
 def blocks_for(counts: np.ndarray, key_bits: float, least: int) -> int:
     """Blocks of the part of the filter for pairs with these counts."""
     return max(1, least, math.ceil(int(levels(counts).sum()) * key_bits / (32 * BLOCK_WORDS)))
 
 
-def counted(texts: DataFrame, segments: int, key_bits: float, least: int) -> DataFrame:
-    """(segment, keys, counts, part) from a column of texts: words' hashes and counts, or the filter's part.
+@dataclass(frozen=True)
+class Layout:
+    """Segments of the hash, how many make a part (of words, of pairs), tasks that share a part, and the filter's
+    bits for a key and least blocks of a segment."""
 
-    A part has ``key_bits`` for each of its keys, and ``least`` blocks.
-    """
+    segments: int
+    steps: tuple[int, int]
+    copies: int
+    key_bits: float
+    least: int
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def send() -> Iterator[pa.RecordBatch]:
-            if held:
-                token, before = (np.concatenate(x) for x in zip(*held, strict=True))
-                for kind, grams in enumerate((token, pairs(before, token))):
-                    rows = list(_runs(grams, segments, kind))
-                    for i in range(0, len(rows), 256):
-                        yield pa.RecordBatch.from_pylist(
-                            [dict(zip(("segment", "keys", "counts"), row, strict=True)) for row in rows[i : i + 256]]
-                        )
-                held.clear()
-
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+    def starts(self, kind: int) -> np.ndarray:
+        """The least key of each part."""
+        firsts = range(0, self.segments, self.steps[kind])
+        return np.array([-((-first << 32) // self.segments) << 32 for first in firsts], np.uint64)
+
+
+def laid_out(total: int, size: int, model: Model) -> Layout:
+    """For so many bytes of text, and of text to learn from."""
+    segments = max(1, math.ceil(size / model.segment_bytes))
+    least = max(1, model.least_bytes // segments // (4 * BLOCK_WORDS))
+    copies = max(1, math.ceil(total / (SPARSE * max(size, model.segment_bytes))))
+    # A token takes two bytes of text at least, and n tokens put n words and n keys of the filter at most.
+    tokens_learnt = size / segments / 2 + 1
+    most_bytes = 16 * tokens_learnt, max(4 * BLOCK_WORDS * least, tokens_learnt * model.key_bits / 8)
+    fitting = PART_BYTES / ((size + total / copies) / segments + 1)
+    bounds = model.max_broadcast / most_bytes[0], model.max_part / most_bytes[1]
+    words_step, pairs_step = (max(1, int(min(fitting, bound))) for bound in bounds)
+    return Layout(segments, (words_step, pairs_step), copies, model.key_bits, least)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as many bytes each as the largest needs, after that number of bytes."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpacked(data: pa.Scalar) -> np.ndarray:
+    data = np.frombuffer(data.as_buffer(), np.uint8)
+    width, data = int(data[0]), data[1:]
+    wide = np.zeros((len(data) // width, 8), np.uint8)
+    wide[:, :width] = data.reshape(-1, width)
+    return wide.view("<u8").ravel()
+
+
+def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Grams in order and their numbers (numpy sorts for these; without them it hashes, which takes ten times as long)."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]), return_counts=True)
+
+
+def _counts(learnt: list[np.ndarray], others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All grams in order, and how often each is among those learnt."""
+    keys, counts = _distinct(learnt)
+    more, _ = _distinct(others)
+    place = np.searchsorted(keys, more)
+    new = np.ones(len(more), bool)
+    inside = np.flatnonzero(place < len(keys))
+    new[inside] = keys[place[inside]] != more[inside]
+    return np.insert(keys, place[new], more[new]), np.insert(counts, place[new], 0)
+
+
+def runs(texts: DataFrame, model: Model) -> DataFrame:
+    """(run, texts) from (key, text, learnt): the rows of each run as a compressed stream of Arrow batches."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sealed() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            codec = pa.Codec("zstd", compression_level=3)
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
+                for rows in held:
+                    out.write_batch(rows)
+            held.clear()
+            return pa.RecordBatch.from_pydict({"run": [run], "texts": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+        held: list[pa.RecordBatch] = []
+        run, size, most_tokens = TaskContext.get().partitionId() << 33, 0, 0
         for batch in batches:
-            for start, stop in words.blocks(batch.column(0)):
-                token, before, _ = tokens(batch.column(0).slice(start, stop - start))
-                held.append((token, before))
-                size += len(token)
-                if size >= RUN_TOKENS:
-                    yield from send()
-                    size = 0
-        yield from send()
-
-    def total(runs: pa.Table) -> pa.Table:
-        segment = runs["segment"][0].as_py()
-        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in runs["keys"]])
-        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in runs["counts"]])
+            for start, stop in words.blocks(batch.column(1)):
+                held.append(batch.slice(start, stop - start))
+                data, _ = words.utf8(held[-1].column(1))
+                size += len(data)
+                most_tokens += np.count_nonzero(words.SPACE[data]) + 2 * (stop - start)
+                if size >= model.run_bytes or most_tokens >= model.run_tokens:
+                    yield sealed()
+                    run, size, most_tokens = run + 1, 0, 0
+        if held:
+            yield sealed()
+
+    return texts.mapInArrow(cut, "run BIGINT, texts BINARY")
+
+
+def answered(runs: DataFrame, layout: Layout) -> DataFrame:
+    """(run, part, found, types, tokens): the counts of each run's words and the levels of its pairs, part by part,
+    in the order of the distinct ones; and rows without a run, with the distinct words and tokens learnt from."""
+    starts = [layout.starts(kind) for kind in (0, 1)]
+    segments, steps, copies = layout.segments, layout.steps, layout.copies
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run, texts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held: list[tuple[list, list]] = [([], []), ([], [])]
+                for rows in pa.ipc.open_stream(texts.as_buffer()):
+                    token, before, ends = tokens(rows.column(1))
+                    own = np.repeat(rows.column(2).to_numpy(zero_copy_only=False), np.diff(ends))
+                    for kind, grams in enumerate((token, pairs(before, token))):
+                        held[kind][0].append(grams[own])
+                        held[kind][1].append(grams[~own])
+                for kind in (0, 1):
+                    keys, counts = _counts(*held[kind])
+                    held[kind] = ([], [])
+                    messages = messages_of(run, kind, keys, counts)
+                    while some := list(islice(messages, 64)):
+                        yield pa.RecordBatch.from_pylist(some, ASKED)
+
+    def messages_of(run: int, kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[dict]:
+        at = np.append(np.searchsorted(keys, starts[kind]), len(keys))
+        own = (run ^ run >> 33) % copies
+        for part in np.flatnonzero(np.diff(at)).tolist():
+            inside = slice(at[part], at[part + 1])
+            learnt = np.flatnonzero(counts[inside]) + at[part]
+            for copy in range(copies):
+                chosen = inside if copy == own else learnt
+                if copy == own or len(learnt):
+                    yield {
+                        "part": (part + kind * len(starts[0])) * copies + copy,
+                        "run": run if copy == own else None,
+                        "keys": packed(np.diff(keys[chosen], prepend=starts[kind][part])),
+                        "counts": packed(counts[chosen]),
+                    }
+
+    def answer(asked: pa.Table) -> pa.Table:
+        group = asked["part"][0].as_py()
+        part, copy = divmod(group, copies)
+        kind = int(part >= len(starts[0]))
+        part -= kind * len(starts[0])
+        keys = np.concatenate([np.cumsum(unpacked(x)) + starts[kind][part] for x in asked["keys"]])
         keys, place = np.unique(keys, return_inverse=True)
-        counts = np.bincount(place, counts, len(keys)).astype(np.int64)
-        row = {"segment": segment, "keys": b"", "counts": b"", "part": b""}
-        if segment < segments:
-            row |= {"keys": keys.tobytes(), "counts": counts.tobytes()}
-        else:
-            row["part"] = filled(keys, counts, blocks_for(counts, key_bits, least)).tobytes()
-        return pa.Table.from_pylist([row])
-
-    runs = texts.mapInArrow(count, "segment BIGINT, keys BINARY, counts BINARY")
-    return runs.groupBy("segment").applyInArrow(total, "segment BIGINT, keys BINARY, counts BINARY, part BINARY")
+        counts = [unpacked(x) for x in asked["counts"]]
+        ends = np.cumsum([len(x) for x in counts])
+        found = np.bincount(place, np.concatenate(counts), len(keys)).astype(np.int64)
+        del counts
+        types, learnt = (np.count_nonzero(found), int(found.sum())) if kind == 0 and copy == 0 else (0, 0)
+        if kind:
+            first = part * steps[kind]
+            found = levels_of(keys, found, first, min(first + steps[kind], segments))
+        each = np.split(found[place], ends[:-1])
+        rows = [(run, group, packed(x), 0, 0) for run, x in zip(asked["run"].to_pylist(), each, strict=True) if run is not None]
+        columns = zip(*rows, (None, group, b"", types, learnt), strict=True)
+        return pa.Table.from_arrays([pa.array(x, field.type) for x, field in zip(columns, ANSWERS, strict=True)], schema=ANSWERS)
+
+    def levels_of(keys: np.ndarray, counts: np.ndarray, first: int, stop: int) -> np.ndarray:
+        """The levels that the filter gives for all keys of some segments, with only those counted in it."""
+        segment = _segment(keys, segments) - first
+        at = np.searchsorted(segment, np.arange(stop - first + 1))
+        made = []
+        for start, end in zip(at[:-1], at[1:], strict=True):
+            own = start + np.flatnonzero(counts[start:end])
+            made.append(filled(keys[own], counts[own], blocks_for(counts[own], layout.key_bits, layout.least)))
+        blocks = np.array([len(x) for x in made])
+        return probed(np.concatenate(made), (np.cumsum(blocks) - blocks)[segment], keys, blocks[segment])
+
+    asked = runs.mapInArrow(ask, "part BIGINT, run BIGINT, keys BINARY, counts BINARY")
+    return asked.groupBy("part").applyInArrow(answer, "run BIGINT, part BIGINT, found BINARY, types BIGINT, tokens BIGINT")
+
+
+ASKED = pa.schema([("part", pa.int64()), ("run", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+ANSWERS = pa.schema([("run", pa.int64()), ("part", pa.int64()), ("found", pa.binary()), ("types", pa.int64()), ("tokens", pa.int64())])
+SCORES = ["key", "n_tokens", "n_known", "base_score", "score"]
 
 
 def scored(rows: DataFrame, train: str, key: str = "doc_id", text: str = "text", model: Model = Model()) -> DataFrame:
@@ -192,41 +316,32 @@ def scored(rows: DataFrame, train: str, key: str = "doc_id", text: str = "text",
     alone. Without rows to learn from every probability is one. Keys may be null or repeated: results belong to
     rows. Other columns may be used by ``train`` only.
     """
-    spark = rows.sparkSession
-    learnt = rows.where(train).select(F.col(text).alias("text"))
-    size, train_texts = learnt.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    segments = max(1, math.ceil((size or 0) / model.segment_bytes))
-    least = max(1, model.least_bytes // segments // (4 * BLOCK_WORDS))
-    made = stored(counted(learnt, segments, model.key_bits, least), "counts")
-    known = made.where(F.col("segment") < segments)
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
-            yield pa.RecordBatch.from_pydict({"types": [len(c) for c in counts], "tokens": [int(c.sum()) for c in counts]})
-
-    each = known.select("counts").mapInArrow(sums, "types BIGINT, tokens BIGINT")
-    types, train_tokens = (x or 0 for x in each.agg(F.sum("types"), F.sum("tokens")).first())
-    rows = rows.select(F.col(key).alias("key"), F.col(text).alias("text"))
-
-    blocks = _blocks(made, segments)
-    groups = _groups(blocks, model.max_part // (4 * BLOCK_WORDS))
-    shape = Shape(segments, blocks, train_texts, train_tokens + 0.5 * (types + 1), model.mass)
-    send = spark.sparkContext.broadcast
-    sent = types * 16 <= model.max_broadcast
-    if sent:
-        vocabulary = send(_vocabulary(known, segments, types))
-    else:
-        joined = _joined_pairs(rows, known)
-    parts = []
-    for group in groups:
-        part = send(_filter(made, shape, *group))
-        scores = _of_texts(rows, vocabulary, part, shape, group) if sent else _of_pairs(joined, part, shape, group)
-        if len(groups) > 1:
-            scores = stored(scores, "scores")
-            part.destroy()
-        parts.append(scores)
-    out = _summed(parts) if len(groups) > 1 or not sent else parts[0]
+    texts = rows.select(F.col(key).alias("key"), F.col(text).alias("text"), F.expr(f"coalesce({train}, false)").alias("learnt"))
+    length = F.octet_length("text")
+    sizes = texts.agg(F.sum(length), F.sum(F.when(F.col("learnt"), length)), F.count_if("learnt")).first()
+    total, size, train_texts = (x or 0 for x in sizes)
+    layout = laid_out(total, size, model)
+    made = stored(runs(texts, model), "runs", "none", **RUN_FILES)
+    answers = stored(answered(made, layout), "answers")
+    sums = answers.where("run IS NULL").agg(F.sum("types"), F.sum("tokens")).first()
+    types, train_tokens = (x or 0 for x in sums)
+    shape = Shape(train_texts, train_tokens + 0.5 * (types + 1), model.mass)
+    word_groups = len(layout.starts(0)) * layout.copies
+
+    def score(run: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.sort_by("part")
+        of_words = pc.less(found["part"], word_groups)
+        counts, level = (
+            np.concatenate([unpacked(x) for x in found["found"].filter(kind)]).astype(np.int64)
+            for kind in (of_words, pc.invert(of_words))
+        )
+        return shape.scores(pa.ipc.open_stream(run["texts"][0].as_buffer()), counts, level)
+
+    kind = texts.schema["key"].dataType.simpleString()
+    found = answers.where("run IS NOT NULL").select("run", "part", "found")
+    out = made.groupBy("run").cogroup(found.groupBy("run")).applyInArrow(
+        score, f"key {kind}, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
+    )
     return out.select(
         F.col("key").alias(key), "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
@@ -234,10 +349,8 @@ def scored(rows: DataFrame, train: str, key: str = "doc_id", text: str = "text",
 
 @dataclass(frozen=True)
 class Shape:
-    """Segments of a kind, blocks of the filter in each, texts learnt from, N + (V + 1) / 2, and the weight."""
+    """Texts learnt from, N + (V + 1) / 2, and the weight."""
 
-    segments: int
-    blocks: np.ndarray
     texts: int
     spread: float
     mass: float
@@ -245,163 +358,27 @@ class Shape:
     def shares(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / self.spread
 
-    def scores(self, pair: np.ndarray, count: np.ndarray, context: np.ndarray, part: np.ndarray, group: tuple[int, int]) -> np.ndarray:
-        """log10 of the probabilities of pairs, 0 for those that aren't of the group."""
-        segment = _segment(pair, self.segments) - group[0]
-        own = np.flatnonzero((segment >= 0) & (segment < group[1] - group[0]))
-        blocks = self.blocks[group[0] : group[1]]
-        level = probed(part, (np.cumsum(blocks) - blocks)[segment[own]], pair[own], blocks[segment[own]])
-        count, context = count[own], context[own]
-        both = np.minimum(of_level(level), np.minimum(count, context))
-        out = np.zeros(len(pair))
-        out[own] = np.log10((both + self.mass * self.shares(count)) / (context + self.mass))
-        return out
-
-
-def _blocks(made: DataFrame, segments: int) -> np.ndarray:
-    """The blocks of the filter in each segment; one that no pair fell into has an empty block."""
-    blocks = np.ones(segments, np.int64)
-    sizes = made.where(F.col("segment") >= segments).select("segment", F.octet_length("part").alias("bytes"))
-    for row in sizes.collect():
-        blocks[row.segment - segments] = row.bytes // (4 * BLOCK_WORDS)
-    return blocks
-
-
-def _groups(blocks: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Ranges of segments of at most so many blocks, of one segment at least."""
-    ends, starts = np.cumsum(blocks), [0]
-    while starts[-1] < len(blocks):
-        before = ends[starts[-1]] - blocks[starts[-1]]
-        starts.append(max(starts[-1] + 1, int(np.searchsorted(ends, before + most, "right"))))
-    return list(zip(starts[:-1], starts[1:], strict=True))
-
-
-def _gathered(made: DataFrame, first: int, stop: int, columns: list[str], each: int) -> Iterator[list]:
-    """The rows of a range of segments in order, a few at a time, so that the driver holds little besides them."""
-    for start in range(first, stop, each):
-        wanted = made.where(F.col("segment").between(start, min(start + each, stop) - 1))
-        yield from sorted(wanted.select("segment", *columns).collect())
-
-
-def _vocabulary(known: DataFrame, segments: int, types: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words' hashes in order, and their counts. The caller has bounded their number."""
-    keys, counts, at = np.empty(types, np.uint64), np.empty(types, np.uint32), 0
-    for run in _gathered(known, 0, segments, ["keys", "counts"], 32):
-        count = np.frombuffer(run.counts, np.int64)
-        if counts.dtype == np.uint32 and count.max(initial=0) >= 1 << 32:
-            counts = counts.astype(np.int64)
-        stop = at + len(count)
-        keys[at:stop], counts[at:stop] = np.frombuffer(run.keys, np.uint64), count
-        at = stop
-    return keys, counts
-
-
-def _filter(made: DataFrame, shape: Shape, first: int, stop: int) -> np.ndarray:
-    """The filter for a range of segments, whose size the model bounds."""
-    blocks = shape.blocks[first:stop]
-    starts = np.cumsum(blocks) - blocks
-    part = np.zeros((int(blocks.sum()), BLOCK_WORDS), np.uint32)
-    for run in _gathered(made, shape.segments + first, shape.segments + stop, ["part"], 8):
-        at = run.segment - shape.segments - first
-        part[starts[at] : starts[at] + blocks[at]] = np.frombuffer(run.part, np.uint32).reshape(-1, BLOCK_WORDS)
-    return part
-
-
-SUMS = "n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
-
-
-def _of_texts(rows: DataFrame, vocabulary, part, shape: Shape, group: tuple[int, int]) -> DataFrame:
-    """(key, text_hash, copies and sums) of every row, with the score of the group's pairs alone."""
-    kind = rows.schema["key"].dataType.simpleString()
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = vocabulary.value
-        filter_part = part.value
-        for batch in batches:
-            key, text_hash, text = batch.columns
-            for start, stop in words.blocks(text):
-                token, before, starts = tokens(text.slice(start, stop - start))
-                types, place = np.unique(token, return_inverse=True)
-                at = np.minimum(np.searchsorted(known, types), max(len(known) - 1, 0))
-                found = np.where(known[at] == types, counts[at], 0).astype(np.int64) if len(known) else np.zeros(len(types), np.int64)
-                count = found[place]
-                context = np.concatenate(([0], count[:-1]))
-                context[starts[:-1]] = shape.texts
-                values = [
-                    np.diff(starts),
-                    np.add.reduceat((count > 0).astype(np.int64), starts[:-1]),
-                    np.add.reduceat(np.log10(shape.shares(count)), starts[:-1]),
-                    np.add.reduceat(shape.scores(pairs(before, token), count, context, filter_part, group), starts[:-1]),
-                ]
-                columns = [key.slice(start, stop - start), text_hash.slice(start, stop - start), np.ones(stop - start, np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in [*columns, *values]], names=NAMES)
-
-    return rows.select("key", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        score, f"key {kind}, text_hash BIGINT, copies BIGINT, {SUMS}"
-    )
-
-
-NAMES = ["key", "text_hash", "copies", "n_tokens", "n_known", "base_score", "score"]
-
-
-def _joined_pairs(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """(key, text_hash, before, token, times, count, context) of each text's distinct pairs; the start has no context."""
-    kind = rows.schema["key"].dataType.simpleString()
-
-    def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                token, before, _ = tokens(batch.column(2).slice(i, 1))
-                both, times = np.unique(np.stack((before, token), axis=1), axis=0, return_counts=True)
-                own = [pa.array([batch.column(c)[i].as_py()] * len(both), batch.column(c).type) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [*own, *(pa.array(x) for x in (*both.T.astype(np.int64), times))],
-                    names=["key", "text_hash", "before", "token", "times"],
-                )
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, counts in zip(*batch.columns, strict=True):
-                columns = np.frombuffer(keys.as_buffer(), np.int64), np.frombuffer(counts.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["word", "count"])
-
-    texts = rows.select("key", F.xxhash64("text").alias("text_hash"), "text")
-    paired = texts.mapInArrow(pair_up, f"key {kind}, text_hash BIGINT, before BIGINT, token BIGINT, times BIGINT")
-    counts = known.select("keys", "counts").mapInArrow(unpack, "word BIGINT, count BIGINT")
-    contexts = counts.select(F.col("word").alias("before"), F.col("count").alias("context"))
-    joined = paired.join(counts.withColumnRenamed("word", "token"), "token", "left").join(contexts, "before", "left")
-    return stored(joined.select("key", "text_hash", "before", "token", "times", "count", "context"), "pairs")
-
-
-def _of_pairs(joined: DataFrame, part, shape: Shape, group: tuple[int, int]) -> DataFrame:
-    """The same sums as of texts for the group's pairs, in several rows for each text."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_part = part.value
-        for batch in batches:
-            before, token, times, count, context = (
-                x.fill_null(0).to_numpy(zero_copy_only=False) for x in batch.columns[2:]
-            )
-            before, token = before.astype(np.uint64), token.astype(np.uint64)
-            context = np.where(before == START, shape.texts, context)
+    def scores(self, batches: Iterator[pa.RecordBatch], counts: np.ndarray, level: np.ndarray) -> pa.Table:
+        """Scores of a run's rows, from the counts of its distinct words and the levels of its distinct pairs in order."""
+        blocks = []
+        for rows in batches:
+            token, before, starts = tokens(rows.column(1))
+            each = [np.unique(grams, return_inverse=True) for grams in (token, pairs(before, token))]
+            blocks.append((rows.column(0), starts, *((keys, place.astype(np.int32)) for keys, place in each)))
+        known, seen = (_distinct([block[i][0] for block in blocks])[0] for i in (2, 3))
+        assert len(known) == len(counts) and len(seen) == len(level)
+        out = []
+        for key, starts, (types, type_at), (both, pair_at) in blocks:
+            count = counts[np.searchsorted(known, types)][type_at]
+            context = np.concatenate(([0], count[:-1]))
+            context[starts[:-1]] = self.texts
+            both = np.minimum(of_level(level[np.searchsorted(seen, both)])[pair_at], np.minimum(count, context))
+            shares = self.shares(count)
             values = [
-                np.where(token == END, times, 0),
-                times,
-                times * (count > 0),
-                times * np.log10(shape.shares(count)),
-                times * shape.scores(pairs(before, token), count, context, filter_part, group),
+                np.diff(starts),
+                np.add.reduceat((count > 0).astype(np.int64), starts[:-1]),
+                np.add.reduceat(np.log10(shares), starts[:-1]),
+                np.add.reduceat(np.log10((both + self.mass * shares) / (context + self.mass)), starts[:-1]),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(x) for x in values)], names=NAMES)
-
-    kind = joined.schema["key"].dataType.simpleString()
-    return joined.mapInArrow(score, f"key {kind}, text_hash BIGINT, copies BIGINT, {SUMS}")
-
-
-def _summed(parts: list[DataFrame]) -> DataFrame:
-    """One row for each copy of a text from the sums of all its parts; only the first part has more than the score."""
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part.withColumns({c: F.col(c) * 0 for c in NAMES[2:-1]}))
-    sums = rows.groupBy("key", "text_hash").agg(*(F.sum(c).alias(c) for c in NAMES[2:]))
-    each = [(F.col(c) / F.col("copies")).cast("double" if "score" in c else "long").alias(c) for c in NAMES[3:]]
-    return sums.select("key", *each, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            out.append(pa.RecordBatch.from_arrays([key, *(pa.array(x) for x in values)], names=SCORES))
+        return pa.Table.from_batches(out)

@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kpiloom.llm import lm
+from kpiloom.session import use_checkpoint_dir
 
 TRAIN = "coalesce(doc_id % 3 <> 1, true)"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -35,6 +38,9 @@ def plain(rows, mass):
     return out
 
 
+COLUMNS = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+
 def found(docs, model):
     columns = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return [tuple(r[c] for c in columns) for r in lm.scored(docs, TRAIN, model=model).collect()]
@@ -106,3 +112,64 @@ def test_the_default_filter_rarely_errs(session):
     got, exact = ({r[0]: r[5] for r in found(docs, model) if r[0] % 3 == 1} for model in (lm.Model(), lm.Model(**ROOMY)))
     assert len(got) == len(exact) == 3000
     assert sum(abs(got[i] - exact[i]) > 1e-9 for i in got) < 0.01 * 3 * 3000
+
+
+def test_what_is_stored_follows_the_texts(session, small):
+    """Bounds that neither the words' counts nor the filter fit in: as many tables, and no row for each pair of a text."""
+    docs, folder = small("documents"), Path(use_checkpoint_dir(session).removeprefix("file:"))
+    size = sum(len((r.text or "").encode()) for r in docs.select("text").collect())
+    made = []
+    for model in (lm.Model(), lm.Model(segment_bytes=20_000, max_broadcast=60_000, max_part=60_000)):
+        before = set(folder.iterdir()) if folder.exists() else set()
+        lm.scored(docs, TRAIN, model=model).collect()
+        made.append(set(folder.iterdir()) - before)
+    assert len(made[0]) == len(made[1]) <= 2
+    assert sum(file.stat().st_size for table in made[1] for file in table.rglob("*.parquet")) < 2 * size
+
+
+def test_short_runs_and_parts_that_several_tasks_share(docs):
+    """Much more text than is learnt from, in runs of some hundred tokens."""
+    models = lm.Model(**ROOMY), lm.Model(segment_bytes=1000, run_tokens=300, max_broadcast=20_000, max_part=2 << 20, **ROOMY)
+    for train in ("doc_id = 21", "doc_id % 20 = 3"):
+        one, several = (
+            [tuple(r[c] for c in ["doc_id", *COLUMNS]) for r in lm.scored(docs, train, model=m).collect()] for m in models
+        )
+        near(several, one)
+        assert {r[3] for r in one} != {0} and any(r[2] for r in one)
+    total = sum(len((r.text or "").encode()) for r in docs.collect())
+    layout = lm.laid_out(total, 3000, models[1])
+    assert layout.copies > 2 and layout.segments == 3 and lm.laid_out(total, total // 2, lm.Model()).copies == 1
+
+
+def test_parts_hold_whole_segments():
+    keys = np.sort(np.random.default_rng(5).integers(0, 1 << 64, 20_000, dtype=np.uint64))
+    for segments, step in ((1, 1), (7, 1), (100, 9), (12_345, 4)):
+        starts = lm.Layout(segments, (step, 1), 1, 14.0, 1).starts(0)
+        parts = np.searchsorted(starts, keys, "right") - 1
+        assert len(starts) == -(-segments // step) and (parts == lm._segment(keys, segments) // step).all()
+
+
+def test_layout_keeps_to_its_bounds():
+    gb = 10**9
+    for total, size in ((0, 0), (gb, gb // 2), (60 * gb, 48 * gb), (60 * gb, gb), (60 * gb, 1000)):
+        layout = lm.laid_out(total, size, lm.Model())
+        assert layout.segments == max(1, math.ceil(size / lm.Model.segment_bytes))
+        # Distinct words and pairs of a task come from texts of some 32 MiB, and from 4 MiB to learn from, or the part's.
+        assert total / layout.segments / layout.copies <= lm.SPARSE * lm.Model.segment_bytes
+        assert all(step * total / layout.segments / layout.copies <= max(2 * lm.PART_BYTES, total / layout.segments / layout.copies) for step in layout.steps)
+    wide = lm.laid_out(gb, gb, lm.Model(max_broadcast=1, max_part=1))
+    assert wide.steps == (1, 1)
+
+
+def test_numbers_are_packed_without_loss():
+    for numbers in ([], [0], [255, 0], [256], [1, (1 << 48) - 1], [(1 << 64) - 1, 3]):
+        data = lm.packed(np.array(numbers, np.uint64))
+        assert lm.unpacked(pa.scalar(data, pa.binary())).tolist() == numbers
+        assert len(data) == 1 + len(numbers) * max(1, -(-max(numbers, default=0).bit_length() // 8))
+
+
+def test_counts_of_learnt_and_other_grams():
+    learnt, others = np.array([5, 9, 5], np.uint64), np.array([9, 2, 11, 2], np.uint64)
+    for a, b, keys, counts in (([learnt], [others], [2, 5, 9, 11], [0, 2, 1, 0]), ([], [others], [2, 9, 11], [0, 0, 0]), ([learnt], [], [5, 9], [2, 1])):
+        found = lm._counts(a, b)
+        assert [x.tolist() for x in found] == [keys, counts]
